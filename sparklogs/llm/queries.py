@@ -2,7 +2,16 @@
 
 from __future__ import annotations
 
-from sparklogs.llm import exact_dedup
+from sparklogs.llm import bpe, chat_format, exact_dedup, secret_scan, toxicity
 
-QUERIES = {"op6_exact_dedup": exact_dedup.query}
-SQL = {"op6_exact_dedup": exact_dedup.SQL}
+QUERIES = {
+    "op3_chat_format": chat_format.query,
+    "op4_secret_scan": secret_scan.query,
+    "op6_exact_dedup": exact_dedup.query,
+    "op7_toxicity": toxicity.query,
+    "op8_bpe": bpe.query,
+}
+SQL = {
+    "op3_chat_format": chat_format.SQL,
+    "op6_exact_dedup": exact_dedup.SQL,
+}
