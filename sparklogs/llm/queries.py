@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from sparklogs.llm import bpe, chat_format, exact_dedup, secret_scan, toxicity
+from sparklogs.llm import bpe, chat_format, exact_dedup, license_scan, packing, secret_scan, toxicity
 
 QUERIES = {
     "op3_chat_format": chat_format.query,
     "op4_secret_scan": secret_scan.query,
+    "op5_packing": packing.query,
     "op6_exact_dedup": exact_dedup.query,
     "op7_toxicity": toxicity.query,
     "op8_bpe": bpe.query,
+    "op10_license_scan": license_scan.query,
 }
 SQL = {
     "op3_chat_format": chat_format.SQL,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from sparklogs.llm.common import table
 
 #: At most so many labelled rows train the model (the lowest hashes of their ids); scoring covers every row.
-TRAIN_ROWS = 8000
+TRAIN_ROWS = 5000
 #: Features kept: those whose document counts tell the labels apart best.
 FEATURES = 4096
 #: A feature is in at least so many training documents.
