@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sparklogs.llm import bpe, chat_format, exact_dedup, license_scan, packing, secret_scan, toxicity
+from sparklogs.llm import bpe, chat_format, embedding_dedup, exact_dedup, license_scan, packing, secret_scan, toxicity
 
 QUERIES = {
+    "op1_embedding_dedup": embedding_dedup.query,
     "op3_chat_format": chat_format.query,
     "op4_secret_scan": secret_scan.query,
     "op5_packing": packing.query,
@@ -14,6 +15,7 @@ QUERIES = {
     "op10_license_scan": license_scan.query,
 }
 SQL = {
+    "op1_embedding_dedup": embedding_dedup.SQL,
     "op3_chat_format": chat_format.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
 }
