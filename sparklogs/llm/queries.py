@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparklogs.llm import bpe, chat_format, embedding_dedup, exact_dedup, license_scan, packing, secret_scan, toxicity
+from sparklogs.llm import bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, license_scan, packing, secret_scan, toxicity
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.query,
     "op7_toxicity": toxicity.query,
     "op8_bpe": bpe.query,
+    "op9_jaccard_join": jaccard_join.query,
     "op10_license_scan": license_scan.query,
 }
 SQL = {
