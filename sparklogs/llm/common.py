@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Bits of the filter that `likely_rows` broadcasts: 4 MB at any size of the input.
+_FILTER_BITS = 1 << 25
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -65,3 +70,23 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.join(edges.select(F.col("a").alias("id"), F.col("b").alias("component")), "id", "left").select(
         "id", F.coalesce("component", "id").alias("component")
     )
+
+
+def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of `docs (id, text)` whose id may be in `ids (id)`: a broadcast bitmap of a fixed size, so that a join after it shuffles few texts."""
+    spot = F.explode(F.array(*[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(_FILTER_BITS)) for k in range(2)])).alias("spot")
+    words = ids.select(spot).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(spot & 63 AS INT))")).alias("bits"))
+    got = words.toArrow()  # at most _FILTER_BITS / 64 rows
+    filled = np.zeros(_FILTER_BITS // 64, np.int64)
+    filled[got["word"].to_numpy()] = got["bits"].to_numpy()
+
+    def maybe(batches):
+        for batch in batches:
+            hit = np.ones(batch.num_rows, bool)
+            for c in ("_h0", "_h1"):
+                spot = batch.column(batch.schema.get_field_index(c)).to_numpy()
+                hit &= (filled[spot >> 6] >> (spot & 63)) & 1 == 1
+            yield batch.filter(pa.array(hit)).select(["id", "text"])
+
+    marked = docs.where("id IS NOT NULL").withColumns({f"_h{k}": F.pmod(F.xxhash64("id", F.lit(k)), F.lit(_FILTER_BITS)) for k in range(2)})
+    return marked.mapInArrow(maybe, "id long, text string")

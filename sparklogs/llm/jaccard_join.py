@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklogs.llm.common import checkpoint, components, partitions, table
+from sparklogs.llm.common import checkpoint, components, likely_rows, partitions, table
 from sparklogs.llm.shingles import shingle_sets
 
 #: Per cent of the union that the intersection must reach, and words in a shingle.
@@ -26,7 +26,6 @@ PERCENT, WIDTH = 85, 4
 COMMON, COMMON_FROM, COMMON_IN_BATCH = 65_536, 16, 3
 #: Members of a bucket that are compared with another such block at a time; fan-out of a tree; bits of bitmaps.
 BLOCK, FANOUT, BITS = 2048, 8, (256, 4096)
-_FILTER_BITS = 1 << 25
 
 _DOC_ROWS = "id long, n long, node long"
 _BLOBS = "bucket int, payload binary, node long, n int, bits binary"
@@ -251,26 +250,6 @@ def _bucket_runs(percent: int):
     return run
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of `docs` whose id is in `ids (id)`: a bitmap of a fixed size goes first, so that few texts are shuffled, then the exact join."""
-    spot = F.explode(F.array(*[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(_FILTER_BITS)) for k in range(2)])).alias("spot")
-    words = ids.select(spot).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(spot & 63 AS INT))")).alias("bits"))
-    got = words.toArrow()  # at most _FILTER_BITS / 64 rows
-    filled = np.zeros(_FILTER_BITS // 64, np.int64)
-    filled[got["word"].to_numpy()] = got["bits"].to_numpy()
-
-    def maybe(batches):
-        for batch in batches:
-            hit = np.ones(batch.num_rows, bool)
-            for c in ("_h0", "_h1"):
-                spot = batch.column(batch.schema.get_field_index(c)).to_numpy()
-                hit &= (filled[spot >> 6] >> (spot & 63)) & 1 == 1
-            yield batch.filter(pa.array(hit)).select(["id", "text"])
-
-    marked = docs.where("id IS NOT NULL").withColumns({f"_h{k}": F.pmod(F.xxhash64("id", F.lit(k)), F.lit(_FILTER_BITS)) for k in range(2)})
-    return marked.mapInArrow(maybe, "id long, text string").join(ids.hint("shuffle_hash"), "id", "left_semi")
-
-
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
     """`pairs (a, b)` of document ids whose sets reach the threshold, by intersecting them."""
     ids = checkpoint(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
@@ -281,7 +260,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
             flat = pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), flat)], ["id", "tokens"])
 
-    sets = checkpoint(_with_ids(docs, ids).mapInArrow(each, "id long, tokens array<long>"))
+    sets = checkpoint(likely_rows(docs, ids).join(ids.hint("shuffle_hash"), "id", "left_semi").mapInArrow(each, "id long, tokens array<long>"))
     both = pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
     common = F.size(F.array_intersect("ta", "tb"))
     return both.where(common * (100 + percent) >= percent * (F.size("ta") + F.size("tb"))).select("a", "b")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sparklogs.llm import bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, license_scan, packing, secret_scan, toxicity
+from sparklogs.llm import bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, license_scan, packing, secret_scan, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.query,
+    "op2_suffix_dedup": suffix_dedup.query,
     "op3_chat_format": chat_format.query,
     "op4_secret_scan": secret_scan.query,
     "op5_packing": packing.query,
