@@ -72,21 +72,35 @@ def components(edges: DataFrame) -> DataFrame:
     )
 
 
-def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of `docs (id, text)` whose id may be in `ids (id)`: a broadcast bitmap of a fixed size, so that a join after it shuffles few texts."""
+def _marked(docs: DataFrame, ids: DataFrame, id_col: str, likely: bool) -> DataFrame:
+    """Rows of `docs` whose id may be in `ids (id)`, or those whose id surely isn't, by a broadcast bitmap of a fixed size."""
     spot = F.explode(F.array(*[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(_FILTER_BITS)) for k in range(2)])).alias("spot")
     words = ids.select(spot).groupBy(F.shiftright("spot", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(spot & 63 AS INT))")).alias("bits"))
     got = words.toArrow()  # at most _FILTER_BITS / 64 rows
     filled = np.zeros(_FILTER_BITS // 64, np.int64)
     filled[got["word"].to_numpy()] = got["bits"].to_numpy()
+    schema, width = docs.schema, len(docs.columns)
 
-    def maybe(batches):
+    def choose(batches):
         for batch in batches:
             hit = np.ones(batch.num_rows, bool)
-            for c in ("_h0", "_h1"):
-                spot = batch.column(batch.schema.get_field_index(c)).to_numpy()
+            for c in (width, width + 1):
+                spot = batch.column(c).to_numpy(zero_copy_only=False)
                 hit &= (filled[spot >> 6] >> (spot & 63)) & 1 == 1
-            yield batch.filter(pa.array(hit)).select(["id", "text"])
+            yield batch.filter(pa.array(hit == likely)).select(list(range(width)))
+
+    key = F.col(id_col).cast("long")
+    return docs.select("*", *[F.pmod(F.xxhash64(key, F.lit(k)), F.lit(_FILTER_BITS)) for k in range(2)]).mapInArrow(choose, schema)
+
+
+def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of `docs (id, text)` whose id may be in `ids (id)`, so that a join after it shuffles few texts."""
+    return _marked(docs.where("id IS NOT NULL"), ids, "id", True)
+
 
-    marked = docs.where("id IS NOT NULL").withColumns({f"_h{k}": F.pmod(F.xxhash64("id", F.lit(k)), F.lit(_FILTER_BITS)) for k in range(2)})
-    return marked.mapInArrow(maybe, "id long, text string")
+def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """`docs` without the rows whose id is in `ids (id)`; rows with a null id stay. Texts that surely stay aren't shuffled."""
+    ids = checkpoint(ids.select(F.col("id").cast("long").alias("id")).where("id IS NOT NULL").distinct())
+    perhaps = _marked(docs, ids, id_col, True)
+    stay = perhaps.join(ids, perhaps[id_col].cast("long") == ids["id"], "left_anti")
+    return _marked(docs, ids, id_col, False).union(stay)

@@ -21,7 +21,7 @@ from sparklogs.llm.common import checkpoint, components, likely_rows, partitions
 from sparklogs.llm.shingles import shingle_sets
 
 #: Per cent of the union that the intersection must reach, and words in a shingle.
-PERCENT, WIDTH = 85, 4
+PERCENT, WIDTH = 80, 5
 #: Common shingles known by name: the order is as good without the rest, and right with any choice of them.
 COMMON, COMMON_FROM, COMMON_IN_BATCH = 65_536, 16, 3
 #: Members of a bucket that are compared with another such block at a time; fan-out of a tree; bits of bitmaps.
@@ -324,4 +324,4 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents"), percent=85, width=4)

@@ -163,6 +163,17 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, SCORED)
 
 
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """`docs` without the rows that `toxicity` predicts to be toxic; all columns stay as they are."""
+    at = docs.schema.fieldNames().index(text_col)
+
+    def each(batches):
+        for batch in batches:
+            yield batch.filter(pa.array([model.score(t.as_py())[0] < 0.5 for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(each, docs.schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity(docs, train(docs, table(spark, sf_dir, "labels")))
