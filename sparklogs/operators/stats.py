@@ -71,7 +71,8 @@ def group_meta(df: DataFrame, keys: list[str], stats: list[Stat]) -> DataFrame:
     groups = group_stats(df, keys, stats)
     if not keys:
         return groups.select(F.lit(0).alias("gid"), "*").where("false")
-    return groups.withColumn("gid", (F.row_number().over(Window.orderBy(*[F.col(f"`{k}`").asc_nulls_first() for k in keys])) - 1).cast("int"))
+    number = F.row_number().over(Window.orderBy(*[F.col(f"`{k}`").asc_nulls_first() for k in keys])) - 1
+    return groups.select(number.cast("int").alias("gid"), "*")
 
 
 def time_grid(spark, rule: TimeRule, start_ms: int, tz: str = "UTC") -> DataFrame:

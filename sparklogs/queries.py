@@ -270,7 +270,7 @@ def _messages(spark, sf_dir):
 def _index(messages: DataFrame) -> DataFrame:
     """A file for the third event of each topic and day."""
     day = utc_day(F.col("timestamp"))
-    third = messages.groupBy("topic", day.alias("day")).agg(F.sort_array(F.collect_set("timestamp"))[2].alias("start_ts")).where("start_ts IS NOT NULL")
+    third = messages.groupBy("topic", day.alias("day")).agg(F.get(F.sort_array(F.collect_set("timestamp")), F.lit(2)).alias("start_ts")).where("start_ts IS NOT NULL")
     return third.select("start_ts", "topic", "day", archive_path(F.col("topic"), F.col("start_ts")).alias("path"), F.lit(0).cast("long").alias("size"), F.col("start_ts").alias("recent_ts"))
 
 
