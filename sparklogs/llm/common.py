@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 import numpy as np
@@ -30,6 +31,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of plans that nothing refers to any more, which it does when the driver collects garbage.
+
+    Called between the heavy steps of a job, after their results are checkpointed,
+    so that disks hold the files of one step and not of all.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

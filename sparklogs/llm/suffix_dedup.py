@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklogs.llm.common import checkpoint, likely_rows, partitions, table
+from sparklogs.llm.common import checkpoint, free, likely_rows, partitions, table
 from sparklogs.llm.shingles import mixed
 
 #: Bytes of a window, and of the grams that deal windows out.
@@ -456,9 +456,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         yield from passing
 
     met = checkpoint(dealt.mapInArrow(meet, _ROWS).select("doc", "kind", "payload"))
+    del dealt
+    free(spark)
     wanted = met.where(F.col("kind") == _READ).groupBy(F.col("doc").alias("id")).agg(F.collect_list("payload").alias("loads"))
     texts = sound.join(wanted.hint("shuffle_hash"), "id").select("id", "text", "loads").mapInArrow(_read(buckets), _ROWS)
     shared = checkpoint(texts.select("bucket", "payload").repartitionById(buckets, "bucket").mapInArrow(_transform, _ROWS).select("doc", "payload"))
+    del wanted, texts
+    free(spark)
     removed = met.where(F.col("kind") == _REMOVE).select("doc", "payload").union(shared)
     removed = checkpoint(removed.groupBy(F.col("doc").alias("id")).agg(F.collect_list("payload").alias("loads")))
     hit = likely_rows(sound, removed.select("id")).join(removed.hint("shuffle_hash"), "id").select("id", "text", "loads")
