@@ -17,23 +17,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparklogs.llm.common import checkpoint, components, likely_rows, partitions, table
+from sparklogs.llm.common import checkpoint, components, free, likely_rows, partitions, table
 from sparklogs.llm.shingles import shingle_sets
 
 #: Per cent of the union that the intersection must reach, and words in a shingle.
 PERCENT, WIDTH = 80, 5
-#: Common shingles known by name: the order is as good without the rest, and right with any choice of them.
-COMMON, COMMON_FROM, COMMON_IN_BATCH = 65_536, 16, 3
-#: Members of a bucket that are compared with another such block at a time; fan-out of a tree; bits of bitmaps.
-BLOCK, FANOUT, BITS = 2048, 8, (256, 4096)
+#: First shingles that linked sets share at least (fewer only if a set needs fewer for a link).
+SHARED = 8
+#: Common shingles known by name, at most 8 MB of them: the order is as good without the rest, and right with any choice of them.
+COMMON, COMMON_FROM, COMMON_IN_BATCH = 1 << 19, 16, 3
+#: Buckets with more members are compared by trees; members of a tree; fan-out; bits for a shingle, least and most bits of a bitmap.
+SMALL, BLOCK, FANOUT, BITS = 16, 512, 8, (8, 512, 1 << 16)
+#: Postings of a common shingle that share a bucket of the shuffle.
+_SPREAD = 2048
 
 _DOC_ROWS = "id long, n long, node long"
-_BLOBS = "bucket int, payload binary, node long, n int, bits binary"
+_BLOBS = "bucket int, payload binary"
+
+
+def shared_at_least(n: int, percent: int) -> int:
+    """How many first shingles a set of n shares with a partner that isn't smaller in this respect."""
+    return min(SHARED, (percent * n + 99) // 100)
 
 
 def first_shingles(n: int, percent: int) -> int:
-    """How many shingles of a set of n, in the common order, are sure to hold one of any partner's."""
-    return n - (percent * n + 99) // 100 + 1
+    """How many shingles of a set of n, in the common order, are sure to hold `shared_at_least` of any partner's.
+
+    A partner has percent / 100 * n of them or more, so at most the rest of them come
+    before the first shared one, and so on.
+    """
+    return n - (percent * n + 99) // 100 + shared_at_least(n, percent)
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -72,14 +85,14 @@ def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    bits = min(max(1 << (len(shingles) - 1).bit_length(), BITS[0]), BITS[1])
+    bits = min(max(1 << (BITS[0] * len(shingles) - 1).bit_length(), BITS[1]), BITS[2])
     out = np.zeros(bits, np.uint8)
     out[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
 
 
 def postings(docs: DataFrame, width: int, percent: int, common: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
-    """First shingles of every distinct set, packed by bucket (payload), and one row for each set of a batch (node, n, bits)."""
+    """First shingles of every distinct set of a batch, packed by bucket."""
     names, df = common
 
     def each(batches):
@@ -94,7 +107,7 @@ def postings(docs: DataFrame, width: int, percent: int, common: tuple[np.ndarray
                 if len(got) < want:
                     at = at[often]
                     at = at[np.lexsort((names[at], df[at]))][: want - len(got)]
-                    salt = -(-df[at] // BLOCK)  # very common shingles are spread over several buckets
+                    salt = -(-df[at] // _SPREAD)  # very common shingles are spread over several buckets
                     got = np.concatenate([got, names[at]])
                 firsts.append(got)
                 salts.append(np.concatenate([np.zeros(len(got) - np.size(salt), np.int64), salt]) if np.size(salt) > 1 or np.any(salt) else np.zeros(len(got), np.int64))
@@ -113,11 +126,7 @@ def postings(docs: DataFrame, width: int, percent: int, common: tuple[np.ndarray
                 at = order[cut[b] : cut[b + 1]]
                 which.append(b)
                 load.append(np.int64(len(at)).tobytes() + flat[at].tobytes() + node[own[at]].tobytes() + (salt[at] > 0).tobytes())
-            none = lambda n, t: pa.nulls(n, t)
-            k, m = len(which), len(sets)
-            yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(load, pa.binary()), none(k, pa.int64()), none(k, pa.int32()), none(k, pa.binary())], ["bucket", "payload", "node", "n", "bits"])
-            sizes, bits = pa.array([len(s) for s in sets.values()], pa.int32()), pa.array([bitmap(s) for s in sets.values()], pa.binary())
-            yield pa.RecordBatch.from_arrays([none(m, pa.int32()), none(m, pa.binary()), pa.array(node), sizes, bits], ["bucket", "payload", "node", "n", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(which, pa.int32()), pa.array(load, pa.binary())], ["bucket", "payload"])
 
     return docs.mapInArrow(each, _BLOBS)
 
@@ -209,7 +218,7 @@ def bucket_pairs(members: list[tuple[int, int, bytes, int]], percent: int) -> li
     widths = sorted({k[3] for k in known})
     for width in widths:
         own = [_leaf(i, bits, w, width, n, g) for n, i, bits, w, g in known if w == width]
-        next_up = [_leaf(i, bits, w, width, n, g) for n, i, bits, w, g in known if w == 2 * width and percent * n <= 100 * width]
+        next_up = [_leaf(i, bits, w, width, n, g) for n, i, bits, w, g in known if w == 2 * width and percent * BITS[0] * n <= 100 * width]
         tree = _tree(own)
         _traverse(tree, tree, percent, out)
         if next_up:
@@ -250,17 +259,31 @@ def _bucket_runs(percent: int):
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """`pairs (a, b)` of document ids whose sets reach the threshold, by intersecting them."""
-    ids = checkpoint(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+def _each_set(docs: DataFrame, ids: DataFrame, width: int, value, kind: str) -> DataFrame:
+    """(id, n, value): of the documents in `ids (id)`, whose texts alone are shuffled."""
 
     def each(batches):
         for batch in batches:
             sets = _sets_of(batch, width)
-            flat = pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), flat)], ["id", "tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), value(sets)], ["id", "n", "value"])
+
+    texts = likely_rows(docs, ids).join(ids.hint("shuffle_hash"), "id", "left_semi")
+    return checkpoint(texts.mapInArrow(each, f"id long, n int, value {kind}"))
 
-    sets = checkpoint(likely_rows(docs, ids).join(ids.hint("shuffle_hash"), "id", "left_semi").mapInArrow(each, "id long, tokens array<long>"))
+
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    flat = pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), flat)
+
+
+def _bitmaps(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([bitmap(s) for s in sets], pa.binary())
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """`pairs (a, b)` of document ids whose sets reach the threshold, by intersecting them."""
+    ids = checkpoint(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    sets = _each_set(docs, ids, width, _lists, "array<long>").select("id", "value")
     both = pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
     common = F.size(F.array_intersect("ta", "tb"))
     return both.where(common * (100 + percent) >= percent * (F.size("ta") + F.size("tb"))).select("a", "b")
@@ -282,39 +305,50 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     buckets = max(partitions(spark), 12)
     rows = checkpoint(document_sets(docs, width))
     named = rows.where("n >= 0")
-    classes = named.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"))
+    classes = named.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     classes = checkpoint(classes)
 
-    packed = checkpoint(postings(docs, width, percent, common_shingles(rows), buckets))
-    spread = packed.where("payload IS NOT NULL").select("bucket", "payload").repartitionById(buckets, "bucket")
-    posts = checkpoint(spread.mapInArrow(_unpack, "token long, node long"))
-    marks = packed.where("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))
-    involved = posts.select("node").distinct()
-    marks = checkpoint(marks.join(involved, "node").join(classes, "node").select("node", "id", "n", "bits"))
-
-    # one candidate for each set first: the smallest set of the bucket that it shares most buckets with
-    lead = checkpoint(posts.groupBy("token").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1"))
-    stars = posts.join(lead, "token").where("node <> lead").groupBy("node", "lead").agg(F.count(F.lit(1)).alias("shared"))
-    stars = checkpoint(stars.groupBy("node").agg(F.max_by("lead", F.struct("shared", "lead")).alias("lead")))
-    size = marks.select("node", "id", "n")
-    stars = stars.join(size.toDF("node", "a", "na"), "node").join(size.toDF("lead", "b", "nb"), "lead")
-    stars = stars.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
+    packed = postings(docs, width, percent, common_shingles(rows), buckets)
+    posts = checkpoint(packed.repartitionById(buckets, "bucket").mapInArrow(_unpack, "token long, node long"))
+    del packed
+    free(spark)
+    least = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100)).cast("int")
+    enough = posts.groupBy("node").agg(F.count(F.lit(1)).alias("met")).join(classes, "node").where(F.col("met") >= least)
+    sets = checkpoint(enough.select("node", "id", "n", least.alias("least")))
+    posts = checkpoint(posts.join(sets.select("node", "id"), "node").select("token", "id"))
+
+    # one candidate for each set first: the smallest id of the buckets, the one that it shares most of them with
+    lead = checkpoint(posts.groupBy("token").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1"))
+    stars = posts.join(lead, "token").where("id <> lead").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("shared"))
+    stars = stars.where(F.col("shared") >= SHARED // 2).groupBy("id").agg(F.max_by("lead", F.struct("shared", "lead")).alias("lead"))
+    size = sets.select("id", "n", "least")
+    near = lambda pairs: pairs.join(size.toDF("a", "na", "la"), "a").join(size.toDF("b", "nb", "lb"), "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    stars = near(checkpoint(stars).toDF("a", "b")).select("a", "b")
     links = checkpoint(_verified(docs, checkpoint(stars), width, percent))
     group = checkpoint(components(links))
 
-    # then every pair of a bucket that isn't linked yet, through the trees
-    grouped = marks.join(group, "id", "left").select("node", "id", "n", "bits", F.coalesce("component", "id").alias("group"))
-    grouped = checkpoint(grouped)
-    posts = posts.join(grouped.select("node", "id", "group"), "node").select("token", "id", "group")
+    # then every pair of a bucket that isn't linked yet
+    posts = posts.join(group, "id", "left").select("token", "id", F.coalesce("component", "id").alias("group"))
     posts = checkpoint(posts)
-    mixed = posts.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("group").alias("g"), F.max("group").alias("h")).where("g < h")
-    met = posts.join(checkpoint(mixed.select("token", "m")), "token").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("int"))
-    met = met.withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    mixed = posts.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lead"), F.min("group").alias("g"), F.max("group").alias("h")).where("g < h")
+    mixed = checkpoint(mixed.select("token", "m", "lead"))
+    # all first shingles that a pair shares are in small buckets, or one is in a large one
+    few = checkpoint(posts.join(mixed.where(F.col("m") <= SMALL).select("token"), "token"))
+    pairs = few.toDF("token", "a", "ga").join(few.toDF("token", "b", "gb"), "token").where("a < b AND ga <> gb")
+    pairs = checkpoint(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
+    pairs = near(pairs).where(F.col("shared") >= F.least("la", "lb")).select("a", "b")
+    # buckets with the same first member are one tree, so that sets in many of the same buckets travel once
+    many = posts.join(mixed.where(F.col("m") > SMALL).select("token", "lead"), "token").select("lead", "id", "group").distinct()
+    many = checkpoint(many)
+    blocks = checkpoint(many.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
+    met = many.join(blocks, "lead").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("id", "group", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"), F.xxhash64("token", F.least("blk", "other"), F.greatest("blk", "other")).alias("key"))
-    met = met.join(grouped.select("id", "n", "bits"), "id")
-    met = met.repartition(buckets, "key").sortWithinPartitions("key")
-    left = checkpoint(met.mapInArrow(_bucket_runs(percent), "a long, b long").distinct())
+    met = met.select("lead", "id", "group", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
+    met = met.withColumn("key", F.xxhash64("lead", "lo", "hi")).drop("lead")
+    marks = _each_set(docs, checkpoint(many.select("id").distinct()), width, _bitmaps, "binary").withColumnRenamed("value", "bits")
+    met = met.join(marks, "id").repartition(buckets, "key").sortWithinPartitions("key")
+    left = met.mapInArrow(_bucket_runs(percent), "a long, b long")
+    left = checkpoint(left.union(pairs).distinct())
     links = checkpoint(links.union(_verified(docs, left, width, percent)))
     group = components(links)
 
