@@ -312,6 +312,8 @@ def _meet(batches):
         return
     doc, seg = np.concatenate([d for d, _ in got]), np.concatenate([s for _, s in got])
     del got
+    if not len(seg):
+        return
     wide = np.zeros((len(seg), 8), np.uint8)
     wide[:, :6] = np.ascontiguousarray(seg["hash"]).view(np.uint8).reshape(-1, 6)
     whole, gram = wide.view("<u8").ravel(), seg["gram"]
@@ -327,6 +329,8 @@ def _meet(batches):
     keep = np.zeros(len(gram), bool)
     for side in ("left", "right"):
         some = np.flatnonzero(seg[side] > 1)
+        if not len(some):
+            continue
         key = gram[some].astype(np.int64) << 8 | seg[side][some]
         some = some[np.argsort(key, kind="stable")]
         key = gram[some].astype(np.int64) << 8 | seg[side][some]
