@@ -108,7 +108,7 @@ def test_secrets():
     assert [(k, new[s:e]) for s, k, e, _ in secret_scan.scan(new)] == [(3, "Zx9Qm4Lw8Rt2Vb6Ny1Kc5")]
     known = f"{'Zx9Qm4Lw8Rt2Vb6Ny1Kc5 ' * 3} the bearer Zx9Qm4Lw8Rt2Vb6Ny1Kc5"
     assert secret_scan.scan(known) == []  # what the context already says is no news
-    assert secret_scan.novelty("isinstance_getattr_setattr", "") < 0.6 < secret_scan.novelty("Zx9Qm4Lw8Rt2Vb6Ny1Kc5", "")
+    assert secret_scan.novelty("isinstance_getattr_setattr", "") < secret_scan.MIN_NOVELTY < secret_scan.novelty("Zx9Qm4Lw8Rt2Vb6Ny1Kc5", "")
 
 
 def test_secret_scan_and_redaction(spark):
