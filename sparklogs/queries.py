@@ -46,11 +46,14 @@ def transfers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LOG rows with data-node messages, of `events`."""
     kind, user, k = F.col("event_type"), (F.col("user_id") % 16).cast("string"), (F.get_json_object("props", "$.k").cast("int") % 8).cast("string")
     cents = F.round(F.col("value") * 100).cast("long").cast("string")
-    src, dest = F.concat(F.lit("src: /10.0.0."), user, F.lit(":50010")), F.concat(F.lit("dest: /10.0.1."), k, F.lit(":4000"))
-    trace = lambda op: F.concat(src, F.lit(", "), dest, F.lit(", bytes: "), cents, F.lit(f", op: {op}, cliID: c"))
-    block = F.concat(F.lit("Received block blk_"), F.col("event_id").cast("string"), F.lit(" "), src, F.lit(" "), dest, F.lit(" of size "), cents)
-    other = F.concat(F.lit("Transmitted block blk_"), F.col("event_id").cast("string"))
-    message = F.when(kind == "view", trace("HDFS_READ")).when(kind == "purchase", trace("HDFS_WRITE")).when(kind == "click", block).otherwise(other)
+    trace, ident = kind.isin("view", "purchase"), F.col("event_id").cast("string")
+    told = F.concat(
+        F.when(trace, "").otherwise(F.concat(F.lit("Received block blk_"), ident, F.lit(" "))),
+        F.lit("src: /10.0.0."), user, F.lit(":50010"), F.when(trace, ", ").otherwise(" "),
+        F.lit("dest: /10.0.1."), k, F.lit(":4000"), F.when(trace, ", bytes: ").otherwise(" of size "), cents,
+        F.when(kind == "view", ", op: HDFS_READ, cliID: c").when(trace, ", op: HDFS_WRITE, cliID: c").otherwise(""),
+    )
+    message = F.when(trace | (kind == "click"), told).otherwise(F.concat(F.lit("Transmitted block blk_"), ident))
     ts = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("ts"))
     return _table(spark, sf_dir, "events").select(ts.alias("timestamp"), message.alias("message"), F.col("event_id").alias("seq"))
 
