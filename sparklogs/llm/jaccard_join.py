@@ -26,6 +26,8 @@ PERCENT, WIDTH = 80, 5
 SHARED = 8
 #: Common shingles known by name, at most 8 MB of them: the order is as good without the rest, and right with any choice of them.
 COMMON, COMMON_FROM, COMMON_IN_BATCH = 1 << 19, 16, 3
+#: Shingles of a task among which common ones are counted at a time.
+COMMON_SPAN = 4_000_000
 #: Buckets with more members are compared by trees; members of a tree; fan-out; bits for a shingle, least and most bits of a bitmap.
 SMALL, BLOCK, FANOUT, BITS = 16, 512, 8, (8, 512, 1 << 16)
 #: Postings of a common shingle that share a bucket of the shuffle.
@@ -58,19 +60,29 @@ def _sets_of(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
 
 
 def document_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(id, n, node): size and name of each set; and, with n = -1, (id = shingle, node = count) of shingles that are common within a batch."""
+    """(id, n, node): size and name of each set; and, with n = -1, (id = shingle, node = count) of shingles that are common within a part of a task."""
+
+    def often(sets: list[np.ndarray]) -> pa.RecordBatch:
+        everything = np.sort(np.concatenate(sets))
+        at = np.flatnonzero(np.append(True, everything[1:] != everything[:-1])) if len(everything) else np.zeros(0, int)
+        count = np.diff(np.append(at, len(everything)))
+        keep = count >= COMMON_IN_BATCH
+        return pa.RecordBatch.from_arrays([pa.array(everything[at[keep]].view(np.int64)), pa.array(np.full(keep.sum(), -1)), pa.array(count[keep])], ["id", "n", "node"])
 
     def each(batches):
+        held: list[np.ndarray] = []
+        size = 0
         for batch in batches:
             sets = _sets_of(batch, width)
             n = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array([_node(s) if len(s) else None for s in sets], pa.int64())], ["id", "n", "node"])
-            everything = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-            if len(everything):
-                at = np.flatnonzero(np.append(True, everything[1:] != everything[:-1]))
-                count = np.diff(np.append(at, len(everything)))
-                often = count >= COMMON_IN_BATCH
-                yield pa.RecordBatch.from_arrays([pa.array(everything[at[often]].view(np.int64)), pa.array(np.full(often.sum(), -1)), pa.array(count[often])], ["id", "n", "node"])
+            held += sets
+            size += sum(map(len, sets))
+            if size >= COMMON_SPAN:
+                yield often(held)
+                held, size = [], 0
+        if held:
+            yield often(held)
 
     return docs.mapInArrow(each, _DOC_ROWS)
 
@@ -325,7 +337,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     near = lambda pairs: pairs.join(size.toDF("a", "na", "la"), "a").join(size.toDF("b", "nb", "lb"), "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
     stars = near(checkpoint(stars).toDF("a", "b")).select("a", "b")
     links = checkpoint(_verified(docs, checkpoint(stars), width, percent))
+    free(spark)
     group = checkpoint(components(links))
+    free(spark)
 
     # then every pair of a bucket that isn't linked yet
     posts = posts.join(group, "id", "left").select("token", "id", F.coalesce("component", "id").alias("group"))
@@ -337,6 +351,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     pairs = few.toDF("token", "a", "ga").join(few.toDF("token", "b", "gb"), "token").where("a < b AND ga <> gb")
     pairs = checkpoint(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
     pairs = near(pairs).where(F.col("shared") >= F.least("la", "lb")).select("a", "b")
+    del few
     # buckets with the same first member are one tree, so that sets in many of the same buckets travel once
     many = posts.join(mixed.where(F.col("m") > SMALL).select("token", "lead"), "token").select("lead", "id", "group").distinct()
     many = checkpoint(many)
@@ -349,7 +364,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     met = met.join(marks, "id").repartition(buckets, "key").sortWithinPartitions("key")
     left = met.mapInArrow(_bucket_runs(percent), "a long, b long")
     left = checkpoint(left.union(pairs).distinct())
+    del met, marks, many, pairs, posts
+    free(spark)
     links = checkpoint(links.union(_verified(docs, left, width, percent)))
+    free(spark)
     group = components(links)
 
     reps = checkpoint(classes.join(group, "id", "left").select("node", F.coalesce("component", "id").alias("component_id")))
