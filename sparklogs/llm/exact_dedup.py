@@ -22,6 +22,7 @@ from sparklogs.llm.common import checkpoint, partitions, table
 ROUND_BITS = 3
 _NO_ID = (1 << 63) - 1
 _RUN = "digest binary, n_norm int, n_chars int, id long, n long, home int"
+_ARROW = pa.schema([("digest", pa.binary()), ("n_norm", pa.int32()), ("n_chars", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("home", pa.int32())])
 
 
 def normalised(text: Column) -> Column:
@@ -37,7 +38,7 @@ def _merge(bits: int, mask: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = pa.Table.from_batches([batch])
+            rows = pa.Table.from_batches([batch]).cast(_ARROW)
             if kept is not None:
                 rows = pa.concat_tables([kept, rows])
             rows = rows.combine_chunks()
