@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import sys
 import tempfile
 
 import numpy as np
@@ -14,7 +15,19 @@ from pyspark.sql import functions as F
 _FILTER_BITS = 1 << 25
 
 
+if str(getattr(getattr(sys.modules["__main__"], "__spec__", None), "name", "")).startswith("pyspark."):
+    # a Python worker lives on after its task: memory goes back to the system, not to a pool of its own
+    pa.set_memory_pool(pa.system_memory_pool())
+
+#: Rows of whole texts that a Python worker and its executor hold at a time.
+BATCH_ROWS = 2_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the queries. Lowers the session's Arrow batches to BATCH_ROWS where they are larger: texts may be long."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
