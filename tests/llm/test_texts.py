@@ -219,3 +219,43 @@ def test_layouts(spark):
 def test_digest_columns(spark, sf):
     row = bpe.bpe_digests(frame(spark, [(1, None)]), public_tokenizers.path("word_bpe_49k.json")).first()
     assert (row.n_tokens, row.ids_sha256, row.decoded_sha256) == (0, hashlib.sha256(b"").hexdigest(), hashlib.sha256(b"").hexdigest())
+
+
+GPL3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+"""
+BSD = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:
+"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+
+
+def test_licenses_over_lines_and_side_by_side():
+    names = lambda text: [f["license"] for f in license_scan.scan(text)]
+    filler = "one two three four five\n" * 80
+    for text, name in ((GPL3, "GPL-3.0"), (BSD, "BSD-3-Clause"), (MIT, "MIT")):
+        for wrapped in (text, text.replace("\n", "\r\n"), filler + text + filler, " ".join(text.split())):
+            (found,) = license_scan.scan(wrapped)
+            assert (found["license"], found["wording"], found["differs"]) == (name, 1.0, "")
+            assert wrapped[found["start"] : found["end"]].split()[0] == text.replace("*", "").split()[0]
+    assert names("Released under the MIT License. Licensed under CC BY 4.0.\nReleased under the MIT License.\n" + GPL3) == ["MIT", "CC-BY-4.0", "MIT", "GPL-3.0"]
+    assert names(GPL3.replace("GNU General", "GNU Affero General")) == ["AGPL-3.0"]
+    assert names("Licensed under CC BY-NC-ND 4.0.") == ["CC-BY-NC-ND-4.0"]
+    assert names("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.") == ["CC-BY-SA-4.0"]
+    assert names(GPL3.replace("you can", "you can not")) == []  # an added word that tells licenses apart
+    assert names("Copyright 2020 Somebody. All rights reserved.") == ["Proprietary"]
+    assert names(license_scan.TEMPLATES["BSD-2-Clause"][1]) == ["BSD-2-Clause"]
+    assert names(license_scan.TEMPLATES["BSD-3-Clause"][2]) == ["BSD-3-Clause"]
+    for name, texts in license_scan.TEMPLATES.items():
+        assert all(names(t) == [name] for t in texts)
