@@ -6,7 +6,9 @@ segment. Equal segments are told by hashes and only the one in the smallest
 document goes on. Segments of one gram that differ go through a Burrows-Wheeler
 transform of their texts: a breadth-first backward extension of intervals finds
 the boundaries of common prefixes in increasing length and stops at MIN_BYTES;
-suffixes without a boundary between them share a window.
+suffixes without a boundary between them share a window. The segments of a gram
+that many have, as beside a common line, go on window by window instead, dealt
+by hashes of the windows.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ _LEFT = (MIN_BYTES - GRAM) // 2
 _RIGHT = MIN_BYTES - GRAM - _LEFT + 1
 #: Bytes hashed at a time; bytes of segments that share a suffix array, more only if one gram has more.
 CHUNK, BLOCK = 1 << 18, 1 << 19
+#: Bytes of segments of one gram, above which its windows are dealt one by one; bytes of such segments in a batch of windows.
+HOT, HOT_CHUNK = 1 << 21, 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _C1, _C2 = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 #: Windows in a segment: longer runs, as of periodic text, are cut.
@@ -222,7 +226,9 @@ _RANGE = np.dtype([("start", "<u4"), ("windows", "u1")])
 _WANTED = np.dtype([("start", "<u4"), ("windows", "u1"), ("gram", "<u4")])
 
 _ROWS = "bucket int, doc long, kind int, payload binary"
-_REMOVE, _READ = 0, 1
+_WINDOW = np.dtype([("key", "<u8"), ("more", "<u4"), ("doc", "<i8"), ("start", "<u4")])
+#: Kinds of rows: packed windows, packed segments or strings, ranges to remove, wanted segments, grams with more than HOT bytes.
+_WINDOWS, _PACKED, _REMOVE, _READ, _HOT = -2, -1, 0, 1, 2
 
 
 def _rows(bucket=(), doc=(), kind=None, payload=()) -> pa.RecordBatch:
@@ -290,7 +296,7 @@ def _deal(buckets: int):
                 part = packed[cut[b] : cut[b + 1]]
                 some, part["doc"] = np.unique(owner[at[cut[b] : cut[b + 1]]], return_inverse=True)
                 load.append(np.array([len(part), len(some)], np.int64).tobytes() + ids[some].tobytes() + _columns(part, list(_SEGMENT.names)))
-            yield _rows(bucket=which, kind=-1, payload=load)
+            yield _rows(bucket=which, kind=_PACKED, payload=load)
 
     return run
 
@@ -305,8 +311,8 @@ def _read_segments(load: bytes) -> tuple[np.ndarray, np.ndarray]:
     return ids[out["doc"]], out
 
 
-def _meet(batches):
-    """All segments of a bucket: later copies are removed, and the texts of those that may share windows with others are asked for."""
+def _meet(batches, hot: int = HOT):
+    """All segments of a bucket: later copies are removed, and the texts of those that may share windows with others are asked for; names the grams of which more than `hot` bytes are."""
     got = [_read_segments(load) for batch in batches for load in batch.column(1).to_pylist()]
     if not got:
         return
@@ -344,10 +350,75 @@ def _meet(batches):
     for name in _WANTED.names:
         wanted[name] = every[name][keep]
     yield from _by_doc(every_doc[keep], wanted, _READ)
+    named, at = np.unique(wanted["gram"], return_inverse=True)
+    much = named[np.bincount(at, wanted["windows"].astype(np.int64) + MIN_BYTES - 1, len(named)) > hot]
+    if len(much):
+        yield _rows(kind=_HOT, payload=[much.tobytes()])
 
 
-def _read(buckets: int):
-    """The texts of wanted segments, packed by the bucket of their grams."""
+def window_hashes(strings: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(string, offset, key, more) of all windows of strings; key and more are 96 bits of hashes of a window's bytes."""
+    sizes = np.array([len(s) for s in strings], np.int64)
+    raw = b"".join(strings) + bytes(8)
+    words = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+    per = np.maximum(sizes - MIN_BYTES + 1, 0)
+    owner = np.repeat(np.arange(len(strings)), per)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(per) - per, per)
+    at = (np.cumsum(sizes) - sizes)[owner] + offset
+    key, more = np.zeros(len(at), np.uint64), np.ones(len(at), np.uint64)
+    for k in [*range(0, MIN_BYTES - 8, 8), MIN_BYTES - 8]:
+        word = words[at + k]
+        key, more = mixed(key * _C1 ^ word), mixed(more * _C2 ^ mixed(word))
+    return owner, offset, key, (more >> np.uint64(32)).astype(np.uint32)
+
+
+def _first_windows(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal windows those in the smallest document, and the others."""
+    windows = windows[np.lexsort((windows["doc"], windows["more"], windows["key"]))]
+    if not len(windows):
+        return windows, windows
+    at = np.flatnonzero(np.append(True, (windows["key"][1:] != windows["key"][:-1]) | (windows["more"][1:] != windows["more"][:-1])))
+    later = windows["doc"] > np.repeat(windows["doc"][at], np.diff(np.append(at, len(windows))))
+    return windows[~later], windows[later]
+
+
+def _removed(windows: np.ndarray):
+    """Rows that remove windows, those in a row of a document as one range."""
+    windows = windows[np.lexsort((windows["start"], windows["doc"]))]
+    doc, start = windows["doc"], windows["start"].astype(np.int64)
+    head = np.append(True, (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1))[: len(doc)]
+    run = np.flatnonzero(head)
+    place = np.arange(len(doc)) - np.repeat(run, np.diff(np.append(run, len(doc))))
+    at = np.flatnonzero(place % _RUN == 0)
+    yield from _by_doc(doc[at], _ranges(start[at], np.diff(np.append(at, len(doc)))), _REMOVE)
+
+
+def _deal_windows(strings: list[bytes], doc: np.ndarray, start: np.ndarray, buckets: int):
+    """Windows of segments to the buckets of their hashes. Of equal ones in a part of HOT_CHUNK bytes only those in the smallest document go; the others are removed."""
+    part = np.cumsum([len(s) for s in strings]) // HOT_CHUNK
+    for some in np.split(np.arange(len(strings)), np.flatnonzero(np.diff(part)) + 1):
+        owner, offset, key, more = window_hashes([strings[k] for k in some])
+        windows = np.empty(len(owner), _WINDOW)
+        windows["key"], windows["more"], windows["doc"], windows["start"] = key, more, doc[some][owner], start[some][owner] + offset
+        windows, later = _first_windows(windows)
+        yield from _removed(later)
+        bucket = (windows["key"] % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        which = np.flatnonzero(np.diff(cut))
+        yield _rows(bucket=which, kind=_WINDOWS, payload=[_columns(windows[order[cut[b] : cut[b + 1]]], list(_WINDOW.names)) for b in which])
+
+
+def _read_windows(load: bytes) -> np.ndarray:
+    out, at = np.empty(len(load) // _WINDOW.itemsize, _WINDOW), 0
+    for name in _WINDOW.names:
+        out[name] = np.frombuffer(load, _WINDOW[name], len(out), at)
+        at += len(out) * _WINDOW[name].itemsize
+    return out
+
+
+def _read(buckets: int, hot: np.ndarray):
+    """The texts of wanted segments, packed by the bucket of their grams; those of `hot` grams as windows."""
 
     def run(batches):
         for batch in batches:
@@ -363,6 +434,12 @@ def _read(buckets: int):
             if not strings:
                 continue
             doc, start, gram = np.concatenate(doc), np.concatenate(start), np.concatenate(gram)
+            much = np.isin(gram, hot)
+            if much.any():
+                at = np.flatnonzero(much)
+                yield from _deal_windows([strings[k] for k in at], doc[at], start[at], buckets)
+                at = np.flatnonzero(~much)
+                strings, doc, start, gram = [strings[k] for k in at], doc[at], start[at], gram[at]
             bucket = gram.astype(np.int64) % buckets
             order = np.argsort(bucket, kind="stable")
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -371,11 +448,29 @@ def _read(buckets: int):
                 at = order[cut[b] : cut[b + 1]]
                 some = [strings[k] for k in at]
                 load.append(np.int64(len(at)).tobytes() + gram[at].astype("<u4").tobytes() + doc[at].tobytes() + start[at].astype("<u4").tobytes() + np.array([len(s) for s in some], "<u4").tobytes() + b"".join(some))
-            yield _rows(bucket=which, kind=-1, payload=load)
+            yield _rows(bucket=which, kind=_PACKED, payload=load)
 
     return run
 
 
+def _compare(batches):
+    """Windows of a bucket that a smaller document also has: of packed strings by suffix arrays, of packed windows by their hashes; ranges to remove pass."""
+    windows: list[np.ndarray] = []
+    passing: list[pa.RecordBatch] = []
+
+    def strings():
+        for batch in batches:
+            kind = batch.column(2).to_numpy()
+            passing.append(batch.filter(pa.array(kind == _REMOVE)))
+            windows.extend(_read_windows(load) for load in batch.filter(pa.array(kind == _WINDOWS)).column(3).to_pylist())
+            yield batch.filter(pa.array(kind == _PACKED)).select(["bucket", "payload"])
+
+    yield from _transform(strings())
+    yield from passing
+    if windows:
+        yield from _removed(_first_windows(np.concatenate(windows))[1])
+
+
 def _transform(batches):
     """Windows that a smaller document also has, by suffix arrays over blocks of whole gram groups."""
     gram, doc, start, strings = [], [], [], []
@@ -440,7 +535,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     not read.
     """
     spark = docs.sparkSession
-    buckets = max(partitions(spark), 12)
+    buckets, limit = max(partitions(spark), 12), HOT
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     sound = docs.where(F.col("id").isNotNull())
     dealt = sound.where(F.octet_length("text") >= MIN_BYTES).mapInArrow(_deal(buckets), _ROWS)
@@ -456,15 +551,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 yield batch.filter(pa.array(mine)).select(["bucket", "payload"])
 
         passing: list[pa.RecordBatch] = []
-        yield from _meet(only_segments())
+        yield from _meet(only_segments(), limit)
         yield from passing
 
     met = checkpoint(dealt.mapInArrow(meet, _ROWS).select("doc", "kind", "payload"))
     del dealt
     free(spark)
     wanted = met.where(F.col("kind") == _READ).groupBy(F.col("doc").alias("id")).agg(F.collect_list("payload").alias("loads"))
-    texts = sound.join(wanted.hint("shuffle_hash"), "id").select("id", "text", "loads").mapInArrow(_read(buckets), _ROWS)
-    shared = checkpoint(texts.select("bucket", "payload").repartitionById(buckets, "bucket").mapInArrow(_transform, _ROWS).select("doc", "payload"))
+    # at most one for every HOT bytes of wanted segments
+    hot = [np.frombuffer(r.payload, "<u4") for r in met.where(F.col("kind") == _HOT).select("payload").collect()]
+    hot = np.concatenate([np.zeros(0, "<u4"), *hot])
+    texts = sound.join(wanted.hint("shuffle_hash"), "id").select("id", "text", "loads").mapInArrow(_read(buckets, hot), _ROWS)
+    shared = checkpoint(texts.withColumn("bucket", way).repartitionById(buckets, "bucket").mapInArrow(_compare, _ROWS).select("doc", "payload"))
     del wanted, texts
     free(spark)
     removed = met.where(F.col("kind") == _REMOVE).select("doc", "payload").union(shared)

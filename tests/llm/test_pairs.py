@@ -6,6 +6,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,6 +171,41 @@ def test_suffix_dedup_edges(spark):
     assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0), (1, 0), (2, 60), (2, 60)]
 
 
+def beside_a_line(rng, n):
+    """Documents that share a line between words of their own, and in part more."""
+    line = "this line of some sixty bytes stands in very many documents."
+    near = [words(rng, 4) for _ in range(5)]
+    return [(i, f"{words(rng, 6)} {rng.choice(near)} {line} {rng.choice(near)} {words(rng, 6)}") for i in range(n)]
+
+
+def test_suffix_dedup_hot_grams(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "HOT", 400)
+    rows = beside_a_line(random.Random(6), 60)
+    got = {r.doc_id: (r.n_bytes, [(s.start, s.end) for s in r.spans], r.kept_sha256) for r in suffix_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert got == cut(rows)
+
+
+def test_hot_grams_never_share_a_suffix_array(monkeypatch):
+    """The steps of op2 in one process: no array is longer than a block and the most that one gram may have."""
+    rows = beside_a_line(random.Random(7), 3000)
+    limit = 20_000
+    sizes = []
+    exact = suffix_dedup.repeated_windows
+    monkeypatch.setattr(suffix_dedup, "BLOCK", limit)
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", lambda strings, docs: sizes.append(sum(map(len, strings))) or exact(strings, docs))
+    table = pa.record_batch({"id": pa.array([i for i, _ in rows], pa.int64()), "text": [t for _, t in rows]})
+    met = [r for b in suffix_dedup._meet((b.select(["bucket", "payload"]) for b in suffix_dedup._deal(1)([table]) if b.column(2)[0].as_py() < 0), limit) for r in b.to_pylist()]
+    hot = np.concatenate([np.frombuffer(r["payload"], "<u4") for r in met if r["kind"] == suffix_dedup._HOT])
+    loads = {}
+    for r in met:
+        if r["kind"] == suffix_dedup._READ:
+            loads.setdefault(r["doc"], []).append(r["payload"])
+    wanted = pa.record_batch({"id": pa.array(list(loads), pa.int64()), "text": [rows[i][1] for i in loads], "loads": list(loads.values())})
+    assert len(hot)
+    found = list(suffix_dedup._compare(suffix_dedup._read(3, hot)([wanted])))
+    assert found and sizes and max(sizes) <= 2 * limit
+
+
 @pytest.mark.parametrize("depth", [2, 5, 9])
 def test_bounded_suffix_arrays(depth):
     rng = np.random.default_rng(depth)
