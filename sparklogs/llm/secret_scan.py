@@ -4,6 +4,8 @@ A candidate is a key-like string in a sensitive context. Its novelty is what it
 adds to a zstandard frame whose dictionary holds common identifiers and the text
 around the candidate, divided by its length. Text and identifiers are in the
 dictionary and cost nearly nothing; random keys cost about what they are long.
+Words that the dictionary lacks cost that too: without digits, a candidate must
+also be made of pairs of letters that are rare in identifiers and text.
 """
 
 from __future__ import annotations
@@ -22,7 +24,9 @@ from sparklogs.llm.common import table
 KINDS = ("assign", "access", "hex", "novel")
 #: Candidates cost at least this part of their length when compressed after their context.
 MIN_NOVELTY = 0.75
-#: Code points on either side that prime the compressor, and how far after a sensitive word a candidate may begin.
+#: A string without digits has at most this part of its pairs of letters from the identifiers and its context.
+MAX_FAMILIAR = 0.75
+#: Code points on either side that prime the compressor, and how far from a sensitive word a candidate may begin or end.
 CONTEXT, REACH = 512, 64
 
 
@@ -38,8 +42,18 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _ASSIGN_HINTS = ("passw", "secret", "token", "apikey", "api_key")
 #: Words that make a context sensitive.
 SENSITIVE = ("password", "passwd", "passphrase", "secret", "token", "apikey", "api_key", "api-key", "access_key", "private_key", "credential", "authorization", "bearer", "auth_")
-_SENSITIVE = re.compile("|".join(_any_case(w) for w in SENSITIVE))
+#: More of them, which are news to the compressor.
+ALSO_SENSITIVE = ("api key", "access-key", "access key", "accesskey", "private-key", "private key", "privatekey", "signing_key", "signing key", "encryption_key", "encryption key", "pwd")
+_HINTS = (*SENSITIVE, *ALSO_SENSITIVE)
+_SENSITIVE = re.compile("|".join(_any_case(w) for w in _HINTS))
 _KEYLIKE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: The next line of a key that goes on, by a line break or one written as \\n; and the last, shorter one of a base64 text.
+_NEXT = re.compile(r"""["'\\+,;\x20\t]*(?:\r?\n|\\n)[\x20\t]*["']?([A-Za-z0-9+/_.=-]{16,})(?=["'\\,;+)\x20\t]*(?:\r?\n|\Z|\\n|["']))""")
+_LAST = re.compile(r"""["'\\+,;\x20\t]*(?:\r?\n|\\n)[\x20\t]*["']?([A-Za-z0-9+/]*[0-9+/][A-Za-z0-9+/]*={0,2}|[A-Za-z0-9+/]+={1,2})(?=["'\\,;+)\x20\t]*(?:\r?\n|\Z|\\n|["']))""")
+_BEGIN, _END = (re.compile(rf"-----{x} [A-Z0-9\x20]*PRIVATE KEY(?: BLOCK)?-----") for x in ("BEGIN", "END"))
+_PEM_LINE = re.compile(r"(?:\s|\\[nr])*([A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9+/]+={1,2})")
+#: What replaces a secret; no sensitive word itself.
+MARK = "[SECRET]"
 #: Identifiers that are no news in code, from Python's own names.
 IDENTIFIERS = " ".join([*keyword.kwlist, *dir(builtins), *dir(str), *dir(dict), *SENSITIVE]).encode()
 
@@ -66,41 +80,106 @@ def novelty(candidate: str, context: str) -> float:
     return (len(press.compress(raw)) - len(press.compress(b""))) / len(raw)
 
 
+def _pairs(text: str) -> set[str]:
+    low = text.lower()
+    return {a + b for a, b in zip(low, low[1:], strict=False) if a.isalpha() and b.isalpha()}
+
+
+_KNOWN_PAIRS = _pairs(IDENTIFIERS.decode())
+
+
+def strange(word: str, context: str) -> bool:
+    """Whether a string has digits, or letters in an order that is rare in identifiers and `context`."""
+    if any(c.isdigit() for c in word):
+        return True
+    low = word.lower()
+    pairs = [a + b for a, b in zip(low, low[1:], strict=False) if a.isalpha() and b.isalpha()]
+    known = _KNOWN_PAIRS | _pairs(context)
+    return bool(pairs) and sum(p in known for p in pairs) <= MAX_FAMILIAR * len(pairs)
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Key-like strings that begin within REACH after a sensitive word: letters and digits mixed, 16 characters or more."""
+    """Key-like strings of 16 characters or more that begin within REACH after a sensitive word or end within REACH before it, and the lines they go on in."""
     found = {}
     low = text.lower()
-    if not any(word in low for word in SENSITIVE):
+    if not any(word in low for word in _HINTS):
         return []
     for hint in _SENSITIVE.finditer(text):
+        if text[max(0, hint.start() - 1) : hint.end() + 1] == MARK:
+            continue
         at, last = hint.end(), hint.end() + REACH
         while m := _KEYLIKE.search(text, at, last + 16):  # only as far as a candidate may begin
             m = _KEYLIKE.match(text, m.start())
-            word = m.group()
-            if any(c.isdigit() for c in word) and any(c.isalpha() for c in word):
-                found[m.start()] = m.end()
+            found[m.start()] = m.end()
+            at = m.end()
+        at = max(0, hint.start() - REACH)
+        while at and _keylike_char(text[at - 1]) and _keylike_char(text[at]):
+            at -= 1
+        while (m := _KEYLIKE.search(text, at)) and m.end() < hint.start():
+            found[m.start()] = m.end()
             at = m.end()
+    for end in list(found.values()):
+        while (m := _NEXT.match(text, end)) and m.start(1) not in found:
+            found[m.start(1)] = end = m.end(1)
     return sorted(found.items())
 
 
+def _keylike_char(c: str) -> bool:
+    return c.isascii() and (c.isalnum() or c in "+/_.=-")
+
+
+def _around(text: str, start: int, end: int) -> str:
+    return text[max(0, start - CONTEXT) : start] + text[end : end + CONTEXT]
+
+
+def private_keys(text: str, min_novelty: float) -> list[tuple[int, int, float]]:
+    """(start, end, novelty) of armoured private keys with a novel line; one without an end goes as far as its lines do."""
+    if "PRIVATE KEY" not in text:
+        return []
+    begins, out = list(_BEGIN.finditer(text)), []
+    for m, limit in zip(begins, [b.start() for b in begins[1:]] + [len(text)] * bool(begins), strict=True):
+        stop = _END.search(text, m.end(), limit)
+        end = stop.end() if stop else m.end()
+        while not stop and (line := _PEM_LINE.match(text, end)):
+            end = line.end()
+        lines = [w for w in _KEYLIKE.finditer(text, m.end(), stop.start() if stop else end) if any(c.isalnum() for c in w.group())]
+        part = max((novelty(w.group(), _around(text, m.start(), end)) for w in lines if strange(w.group(), "")), default=0.0)
+        if part >= min_novelty:
+            out.append((m.start(), end, part))
+    return out
+
+
 def scan(text: str | None, min_novelty: float = MIN_NOVELTY) -> list[tuple[int, int, int, float | None]]:
     """(start, kind number, end, novelty) of all spans by start, then kind.
 
-    Null counts as empty. Novel spans never overlap base spans, which all stay; a
-    base span that holds a candidate carries its novelty, other base spans null.
+    Null counts as empty. Base spans all stay; one that a candidate meets carries
+    its novelty, others null. A novel span may overlap base spans that it extends
+    beyond by something key-like, and never lies within them.
     """
     if not text:
         return []
     base = base_spans(text)
-    new, measured = [], {}
+    keys = private_keys(text, min_novelty)
+    new, measured = [(s, 3, e, v) for s, e, v in keys], {}
     for start, end in candidates(text):
-        around = text[max(0, start - CONTEXT) : start] + text[end : end + CONTEXT]
+        if any(s < end and start < e for s, e, _ in keys):
+            continue
+        around = _around(text, start, end)
         part = novelty(text[start:end], around)
         inside = [b for b in base if b[0] < end and start < b[2]]
         for b in inside:
             measured[b] = max(part, measured.get(b, 0.0))
-        if not inside and part >= min_novelty:
+        rest, at = [], start  # what base spans leave of it
+        for s, _, e in inside:
+            rest.append(text[at : max(at, s)])
+            at = max(at, e)
+        rest.append(text[at:end] if at < end else "")
+        if part >= min_novelty and any(strange(r, around) for r in rest if r):
             new.append((start, 3, end, part))
+            # the last line of a key over several lines may be short
+            if (m := _LAST.match(text, end)) and not any(b[0] < m.end(1) and m.start(1) < b[2] for b in base) and end - start >= 40:
+                new.append((m.start(1), 3, m.end(1), part))
+    new = list({s[:3]: s for s in new}.values())
     return sorted([(*b, measured.get(b)) for b in base] + new, key=lambda s: s[:3])
 
 
@@ -123,7 +202,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(each, OUT)
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", min_novelty: float = MIN_NOVELTY) -> DataFrame:
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = MARK, min_novelty: float = MIN_NOVELTY) -> DataFrame:
     """`docs` with every span of its texts (overlapping ones joined) replaced by `mark`; other columns stay as they are."""
     schema = docs.schema
     at = schema.fieldNames().index(text_col)
