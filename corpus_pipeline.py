@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparklogs.llm import exact_dedup, jaccard_join, packing, secret_scan, toxicity
-from sparklogs.llm.common import table, without_ids
+from sparklogs.llm.common import checkpoint, table, with_row_key, without_ids
+
+
+#: The key of rows within a stage: ids may be null or repeat.
+_ROW = "sparklogs_row"
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,13 +24,22 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for white space one stays."""
-    return without_ids(docs, exact_dedup.exact_dedup(docs).where("NOT kept").select(F.col("doc_id").alias("id")))
+    keyed = with_row_key(docs, _ROW)
+    found = exact_dedup.exact_dedup(keyed, row_col=_ROW)
+    return without_ids(keyed, found.where("NOT kept").select(F.col("row").alias("id")), _ROW).select(docs.columns)
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by five-word shingles at 0.8 the smallest id stays."""
-    groups = jaccard_join.jaccard_components(docs, percent=80, width=5)
-    return without_ids(docs, groups.where("component_id <> doc_id").select(F.col("doc_id").alias("id")))
+    """Of each group linked by five-word shingles at 0.8 the row with the smallest id stays; no id comes last."""
+    keyed = with_row_key(docs, _ROW)
+    groups = jaccard_join.jaccard_components(keyed, percent=80, width=5, id_col=_ROW)
+    groups = checkpoint(groups.select(F.col("doc_id").alias("row"), "component_id"))
+    shared = groups.where("row <> component_id").select("component_id").distinct()
+    rows = groups.where("row <> component_id").union(shared.select(F.col("component_id").alias("row"), "component_id"))
+    rows = checkpoint(rows.join(keyed.select(F.col(_ROW).alias("row"), F.col("doc_id").cast("long").alias("id")), "row"))
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row")))
+    stay = rows.groupBy("component_id").agg(first.alias("first")).select(F.col("first.row").alias("row"))
+    return without_ids(keyed, rows.join(stay, "row", "left_anti").select(F.col("row").alias("id")), _ROW).select(docs.columns)
 
 
 def secrets_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

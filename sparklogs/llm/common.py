@@ -8,6 +8,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,6 +123,20 @@ def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return _marked(docs.where("id IS NOT NULL"), ids, "id", True)
 
 
+def with_row_key(docs: DataFrame, name: str) -> DataFrame:
+    """`docs` with a long key of each row that is the same in every plan.
+
+    Rows of Parquet files read as they are go by 64-bit hashes of their file and
+    place in it, so nothing is written; other tables are checkpointed with numbers.
+    """
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        try:
+            return docs.select("*", F.xxhash64("_metadata.file_path", "_metadata.row_index").alias(name))
+        except AnalysisException:
+            pass
+    return checkpoint(docs.withColumn(name, F.monotonically_increasing_id()))
+
+
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """`docs` without the rows whose id is in `ids (id)`; rows with a null id stay. Texts that surely stay aren't shuffled."""
     ids = checkpoint(ids.select(F.col("id").cast("long").alias("id")).where("id IS NOT NULL").distinct())

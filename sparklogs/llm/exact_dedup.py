@@ -21,8 +21,8 @@ from sparklogs.llm.common import checkpoint, partitions, table
 #: Bits of the partition number that one round settles: 8 runs meet in a merge.
 ROUND_BITS = 3
 _NO_ID = (1 << 63) - 1
-_RUN = "digest binary, n_norm int, n_chars int, id long, n long, home int"
-_ARROW = pa.schema([("digest", pa.binary()), ("n_norm", pa.int32()), ("n_chars", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("home", pa.int32())])
+_RUN = "digest binary, n_norm int, n_chars int, id long, n long, home int, row long"
+_ARROW = pa.schema([("digest", pa.binary()), ("n_norm", pa.int32()), ("n_chars", pa.int32()), ("id", pa.int64()), ("n", pa.int64()), ("home", pa.int32()), ("row", pa.int64())])
 
 
 def normalised(text: Column) -> Column:
@@ -67,13 +67,14 @@ def _words(digests: pa.Array) -> np.ndarray:
 
 
 def merge_runs(rows: DataFrame, width: int) -> DataFrame:
-    """(digest, n_norm, n_chars, id, n): for each digest the best row (most characters, smallest id) and the number of rows.
+    """(digest, n_norm, n_chars, id, n, row): for each digest the best row (most characters, smallest id, smallest row key) and the number of rows.
 
     `width`: partitions of the last round, raised to a power of two.
     """
     bits = max(1, (max(2, width) - 1).bit_length())
-    best_first = ["digest", "n_norm", F.desc("n_chars"), "id"]
-    runs = rows.withColumn("n", F.lit(1).cast("long")).withColumn("home", F.spark_partition_id() % (1 << bits))
+    best_first = ["digest", "n_norm", F.desc("n_chars"), "id", "row"]
+    home = F.spark_partition_id() % (1 << bits)
+    runs = rows.select("digest", "n_norm", "n_chars", "id", F.lit(1).cast("long").alias("n"), home.alias("home"), "row")
     for done in range(0, bits, ROUND_BITS):
         mask = ((1 << min(ROUND_BITS, bits - done)) - 1) << done
         runs = runs.sortWithinPartitions(*best_first).mapInArrow(_merge(bits, mask), _RUN)
@@ -81,15 +82,17 @@ def merge_runs(rows: DataFrame, width: int) -> DataFrame:
     return runs.sortWithinPartitions(*best_first).mapInArrow(_merge(bits, 0), _RUN).drop("home")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """One row per row of `docs`: (doc_id, keep_id, group_size, kept, text_sha256).
 
     Texts are equal when identical without white space (see `normalised`); the
     row with the most code points in its original text stays, then the smallest
     id. Null texts count as empty, and all empty texts are one group. A null id
     sorts last and comes back as null; rows that share an id and a text are all
-    kept or dropped together. Other columns of `docs` are not read. An empty
-    table gives an empty result.
+    kept or dropped together, unless `row_col` names a long key of rows: then one
+    row of a group stays, in the end that with the smallest key, and the key is a
+    further column `row`. Other columns of `docs` are not read. An empty table
+    gives an empty result.
     """
     text = normalised(F.col(text_col))
     rows = docs.select(
@@ -97,17 +100,19 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.length(text).alias("n_norm"),
         F.coalesce(F.length(text_col), F.lit(0)).alias("n_chars"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"),
+        (F.col(row_col) if row_col else F.lit(0)).cast("long").alias("row"),
     )
     rows = checkpoint(rows)
     best = merge_runs(rows, partitions(docs.sparkSession))
-    best = best.select("digest", "n_norm", F.col("id").alias("keep"), F.col("n").alias("group_size"))
+    best = best.select("digest", "n_norm", F.col("id").alias("keep"), F.col("row").alias("keep_row"), F.col("n").alias("group_size"))
     real = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     return rows.join(best, ["digest", "n_norm"]).select(
         real("id").alias("doc_id"),
         real("keep").alias("keep_id"),
         "group_size",
-        (F.col("id") == F.col("keep")).alias("kept"),
+        ((F.col("id") == F.col("keep")) & (F.col("row") == F.col("keep_row"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
+        *(["row"] if row_col else []),
     )
 
 

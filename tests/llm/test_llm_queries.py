@@ -28,6 +28,21 @@ def test_all_are_registered():
     assert known["pipeline"] is corpus_pipeline.run
 
 
+@pytest.mark.parametrize("stored", [False, True])
+def test_copies_go_by_row(spark, sf, tmp_path, stored):
+    """Repeated and null ids: one row of each text, and of each group of near copies, stays."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    near = f"{a} more"
+    rows = [(1, a), (1, a), (None, a), (2, a), (2, b), (None, c), (None, c), (3, near), (None, near)]
+    docs = spark.createDataFrame([(i, t, "en", "x", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    if stored:
+        docs.write.parquet(f"{tmp_path}/docs")
+        docs = spark.read.parquet(f"{tmp_path}/docs")
+    stay = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    assert stay(corpus_pipeline.copies_out(spark, docs, sf)) == sorted([(1, a), (2, b), (None, c), (3, near)], key=str)
+    assert stay(corpus_pipeline.near_copies_out(spark, docs, sf)) == sorted([(1, a), (2, b), (None, c)], key=str)
+
+
 def test_pipeline(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns = docs.columns
