@@ -43,7 +43,7 @@ MAPPINGS = {
     "response": ("OBJECT<prompt, response>", [("user", ["$.prompt"]), ("assistant", ["$.response"])]),
     "question": ("OBJECT<answer, question>", [("user", ["$.question"]), ("assistant", ["$.answer"])]),
 }
-#: Role names of other layouts.
+#: Role names of lists of turns in other layouts; a record that is one turn keeps its own.
 ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 _TURN = "array<struct<turn: bigint, role: string, text: string>>"
 
@@ -80,7 +80,7 @@ def _mapped(record: Column, turns: list[tuple]) -> Column:
         return F.array(
             F.struct(
                 F.try_variant_get(record, turn, "long").alias("turn"),
-                role_of(_text(record, role)).alias("role"),
+                _text(record, role).alias("role"),
                 _text(record, text).alias("text"),
             )
         )
