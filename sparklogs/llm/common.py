@@ -32,16 +32,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of `df` through the shared folder in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir, which driver and executors share.
 
-    A folder of our own is set only where the session names none, as in tests.
+    Where the session names none, a folder of this machine serves local sessions,
+    as in tests; on a cluster that is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named
+    if not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return tempfile.mkdtemp(prefix="sparklogs-checkpoint-")
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cuts the lineage of `df` through the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sparklogs-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

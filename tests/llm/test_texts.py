@@ -48,10 +48,39 @@ def test_bpe_speculation_equals_merging():
     one = bpe.loaded(public_tokenizers.path("word_bpe_49k.json"))
     rng = random.Random(2)
     words = list({"".join(rng.choice("theinganrodl") for _ in range(rng.randrange(1, 15))) for _ in range(3000)})
+    words += ["a" * n for n in range(1, 90)] + ["ab" * 50, "é" * 40]
     before = one.failed
-    one.learn(words)
+    got = one.tokens(words)
     assert 0 < one.failed - before < len(words)
-    assert all(np.frombuffer(one.known[w], "<u4").tolist() == one.merge(w.encode()) for w in words)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == [one.merge(w.encode()) for w in words]
+
+
+def test_bpe_pair_test_equals_merging():
+    """Every token by itself, and 20,000 pairs of tokens, against the merges of their joint bytes."""
+    one = bpe.loaded(public_tokenizers.path("word_bpe_49k.json"))
+    tokens = [(i, raw, end) for known, end in ((one.inner, False), (one.final, True)) for raw, i in known.items()]
+    assert all((one.merge(raw, end) == [i]) == one.trees.sound[i] for i, raw, end in tokens)
+    rng = random.Random(9)
+    inner = [t for t in tokens if not t[2]]
+    pairs = [(rng.choice(inner), rng.choice(tokens)) for _ in range(20_000)]
+    held = one.trees.holds(np.array([a[0] for a, _ in pairs]), np.array([b[0] for _, b in pairs]))
+    assert [one.merge(a[1] + b[1], b[2]) == [a[0], b[0]] for a, b in pairs] == held.tolist()
+    assert 0 < held.sum() < len(pairs)
+
+
+def test_bpe_every_code_point():
+    """Each code point within, after and before a word, and alone, as the library has it."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, one = tokenizers.Tokenizer.from_file(path), bpe.loaded(path)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    known = [c for c in points if not bpe._unknown(c)]
+    news = [c for c in points if bpe._unknown(c)]
+    texts = [f"ab{c}cd 1{c}. {c}" for c in known + news[::50]]
+    texts += ["".join(f"ab{c}cd 1{c}. {c} " for c in news[k : k + 5000]) for k in range(0, len(news), 5000)]
+    for k in range(0, len(texts), 20_000):
+        some = texts[k : k + 20_000]
+        for text, mine, theirs in zip(some, one.encode_batch(some), library.encode_batch(some, add_special_tokens=False), strict=True):
+            assert np.frombuffer(mine, "<u4").tolist() == theirs.ids, text[:20]
 
 
 def test_pieces_and_packing(spark):
@@ -241,7 +270,7 @@ def test_layouts(spark):
         [("user", "do"), ("assistant", "done")],
         [("user", "p"), ("assistant", "c")],
         [("user", "q"), ("assistant", "5")],
-        [("user", "")],
+        [("human", "")],
     ]
     assert got[7] == got[8] == [(None, None, None)]
 
