@@ -5,7 +5,12 @@ common order of shingles, so documents meet in one bucket for each such shingle;
 the order puts common shingles last, which keeps buckets small. The members of a
 bucket form a tree whose nodes hold OR-combined bitmaps and size ranges. A dual
 traversal drops pairs of nodes whose largest possible overlap is too small, or
-that are linked already; pairs of documents that are left are checked exactly.
+that are linked already; pairs of sets that are left are intersected exactly.
+
+A bucket of many members is cut into blocks with a tree each. When those are
+linked, one member of each group of a block goes on to trees of the next round.
+What then is in more than one group is compared across blocks whose size ranges
+allow a link and which aren't one and the same group.
 """
 
 from __future__ import annotations
@@ -28,13 +33,14 @@ SHARED = 8
 COMMON, COMMON_FROM, COMMON_IN_BATCH = 1 << 19, 16, 3
 #: Shingles of a task among which common ones are counted at a time.
 COMMON_SPAN = 4_000_000
-#: Buckets with more members are compared by trees; members of a tree; fan-out; bits for a shingle, least and most bits of a bitmap.
-SMALL, BLOCK, FANOUT, BITS = 16, 512, 8, (8, 512, 1 << 16)
-#: Postings of a common shingle that share a bucket of the shuffle.
-_SPREAD = 2048
+#: Members of a tree; fan-out; bits for a shingle, least and most bits of a bitmap.
+BLOCK, FANOUT, BITS = 256, 8, (8, 512, 1 << 16)
+#: Postings of a common shingle that share a bucket of the shuffle, and postings of a bucket, about.
+_SPREAD, _POSTINGS = 2048, 4_000_000
 
-_DOC_ROWS = "id long, n long, node long"
+_DOC_ROWS = "id long, n long, node binary, count long"
 _BLOBS = "bucket int, payload binary"
+_NODE = "V16"
 
 
 def shared_at_least(n: int, percent: int) -> int:
@@ -51,8 +57,9 @@ def first_shingles(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + shared_at_least(n, percent)
 
 
-def _node(shingles: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _node(shingles: np.ndarray) -> bytes:
+    """The name of a set, 128 bits."""
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
 def _sets_of(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
@@ -60,14 +67,15 @@ def _sets_of(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
 
 
 def document_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(id, n, node): size and name of each set; and, with n = -1, (id = shingle, node = count) of shingles that are common within a part of a task."""
+    """(id, n, node, count): size and name of each set; and, with n = -1, (id = shingle, count) of shingles that are common within a part of a task."""
 
     def often(sets: list[np.ndarray]) -> pa.RecordBatch:
         everything = np.sort(np.concatenate(sets))
         at = np.flatnonzero(np.append(True, everything[1:] != everything[:-1])) if len(everything) else np.zeros(0, int)
         count = np.diff(np.append(at, len(everything)))
         keep = count >= COMMON_IN_BATCH
-        return pa.RecordBatch.from_arrays([pa.array(everything[at[keep]].view(np.int64)), pa.array(np.full(keep.sum(), -1)), pa.array(count[keep])], ["id", "n", "node"])
+        k = int(keep.sum())
+        return pa.RecordBatch.from_arrays([pa.array(everything[at[keep]].view(np.int64)), pa.array(np.full(k, -1)), pa.nulls(k, pa.binary()), pa.array(count[keep])], ["id", "n", "node", "count"])
 
     def each(batches):
         held: list[np.ndarray] = []
@@ -75,7 +83,7 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             sets = _sets_of(batch, width)
             n = pa.array([len(s) for s in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array([_node(s) if len(s) else None for s in sets], pa.int64())], ["id", "n", "node"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array([_node(s) if len(s) else None for s in sets], pa.binary()), pa.nulls(len(sets), pa.int64())], ["id", "n", "node", "count"])
             held += sets
             size += sum(map(len, sets))
             if size >= COMMON_SPAN:
@@ -89,15 +97,20 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
 
 def common_shingles(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(shingles, counts) of the most common ones, at most COMMON, by shingle."""
-    top = rows.where("n = -1").groupBy("id").agg(F.sum("node").alias("df")).where(F.col("df") >= COMMON_FROM)
+    top = rows.where("n = -1").groupBy("id").agg(F.sum("count").alias("df")).where(F.col("df") >= COMMON_FROM)
     got = top.orderBy(F.desc("df"), "id").limit(COMMON).toArrow()
     names, df = got["id"].to_numpy().view(np.uint64), got["df"].to_numpy()
     order = np.argsort(names)
     return names[order], df[order]
 
 
+def _width(n: int) -> int:
+    """Bits of the bitmap of n shingles."""
+    return min(max(1 << (BITS[0] * n - 1).bit_length(), BITS[1]), BITS[2])
+
+
 def bitmap(shingles: np.ndarray) -> bytes:
-    bits = min(max(1 << (BITS[0] * len(shingles) - 1).bit_length(), BITS[1]), BITS[2])
+    bits = _width(len(shingles))
     out = np.zeros(bits, np.uint8)
     out[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
     return np.packbits(out, bitorder="little").tobytes()
@@ -126,9 +139,10 @@ def postings(docs: DataFrame, width: int, percent: int, common: tuple[np.ndarray
                 owner.append(np.full(len(got), k, np.uint32))
             if not sets:
                 continue
-            node = np.fromiter(sets, np.int64, len(sets))
+            node = np.frombuffer(b"".join(sets), _NODE)
+            turn = np.frombuffer(b"".join(sets), np.uint64)[::2]
             flat, own, salt = np.concatenate(firsts), np.concatenate(owner), np.concatenate(salts)
-            move = np.where(salt > 1, (node[own].view(np.uint64) % np.maximum(salt, 1).astype(np.uint64)).astype(np.int64) + 1, 0)
+            move = np.where(salt > 1, (turn[own] % np.maximum(salt, 1).astype(np.uint64)).astype(np.int64) + 1, 0)
             bucket = ((flat >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
             bucket = (bucket + move * 7919) % buckets
             order = np.argsort(bucket, kind="stable")
@@ -150,22 +164,23 @@ def _unpack(batches):
         for load in batch.column(1).to_pylist():
             n = int(np.frombuffer(load, np.int64, 1)[0])
             flat.append(np.frombuffer(load, np.uint64, n, 8))
-            node.append(np.frombuffer(load, np.int64, n, 8 + 8 * n))
-            often.append(np.frombuffer(load, bool, n, 8 + 16 * n))
+            node.append(np.frombuffer(load, np.uint64, 2 * n, 8 + 8 * n).reshape(-1, 2))
+            often.append(np.frombuffer(load, bool, n, 8 + 24 * n))
     if flat:
         flat, node, often = np.concatenate(flat), np.concatenate(node), np.concatenate(often)
-        order = np.lexsort((node, flat))
+        order = np.lexsort((node[:, 1], node[:, 0], flat))
         flat, node, often = flat[order], node[order], often[order]
-        new = np.append(True, (flat[1:] != flat[:-1]) | (node[1:] != node[:-1]))
+        new = np.append(True, (flat[1:] != flat[:-1]) | (node[1:] != node[:-1]).any(axis=1))
         flat, node, often = flat[new], node[new], often[new]
         same = np.append(flat[1:] == flat[:-1], False)
         keep = same | np.append(False, same[:-1]) | often
         for at in np.array_split(np.flatnonzero(keep), max(1, int(keep.sum()) // 50_000)):
-            yield pa.RecordBatch.from_arrays([pa.array(flat[at].view(np.int64)), pa.array(node[at])], ["token", "node"])
+            names = pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(at), [None, pa.py_buffer(node[at].tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(flat[at].view(np.int64)), names.cast(pa.binary())], ["token", "node"])
 
 
 class _Branch:
-    """A node of a signature tree: OR of its bitmaps, sizes from and to, largest excess of shingles over bits, the one group it belongs to or None."""
+    """A node of a signature tree: OR of its bitmaps, sizes from and to, largest excess of shingles over bits, the one group it is known to belong to or None."""
 
     __slots__ = ("bits", "excess", "few", "group", "many", "parts")
 
@@ -182,130 +197,257 @@ def _tree(leaves: list[_Branch]) -> _Branch:
             bits = 0
             for p in parts:
                 bits |= p.bits
-            groups = {p.group for p in parts}
-            above.append(_Branch(parts, bits, min(p.few for p in parts), max(p.many for p in parts), max(p.excess for p in parts), groups.pop() if len(groups) == 1 else None))
+            above.append(_Branch(parts, bits, min(p.few for p in parts), max(p.many for p in parts), max(p.excess for p in parts), None))
         level = above
     return level[0]
 
 
-def _traverse(a: _Branch, b: _Branch, percent: int, out: list) -> None:
-    """Appends the pairs of leaves below a and b that may reach the threshold and aren't linked."""
-    stack = [(a, b)]
-    while stack:
-        a, b = stack.pop()
-        if a is b:
-            if a.group is None and a.parts.__class__ is list:
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """Common shingles of two sorted sets."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+
+
+class Traversal:
+    """Dual traversals over the sets of one or two blocks; `links` are verified pairs (positions), as many as join the groups."""
+
+    def __init__(self, sets: list[np.ndarray], groups: list[int], percent: int):
+        self.sets, self.percent = sets, percent
+        numbers: dict[int, int] = {}
+        self.of = [numbers.setdefault(g, len(numbers)) for g in groups]
+        self.up = list(range(len(numbers)))
+        self.links: list[tuple[int, int]] = []
+        self.checked = 0
+
+    def find(self, g: int) -> int:
+        up = self.up
+        while up[g] != g:
+            up[g] = up[up[g]]
+            g = up[g]
+        return g
+
+    def group(self, branch: _Branch) -> int | None:
+        """The group of all sets below, None if there are several."""
+        if branch.group is None:
+            own = None
+            for p in branch.parts:
+                g = self.group(p)
+                if g is None or (own is not None and g != own):
+                    return None
+                own = g
+            branch.group = own
+        return self.find(branch.group)
+
+    def leaves(self, members: list[int], width: int, bits: dict[int, int]) -> list[_Branch]:
+        out = []
+        for i in members:
+            one, own = bits[i], max(width, _width(len(self.sets[i])))
+            while own > width:  # a shorter bitmap is the OR of its halves
+                own //= 2
+                one = (one >> own) | (one & ((1 << own) - 1))
+            n = len(self.sets[i])
+            out.append(_Branch(i, one, n, n, n - one.bit_count(), self.of[i]))
+        return out
+
+    def run(self, left: list[int], right: list[int] | None = None) -> None:
+        """Every pair of `left`, or of `left` and `right`: members by the width of their bitmaps, those of a larger one folded to the smaller."""
+        bits = {i: int.from_bytes(bitmap(self.sets[i]), "little") for i in {*left, *(right or ())}}
+        order = lambda members, w: sorted((i for i in members if _width(len(self.sets[i])) == w), key=lambda i: (len(self.sets[i]), i))
+        widths = sorted({_width(len(self.sets[i])) for i in bits})
+        for k, width in enumerate(widths):
+            for other in widths[k:]:
+                if other == width and right is None:
+                    tree = _tree(self.leaves(order(left, width), width, bits))
+                    self.traverse(tree, tree)
+                    continue
+                for one, two in ((left, left if right is None else right), *([(right, left)] if right is not None and other != width else [])):
+                    one, two = order(one, width), order(two, other)
+                    if one and two and self.percent * len(self.sets[two[0]]) <= 100 * len(self.sets[one[-1]]):
+                        self.traverse(_tree(self.leaves(one, width, bits)), _tree(self.leaves(two, width, bits)))
+
+    def traverse(self, a: _Branch, b: _Branch) -> None:
+        stack = [(a, b)]
+        percent = self.percent
+        while stack:
+            a, b = stack.pop()
+            g = self.group(a)
+            if g is not None and (a is b or g == self.group(b)):
+                continue
+            if a is b:
                 parts = a.parts
-                stack += [(parts[i], parts[j]) for i in range(len(parts)) for j in range(i, len(parts))]
-            continue
-        if a.group is not None and a.group == b.group:
-            continue
-        if 100 * a.many < percent * b.few or 100 * b.many < percent * a.few:
-            continue
-        need = -(-percent * (a.few + b.few) // (100 + percent))
-        if (a.bits & b.bits).bit_count() + min(a.excess, b.excess) < need:
-            continue
-        if a.parts.__class__ is list:
-            if b.parts.__class__ is list and b.many - b.few > a.many - a.few:
+                stack += [(parts[i], parts[j]) for i in range(len(parts)) for j in range(i + 1, len(parts))]
+                stack += [(p, p) for p in parts]  # first each part in itself: then one link may join two parts
+                continue
+            if 100 * a.many < percent * b.few or 100 * b.many < percent * a.few:
+                continue
+            need = -(-percent * (a.few + b.few) // (100 + percent))
+            if (a.bits & b.bits).bit_count() + min(a.excess, b.excess) < need:
+                continue
+            if a.parts.__class__ is list:
+                if b.parts.__class__ is list and b.many - b.few > a.many - a.few:
+                    stack += [(a, p) for p in b.parts]
+                else:
+                    stack += [(p, b) for p in a.parts]
+            elif b.parts.__class__ is list:
                 stack += [(a, p) for p in b.parts]
             else:
-                stack += [(p, b) for p in a.parts]
-        elif b.parts.__class__ is list:
-            stack += [(a, p) for p in b.parts]
-        else:
-            out.append((a.parts, b.parts))
-
-
-def _leaf(i: int, bits: int, width: int, to: int, n: int, group: int) -> _Branch:
-    while width > to:  # a shorter bitmap is the OR of its halves
-        width //= 2
-        bits = (bits >> width) | (bits & ((1 << width) - 1))
-    return _Branch(i, bits, n, n, n - bits.bit_count(), group)
-
-
-def bucket_pairs(members: list[tuple[int, int, bytes, int]], percent: int) -> list[tuple[int, int]]:
-    """Pairs (positions) of members (id, size, bitmap, group) of one bucket that a dual traversal leaves."""
-    known = sorted((n, i, int.from_bytes(bits, "little"), 8 * len(bits), group) for i, (_, n, bits, group) in enumerate(members))
-    out: list[tuple[int, int]] = []
-    widths = sorted({k[3] for k in known})
-    for width in widths:
-        own = [_leaf(i, bits, w, width, n, g) for n, i, bits, w, g in known if w == width]
-        next_up = [_leaf(i, bits, w, width, n, g) for n, i, bits, w, g in known if w == 2 * width and percent * BITS[0] * n <= 100 * width]
-        tree = _tree(own)
-        _traverse(tree, tree, percent, out)
-        if next_up:
-            _traverse(tree, _tree(next_up), percent, out)
-    return out
-
-
-def _bucket_runs(percent: int):
+                i, j = a.parts, b.parts
+                self.checked += 1
+                if overlap(self.sets[i], self.sets[j]) * (100 + percent) >= percent * (a.few + b.few):
+                    self.links.append((i, j))
+                    self.up[self.find(self.of[i])] = self.find(self.of[j])
+
+
+def _by_tree(percent: int, roots: bool):
+    """What the trees of each pair of blocks (lead, lo, hi) link; rows come sorted by that, and those of a pair are at most a few times BLOCK.
+
+    Rows (lead, a, b): each member and the smallest one linked with it, itself
+    perhaps (`roots`), or the links found.
+    """
+
     def run(batches):
         kept = None
         for batch in batches:
             rows = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
-            key = rows["key"].to_numpy()
-            cut = np.flatnonzero(key[1:] != key[:-1]) + 1
-            last = int(cut[-1]) if len(cut) else 0
-            kept = rows.slice(last)
-            yield from pairs(rows.slice(0, last))
+            new = _edges(rows)
+            kept = rows.slice(new[-1]) if new else rows
+            yield from links(rows.slice(0, new[-1] if new else 0), new[:-1])
         if kept is not None:
-            yield from pairs(kept)
-
-    def pairs(rows: pa.Table):
-        if not len(rows):
-            return
-        key = rows["key"].to_numpy()
-        node, n, bits, group, blk, lo, hi = (rows[c].to_pylist() for c in ("id", "n", "bits", "group", "blk", "lo", "hi"))
-        edge = np.flatnonzero(np.append(True, key[1:] != key[:-1])).tolist()
-        found = set()
-        for s, e in zip(edge, [*edge[1:], len(key)], strict=True):
-            if e - s > 1:
-                for i, j in bucket_pairs([(node[k], n[k], bits[k], group[k]) for k in range(s, e)], percent):
-                    i, j = i + s, j + s
-                    if node[i] != node[j] and (lo[i] == hi[i] or blk[i] != blk[j]):
-                        found.add((min(node[i], node[j]), max(node[i], node[j])))
+            new = _edges(kept)
+            yield from links(kept, new)
+
+    def _edges(rows: pa.Table) -> list[int]:
+        change = np.zeros(max(0, len(rows) - 1), bool)
+        for c in ("lead", "lo", "hi"):
+            key = rows[c].to_numpy()
+            change |= key[1:] != key[:-1]
+        return (np.flatnonzero(change) + 1).tolist()
+
+    def links(rows: pa.Table, edges: list[int]):
+        found = []
+        for s, e in zip([0, *edges], [*edges, len(rows)], strict=True):
+            if e - s > 1 or (roots and e > s):
+                some = rows.slice(s, e - s)
+                lead = some["lead"][0].as_py()
+                ids, groups, far = (some[c].to_pylist() for c in ("id", "grp", "far"))
+                walk = Traversal([np.frombuffer(v.as_py(), np.uint64) for v in some["value"]], groups, percent)
+                left, right = [i for i, f in enumerate(far) if not f], [i for i, f in enumerate(far) if f]
+                if left:
+                    walk.run(left, right or None)
+                if roots:
+                    first: dict[int, int] = {}
+                    for i in sorted(range(len(ids)), key=ids.__getitem__):
+                        first.setdefault(walk.find(walk.of[i]), ids[i])
+                    found += [(lead, ids[i], first[walk.find(walk.of[i])]) for i in range(len(ids))]
+                else:
+                    found += [(lead, ids[i], ids[j]) for i, j in walk.links]
         if found:
-            a, b = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["lead", "a", "b"])
 
     return run
 
 
-def _each_set(docs: DataFrame, ids: DataFrame, width: int, value, kind: str) -> DataFrame:
-    """(id, n, value): of the documents in `ids (id)`, whose texts alone are shuffled."""
+def _shingles_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(id, value): the sets of the documents in `ids (id)`, whose texts alone are shuffled."""
 
     def each(batches):
+        seen = set()  # rows of one id meet in a task, which the join brings about; more of them would do no harm
         for batch in batches:
-            sets = _sets_of(batch, width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int32()), value(sets)], ["id", "n", "value"])
+            ids = batch.column(0).to_pylist()
+            new = [i not in seen and not seen.add(i) for i in ids]
+            batch = batch.filter(pa.array(new, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in _sets_of(batch, width)], pa.binary())], ["id", "value"])
 
     texts = likely_rows(docs, ids).join(ids.hint("shuffle_hash"), "id", "left_semi")
-    return checkpoint(texts.mapInArrow(each, f"id long, n int, value {kind}"))
+    return checkpoint(texts.mapInArrow(each, "id long, value binary"))
+
 
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int, buckets: int, roots: bool) -> DataFrame:
+    """What the trees of the members `pairs (lead, lo, hi, far, id, grp)` link, as `_by_tree` gives it."""
+    met = pairs.join(sets, "id").repartition(buckets, "lead", "lo", "hi").sortWithinPartitions("lead", "lo", "hi")
+    met = met.select("lead", "lo", "hi", "far", "id", "grp", "value")
+    return checkpoint(met.mapInArrow(_by_tree(percent, roots), "lead long, a long, b long"))
 
-def _lists(sets: list[np.ndarray]) -> pa.Array:
-    flat = pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64))
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), flat)
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """`members (lead, id, grp)` of each bucket dealt to blocks of BLOCK: (lead, lo, hi, far, id, grp)."""
+    blocks = checkpoint(members.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")))
+    blk = F.pmod(F.xxhash64("id"), F.col("blocks")).alias("lo")
+    return members.join(blocks, "lead").select("lead", blk, blk.alias("hi"), F.lit(False).alias("far"), "id", "grp")
 
-def _bitmaps(sets: list[np.ndarray]) -> pa.Array:
-    return pa.array([bitmap(s) for s in sets], pa.binary())
 
+def _across_blocks(members: DataFrame, percent: int) -> DataFrame:
+    """`members (lead, id, grp, n)` of buckets with several groups, once for each pair of blocks that may hold a link that matters.
 
-def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """`pairs (a, b)` of document ids whose sets reach the threshold, by intersecting them."""
-    ids = checkpoint(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    sets = _each_set(docs, ids, width, _lists, "array<long>").select("id", "value")
-    both = pairs.join(sets.toDF("a", "ta"), "a").join(sets.toDF("b", "tb"), "b")
-    common = F.size(F.array_intersect("ta", "tb"))
-    return both.where(common * (100 + percent) >= percent * (F.size("ta") + F.size("tb"))).select("a", "b")
+    A group with more than a block of members has blocks of its own in each range
+    of sizes, of which no two are compared; the others share blocks.
+    """
+    step = np.log(100 / percent) if percent < 100 else 1.0
+    members = members.withColumn("band", F.floor(F.log("n") / F.lit(float(step))))
+    sizes = members.groupBy("lead", "band", "grp").agg(F.count(F.lit(1)).alias("m"))
+    sizes = sizes.withColumn("own", F.when(F.col("m") > BLOCK, F.col("grp")))
+    totals = checkpoint(sizes.groupBy("lead", "band", "own").agg(F.ceil(F.sum("m") / BLOCK).alias("blocks")))
+    big = sizes.where("own IS NOT NULL").select("lead", "band", "grp", "own")
+    members = members.join(checkpoint(big), ["lead", "band", "grp"], "left")
+    members = members.join(totals.withColumnRenamed("own", "_own"), (members["lead"] == totals["lead"]) & (members["band"] == totals["band"]) & members["own"].eqNullSafe(F.col("_own"))).select(
+        members["lead"], "id", "grp", "n", "own", F.xxhash64(members["band"], "own", F.pmod(F.xxhash64("id"), F.col("blocks"))).alias("blk")
+    )
+    members = checkpoint(members)
+    one = F.when((F.count("own") == F.count(F.lit(1))) & (F.min("own") == F.max("own")), F.min("own"))
+    blocks = checkpoint(members.groupBy("lead", "blk").agg(F.min("n").alias("few"), F.max("n").alias("many"), one.alias("own")))
+    a, b = (blocks.select("lead", *[F.col(c).alias(f"{c}_{x}") for c in ("blk", "few", "many", "own")]) for x in "ab")
+    met = a.join(b, "lead").where("blk_a <= blk_b").where(100 * F.col("many_a") >= percent * F.col("few_b")).where(100 * F.col("many_b") >= percent * F.col("few_a"))
+    met = met.where(F.coalesce(F.col("own_a") != F.col("own_b"), F.lit(True)))
+    met = met.withColumn("blk", F.explode(F.array_distinct(F.array("blk_a", "blk_b")))).select("lead", F.col("blk_a").alias("lo"), F.col("blk_b").alias("hi"), "blk")
+    return members.join(checkpoint(met), ["lead", "blk"]).select("lead", "lo", "hi", (F.col("blk") != F.col("lo")).alias("far"), "id", "grp")
+
+
+def tree_links(members: DataFrame, sets: DataFrame, percent: int, buckets: int) -> DataFrame:
+    """Edges (a, b) that join whatever is linked within a bucket of `members (lead, id, n)`, by signature trees.
+
+    Members are dealt to blocks with a tree each; a bucket in one block is done
+    then. Of larger ones that are in several groups one member of each group goes
+    through trees again, as long as that halves them. Buckets still in several
+    groups are compared across their blocks. Groups are those found in the bucket.
+    """
+    spark = members.sparkSession
+    found = _linked(_in_blocks(members.select("lead", "id", F.col("id").alias("grp"))), sets, percent, buckets, True)
+    free(spark)
+    edges = found.select("a", "b").where("a <> b")
+    large = members.groupBy("lead").agg(F.count(F.lit(1)).alias("most")).where(F.col("most") > BLOCK)
+    rest = found.join(checkpoint(large), "lead")
+    most = rest.agg(F.max("most")).first()[0]
+    rest = rest.select("lead", F.col("a").alias("id"), F.col("b").alias("grp"))
+    while most is not None:
+        groups = rest.groupBy("lead").agg(F.countDistinct("grp").alias("m")).where("m > 1")
+        groups = checkpoint(groups)
+        now = groups.agg(F.max("m")).first()[0]
+        if now is None:
+            return edges
+        rest = checkpoint(rest.join(groups.select("lead"), "lead", "left_semi"))
+        some = rest.select("lead", F.col("grp").alias("id"), "grp").distinct()
+        found = _linked(_in_blocks(checkpoint(some)), sets, percent, buckets, True).withColumnsRenamed({"a": "grp", "b": "to"})
+        free(spark)
+        edges = edges.union(found.select(F.col("grp").alias("a"), F.col("to").alias("b")).where("a <> b"))
+        rest = rest.join(found, ["lead", "grp"]).select("lead", "id", F.col("to").alias("grp"))
+        if now <= BLOCK or 2 * now > most:
+            break
+        most = now
+    if most is None:
+        return edges
+    groups = checkpoint(rest.groupBy("lead").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("lead"))
+    rest = rest.join(groups, "lead", "left_semi").join(members, ["lead", "id"])
+    across = _linked(_across_blocks(checkpoint(rest), percent), sets, percent, buckets, False)
+    free(spark)
+    return edges.union(across.select("a", "b"))
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id): one row per row of `docs`.
 
     A document's set is its distinct `width`-word shingles (see `shingle_sets`;
-    their 64-bit hashes stand for them, and those of sets for sets). Documents link
+    their 64-bit hashes stand for them, and sets go by 128 bits). Documents link
     when 100 * intersection >= `percent` * union; component_id is the smallest id
     reachable. Null and empty texts have no shingles and link with nothing. Rows
     with a null id link with nothing and have a null component; rows that share an
@@ -314,61 +456,29 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    buckets = max(partitions(spark), 12)
     rows = checkpoint(document_sets(docs, width))
     named = rows.where("n >= 0")
     classes = named.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     classes = checkpoint(classes)
+    firsts = named.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + SHARED)).first()[0] or 0
+    buckets = max(partitions(spark), int(firsts) // _POSTINGS, 12)
 
     packed = postings(docs, width, percent, common_shingles(rows), buckets)
-    posts = checkpoint(packed.repartitionById(buckets, "bucket").mapInArrow(_unpack, "token long, node long"))
+    posts = checkpoint(packed.repartitionById(buckets, "bucket").mapInArrow(_unpack, "token long, node binary"))
     del packed
     free(spark)
     least = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100)).cast("int")
     enough = posts.groupBy("node").agg(F.count(F.lit(1)).alias("met")).join(classes, "node").where(F.col("met") >= least)
-    sets = checkpoint(enough.select("node", "id", "n", least.alias("least")))
-    posts = checkpoint(posts.join(sets.select("node", "id"), "node").select("token", "id"))
-
-    # one candidate for each set first: the smallest id of the buckets, the one that it shares most of them with
-    lead = checkpoint(posts.groupBy("token").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1"))
-    stars = posts.join(lead, "token").where("id <> lead").groupBy("id", "lead").agg(F.count(F.lit(1)).alias("shared"))
-    stars = stars.where(F.col("shared") >= SHARED // 2).groupBy("id").agg(F.max_by("lead", F.struct("shared", "lead")).alias("lead"))
-    size = sets.select("id", "n", "least")
-    near = lambda pairs: pairs.join(size.toDF("a", "na", "la"), "a").join(size.toDF("b", "nb", "lb"), "b").where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
-    stars = near(checkpoint(stars).toDF("a", "b")).select("a", "b")
-    links = checkpoint(_verified(docs, checkpoint(stars), width, percent))
-    free(spark)
-    group = checkpoint(components(links))
-    free(spark)
+    sets = checkpoint(enough.select("node", "id", "n"))
+    posts = checkpoint(posts.join(sets, "node").select("token", "id", "n"))
 
-    # then every pair of a bucket that isn't linked yet
-    posts = posts.join(group, "id", "left").select("token", "id", F.coalesce("component", "id").alias("group"))
-    posts = checkpoint(posts)
-    mixed = posts.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("lead"), F.min("group").alias("g"), F.max("group").alias("h")).where("g < h")
-    mixed = checkpoint(mixed.select("token", "m", "lead"))
-    # all first shingles that a pair shares are in small buckets, or one is in a large one
-    few = checkpoint(posts.join(mixed.where(F.col("m") <= SMALL).select("token"), "token"))
-    pairs = few.toDF("token", "a", "ga").join(few.toDF("token", "b", "gb"), "token").where("a < b AND ga <> gb")
-    pairs = checkpoint(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared")))
-    pairs = near(pairs).where(F.col("shared") >= F.least("la", "lb")).select("a", "b")
-    del few
-    # buckets with the same first member are one tree, so that sets in many of the same buckets travel once
-    many = posts.join(mixed.where(F.col("m") > SMALL).select("token", "lead"), "token").select("lead", "id", "group").distinct()
-    many = checkpoint(many)
-    blocks = checkpoint(many.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
-    met = many.join(blocks, "lead").withColumn("blk", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("lead", "id", "group", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
-    met = met.withColumn("key", F.xxhash64("lead", "lo", "hi")).drop("lead")
-    marks = _each_set(docs, checkpoint(many.select("id").distinct()), width, _bitmaps, "binary").withColumnRenamed("value", "bits")
-    met = met.join(marks, "id").repartition(buckets, "key").sortWithinPartitions("key")
-    left = met.mapInArrow(_bucket_runs(percent), "a long, b long")
-    left = checkpoint(left.union(pairs).distinct())
-    del met, marks, many, pairs, posts
-    free(spark)
-    links = checkpoint(links.union(_verified(docs, left, width, percent)))
+    # buckets with the same smallest member are one, so that sets in many of the same buckets travel once
+    lead = checkpoint(posts.groupBy("token").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").select("token", "lead"))
+    members = checkpoint(posts.join(lead, "token").select("lead", "id", "n").distinct())
+    del posts
     free(spark)
-    group = components(links)
+    values = _shingles_of(docs, checkpoint(members.select("id").distinct()), width)
+    group = components(tree_links(members, values, percent, buckets))
 
     reps = checkpoint(classes.join(group, "id", "left").select("node", F.coalesce("component", "id").alias("component_id")))
     out = named.join(reps, "node", "left")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from hashlib import blake2b
+
 import numpy as np
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A") : ord("Z") + 1] += 32
 #: Bytes hashed at a time, which keeps the arrays in the cache.
 CHUNK = 1 << 19
+#: Bytes of a word up to which words are hashed together, eight bytes a step.
+LONG = 512
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -20,46 +22,30 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _BASE)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
+_PART = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
 
-_POWERS = _powers(CHUNK + 1)
 
+def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, start of each word) of bytes; a word is a run of bytes other than white space.
 
-def _word_hashes(raw: np.ndarray, powers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, start of each word) of bytes; a word is a run of bytes other than white space."""
+    A hash takes in eight bytes at a time, each by a bijection of what came before,
+    so that sums over a word's letters have no part in it.
+    """
     inside = np.empty(len(raw) + 2, bool)
     inside[0] = inside[-1] = False
-    np.logical_not(_SPACE[raw], out=inside[1:-1])
+    np.logical_not(_SPACE[np.frombuffer(raw, np.uint8)], out=inside[1:-1])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
-    start, stop = edges[::2], edges[1::2]
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((_LOWER[raw].astype(np.uint64) + np.uint64(1)) * powers[len(raw) - 1 :: -1][: len(raw)], out=total[1:])
-    # byte i has weight BASE**(n-1-i): dividing by the weight of the last byte is a multiplication of the rest
-    value = (total[stop] - total[start]) * _inverse(len(raw) - stop)
-    return mixed(value ^ (stop - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), start
-
-
-_INVERSE_BASE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_INVERSES = np.full(CHUNK + 1, _INVERSE_BASE)
-_INVERSES[0] = 1
-_INVERSES = np.multiply.accumulate(_INVERSES)
-
-
-def _inverse(k: np.ndarray) -> np.ndarray:
-    return _INVERSES[k] if len(_INVERSES) > int(k.max(initial=0)) else _big_inverse(k)
-
-
-def _big_inverse(k: np.ndarray) -> np.ndarray:
-    """Powers of the inverse for texts longer than a chunk."""
-    out, bit, square = np.ones(len(k), np.uint64), 0, int(_INVERSE_BASE)
-    while int(k.max()) >> bit:
-        out[(k >> bit) & 1 == 1] *= np.uint64(square)
-        square, bit = square * square % (1 << 64), bit + 1
-    return out
+    start, size = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(raw) + 1, "<u8", raw + bytes(8), strides=(1,))
+    value = mixed(size.astype(np.uint64) + _BASE)
+    rest, at = np.flatnonzero(size <= LONG), 0
+    while len(rest):
+        value[rest] = mixed(value[rest] * _BASE ^ eight[start[rest] + at] & _PART[np.minimum(size[rest] - at, 8)])
+        at += 8
+        rest = rest[size[rest] > at]
+    for i in np.flatnonzero(size > LONG).tolist():
+        value[i] = int.from_bytes(blake2b(raw[start[i] : start[i] + size[i]], digest_size=8).digest(), "little")
+    return value, start
 
 
 def shingle_sets(texts: list[bytes | None], width: int = 4) -> list[np.ndarray]:
@@ -83,26 +69,23 @@ def shingle_sets(texts: list[bytes | None], width: int = 4) -> list[np.ndarray]:
 
 
 def _sets(texts: list[bytes], width: int) -> list[np.ndarray]:
-    raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    powers = _POWERS if len(raw) < len(_POWERS) else _powers(len(raw) + 1)
-    words, start = _word_hashes(raw, powers)
+    words, start = _word_hashes((b" ".join(texts) + b" ").lower())
     ends = np.cumsum([len(t) + 1 for t in texts])
     bounds = np.searchsorted(start, np.concatenate([[0], ends]))
     joined = np.zeros(max(0, len(words) - width + 1), np.uint64)
     for k in range(width):
-        joined = joined * _BASE + words[k : k + len(joined)]
-    joined = mixed(joined)
+        joined = mixed(joined * _BASE ^ words[k : k + len(joined)])
     out = []
-    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         n = b - a
         if n >= width:
             got = np.sort(joined[a : b - width + 1])
             out.append(got[np.append(True, got[1:] != got[:-1])])
         elif n:
-            value = np.uint64(n)
+            value = np.full(1, n, np.uint64)
             for w in words[a:b]:
-                value = np.uint64((int(value) * int(_BASE) + int(w)) % (1 << 64))
-            out.append(mixed(np.array([value ^ np.uint64(0x5851F42D4C957F2D)])))
+                value = mixed(value * _BASE ^ w)
+            out.append(value)
         else:
             out.append(np.zeros(0, np.uint64))
     return out

@@ -89,8 +89,7 @@ def test_shingle_sets():
 
 @pytest.mark.parametrize(("percent", "width"), [(85, 4), (80, 5)])
 def test_jaccard(spark, monkeypatch, percent, width):
-    monkeypatch.setattr(jaccard_join, "SMALL", 3)  # so that trees have work on few documents
-    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)  # so that buckets have several blocks
     rng = random.Random(percent)
     base = [words(rng, rng.choice([3, 9, 40, 120])).split() for _ in range(12)]
     rows = [(0, None), (1, ""), (2, "one"), (3, "ONE"), (4, "one two"), (5, " \t\n")]
@@ -113,19 +112,51 @@ def test_jaccard_edges(spark):
     assert sorted((r.doc_id or 0, r.component_id) for r in got) == [(0, None), (2, 2), (3, 3), (3, 3)]
 
 
-def test_trees_keep_every_pair_that_can_link():
+def test_long_words_of_equal_sums(spark):
+    """Two words that agree in every polynomial modulo a power of two are different words."""
+    a = "a"
+    for _ in range(10):
+        a += a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, a + " x y z"), (2, a.translate(str.maketrans("ab", "ba")) + " x y z"), (3, a + " x y z "), (4, "c" * 600 + " x y z"), (5, "c" * 601 + " x y z")]
+    got = jaccard_join.jaccard_components(frame(spark, rows), 85, 4).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def some_sets():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 1 << 63, rng.integers(1, 900), np.uint64)) for _ in range(20)]
     for s in list(sets):
         for share in (0.99, 0.95, 0.9, 0.7):
             sets.append(np.unique(np.append(s[rng.random(len(s)) < share], rng.integers(0, 1 << 63, 3, np.uint64))))
-    members = [(i, len(s), jaccard_join.bitmap(s), i) for i, s in enumerate(sets)]
-    left = {tuple(sorted(p)) for p in jaccard_join.bucket_pairs(members, 85)}
-    for i, j in combinations(range(len(sets)), 2):
+    return sets
+
+
+@pytest.mark.parametrize("percent", [30, 85])
+@pytest.mark.parametrize("halves", [False, True])
+def test_traversal_joins_what_is_linked(percent, halves):
+    sets = some_sets()
+    walk = jaccard_join.Traversal(sets, list(range(len(sets))), percent)
+    everything = list(range(len(sets)))
+    left, right = (everything[::2], everything[1::2]) if halves else (everything, None)
+    walk.run(left, right)
+    links = []
+    for i, j in combinations(everything, 2):
         both = len(np.intersect1d(sets[i], sets[j]))
-        if 185 * both >= 85 * (len(sets[i]) + len(sets[j])):
-            assert (i, j) in left
-    assert len(left) < len(sets) ** 2 / 8
+        assert both == jaccard_join.overlap(sets[i], sets[j])
+        if (100 + percent) * both >= percent * (len(sets[i]) + len(sets[j])) and (right is None or (i in left) != (j in left)):
+            links.append((i, j))
+    assert {tuple(sorted(p)) for p in walk.links} <= set(links)
+    assert smallest(everything, walk.links) == smallest(everything, links)
+    assert walk.checked < len(sets) ** 2 / 8
+
+
+def test_traversal_of_copies_is_linear():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 300, np.uint64)
+    sets = [np.unique(np.append(base[rng.random(300) < 0.99], rng.integers(0, 1 << 63, 1, np.uint64))) for _ in range(2000)]
+    walk = jaccard_join.Traversal(sets, list(range(2000)), 85)
+    walk.run(list(range(2000)))
+    assert len(walk.links) == 1999 and walk.checked < 3 * 2000
 
 
 def cut(rows, depth=50):
