@@ -27,8 +27,8 @@ from sparklogs.llm.shingles import shingle_sets
 
 #: Per cent of the union that the intersection must reach, and words in a shingle.
 PERCENT, WIDTH = 80, 5
-#: First shingles that linked sets share at least (fewer only if a set needs fewer for a link).
-SHARED = 8
+#: First shingles that linked sets share at least: so many, or one in SHARE of a set (fewer only if a set needs fewer for a link).
+SHARED, SHARE = 8, 8
 #: Common shingles known by name, at most 8 MB of them: the order is as good without the rest, and right with any choice of them.
 COMMON, COMMON_FROM, COMMON_IN_BATCH = 1 << 19, 16, 3
 #: Shingles of a task among which common ones are counted at a time.
@@ -44,12 +44,12 @@ _NODE = "V16"
 
 
 def shared_at_least(n: int, percent: int) -> int:
-    """How many first shingles a set of n shares with a partner that isn't smaller in this respect."""
-    return min(SHARED, (percent * n + 99) // 100)
+    """How many of its first shingles a set of n shares with a partner that isn't smaller."""
+    return min(max(SHARED, n // SHARE), (percent * n + 99) // 100)
 
 
 def first_shingles(n: int, percent: int) -> int:
-    """How many shingles of a set of n, in the common order, are sure to hold `shared_at_least` of any partner's.
+    """How many shingles of a set of n, in the common order, are sure to hold `shared_at_least` of any such partner's.
 
     A partner has percent / 100 * n of them or more, so at most the rest of them come
     before the first shared one, and so on.
@@ -404,41 +404,45 @@ def _across_blocks(members: DataFrame, percent: int) -> DataFrame:
 
 
 def tree_links(members: DataFrame, sets: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """Edges (a, b) that join whatever is linked within a bucket of `members (lead, id, n)`, by signature trees.
+    """Edges (a, b) that join whatever is linked within a bucket of `members (lead, id, n, shared)`, by signature trees.
 
-    Members are dealt to blocks with a tree each; a bucket in one block is done
-    then. Of larger ones that are in several groups one member of each group goes
-    through trees again, as long as that halves them. Buckets still in several
-    groups are compared across their blocks. Groups are those found in the bucket.
+    First each set goes through the trees of one bucket, that of which it shares
+    most shingles. Buckets whose members then are in one group are done; those in
+    several groups go through trees whole. Members are dealt to blocks with a
+    tree each; where there are several, one member of each group goes first, as
+    long as that halves the groups, and then the blocks are compared.
     """
     spark = members.sparkSession
-    found = _linked(_in_blocks(members.select("lead", "id", F.col("id").alias("grp"))), sets, percent, buckets, True)
+    home = members.groupBy("id").agg(F.max_by("lead", F.struct("shared", "lead")).alias("lead"))
+    found = _linked(_in_blocks(checkpoint(home.select("lead", "id", F.col("id").alias("grp")))), sets, percent, buckets, True)
     free(spark)
     edges = found.select("a", "b").where("a <> b")
-    large = members.groupBy("lead").agg(F.count(F.lit(1)).alias("most")).where(F.col("most") > BLOCK)
-    rest = found.join(checkpoint(large), "lead")
-    most = rest.agg(F.max("most")).first()[0]
-    rest = rest.select("lead", F.col("a").alias("id"), F.col("b").alias("grp"))
-    while most is not None:
-        groups = rest.groupBy("lead").agg(F.countDistinct("grp").alias("m")).where("m > 1")
-        groups = checkpoint(groups)
+    rest = members.join(found.select(F.col("a").alias("id"), F.col("b").alias("grp")), "id").select("lead", "id", "n", "grp")
+    rest = checkpoint(rest)
+    sizes = rest.groupBy("lead").agg(F.count(F.lit(1)).alias("m"), F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h")
+    sizes = checkpoint(sizes.select("lead", "m"))
+    rest = checkpoint(rest.join(sizes, "lead"))
+    found = _linked(_in_blocks(rest.where(F.col("m") <= BLOCK).select("lead", "id", "grp")), sets, percent, buckets, False)
+    free(spark)
+    edges = edges.union(found.select("a", "b"))
+
+    rest = rest.where(F.col("m") > BLOCK).drop("m")
+    most = None
+    while True:
+        groups = checkpoint(rest.groupBy("lead").agg(F.countDistinct("grp").alias("m")).where("m > 1"))
         now = groups.agg(F.max("m")).first()[0]
         if now is None:
             return edges
         rest = checkpoint(rest.join(groups.select("lead"), "lead", "left_semi"))
-        some = rest.select("lead", F.col("grp").alias("id"), "grp").distinct()
-        found = _linked(_in_blocks(checkpoint(some)), sets, percent, buckets, True).withColumnsRenamed({"a": "grp", "b": "to"})
+        if most is not None and (most <= BLOCK or 2 * now > most):
+            break
+        some = checkpoint(rest.select("lead", F.col("grp").alias("id"), "grp").distinct())
+        found = _linked(_in_blocks(some), sets, percent, buckets, True).withColumnsRenamed({"a": "grp", "b": "to"})
         free(spark)
         edges = edges.union(found.select(F.col("grp").alias("a"), F.col("to").alias("b")).where("a <> b"))
-        rest = rest.join(found, ["lead", "grp"]).select("lead", "id", F.col("to").alias("grp"))
-        if now <= BLOCK or 2 * now > most:
-            break
+        rest = rest.join(found, ["lead", "grp"]).select("lead", "id", "n", F.col("to").alias("grp"))
         most = now
-    if most is None:
-        return edges
-    groups = checkpoint(rest.groupBy("lead").agg(F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h").select("lead"))
-    rest = rest.join(groups, "lead", "left_semi").join(members, ["lead", "id"])
-    across = _linked(_across_blocks(checkpoint(rest), percent), sets, percent, buckets, False)
+    across = _linked(_across_blocks(rest, percent), sets, percent, buckets, False)
     free(spark)
     return edges.union(across.select("a", "b"))
 
@@ -460,21 +464,21 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     named = rows.where("n >= 0")
     classes = named.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     classes = checkpoint(classes)
-    firsts = named.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + SHARED)).first()[0] or 0
+    least = lambda n: F.least(F.greatest(F.lit(SHARED), F.floor(n / SHARE)), F.ceil(n * percent / 100))
+    firsts = named.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + least(F.col("n")))).first()[0] or 0
     buckets = max(partitions(spark), int(firsts) // _POSTINGS, 12)
 
     packed = postings(docs, width, percent, common_shingles(rows), buckets)
     posts = checkpoint(packed.repartitionById(buckets, "bucket").mapInArrow(_unpack, "token long, node binary"))
     del packed
     free(spark)
-    least = F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100)).cast("int")
-    enough = posts.groupBy("node").agg(F.count(F.lit(1)).alias("met")).join(classes, "node").where(F.col("met") >= least)
+    enough = posts.groupBy("node").agg(F.count(F.lit(1)).alias("met")).join(classes, "node").where(F.col("met") >= least(F.ceil(F.col("n") * percent / 100)))
     sets = checkpoint(enough.select("node", "id", "n"))
     posts = checkpoint(posts.join(sets, "node").select("token", "id", "n"))
 
-    # buckets with the same smallest member are one, so that sets in many of the same buckets travel once
+    # buckets with the same smallest member are one, which the sets in many of the same buckets enter once
     lead = checkpoint(posts.groupBy("token").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").select("token", "lead"))
-    members = checkpoint(posts.join(lead, "token").select("lead", "id", "n").distinct())
+    members = checkpoint(posts.join(lead, "token").groupBy("lead", "id").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("shared")))
     del posts
     free(spark)
     values = _shingles_of(docs, checkpoint(members.select("id").distinct()), width)
