@@ -10,18 +10,21 @@ from pyspark.sql import functions as F
 from sparklogs.functions.parsing import parse_log_line
 
 
-def running_count(df: DataFrame, flag: Column, keys: list[str], order: list[str], chunk: Column, name: str) -> DataFrame:
+def running_count(df: DataFrame, flag: Column, keys: list[str], order: list[str], chunk: Column, name: str, keep: Column | None = None) -> DataFrame:
     """`df` with `name`: how many rows of the keys up to this one, in order, have the flag.
 
     `chunk` is a column that never falls along the order. Counts run inside chunks
     and the totals of earlier chunks are added, so that a key of any size is spread
-    over tasks; one row a chunk is all that a key has in one place.
+    over tasks; one row a chunk is all that a key has in one place. Of chunks that
+    `keep` leaves out, which must hold for all rows of a chunk or none, only the
+    totals count: their rows are not shuffled.
     """
     df = df.withColumns({"_chunk": chunk, "_flag": F.coalesce(flag.cast("long"), F.lit(0))})
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     totals = df.groupBy(*keys, "_chunk").agg(F.sum("_flag").alias("_total"))
     earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("_before", F.coalesce(F.sum("_total").over(earlier), F.lit(0))).drop("_total")
+    df = df if keep is None else df.where(keep)
     same = [df[k].eqNullSafe(totals[k]) for k in [*keys, "_chunk"]]
     joined = df.join(totals, same)
     for k in [*keys, "_chunk"]:

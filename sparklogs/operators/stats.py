@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparklogs.functions.times import bucket_start, format_time, time_bucket
+from sparklogs.operators.events import running_count
 
 
 @dataclass(frozen=True)
@@ -67,12 +68,18 @@ def group_stats_by_time(df: DataFrame, keys: list[str], stats: list[Stat], rule:
 
 
 def group_meta(df: DataFrame, keys: list[str], stats: list[Stat]) -> DataFrame:
-    """`group_stats` with gid from 0 in the order of the keys. The numbering sees one row a group, after the aggregate."""
+    """`group_stats` with gid from 0 in the order of the keys.
+
+    Groups are counted in chunks of the first key and over earlier chunks, so that no
+    task needs all of them.
+    """
     groups = group_stats(df, keys, stats)
     if not keys:
         return groups.select(F.lit(0).alias("gid"), "*").where("false")
-    number = F.row_number().over(Window.orderBy(*[F.col(f"`{k}`").asc_nulls_first() for k in keys])) - 1
-    return groups.select(number.cast("int").alias("gid"), "*")
+    first = F.col(f"`{keys[0]}`")
+    chunk = F.substring(first, 1, 2) if groups.schema[keys[0]].dataType.typeName() == "string" else first
+    numbered = running_count(groups, F.lit(1), [], [F.col(f"`{k}`").asc_nulls_first() for k in keys], chunk, "_gid")
+    return numbered.select((F.col("_gid") - 1).cast("int").alias("gid"), *[F.col(f"`{c}`") for c in groups.columns])
 
 
 def time_grid(spark, rule: TimeRule, start_ms: int, tz: str = "UTC") -> DataFrame:
@@ -90,7 +97,7 @@ def match_chart(df: DataFrame, rule: TimeRule, start_ms: int, tz: str = "UTC") -
 
 
 def group_table(df: DataFrame, keys: list[str], stats: list[Stat], rule: TimeRule, start_ms: int, tz: str = "UTC", nested: bool = False) -> DataFrame:
-    """(bucket, gid, statistics): for each bucket of the grid the groups seen in it; buckets without any have a null gid.
+    """(bucket, gid, statistics): for each bucket of the grid the groups seen in it, in order; buckets without any have a null gid.
 
     nested: (bucket, events array<struct<gid, statistics>>), one row a bucket, groups by gid.
     """
@@ -100,9 +107,9 @@ def group_table(df: DataFrame, keys: list[str], stats: list[Stat], rule: TimeRul
     both = timed.join(meta, [timed[f"`{k}`"].eqNullSafe(meta[f"`{k}`"]) for k in keys]).select("bucket", "gid", *[F.col(f"`{n}`") for n in names])
     long = time_grid(df.sparkSession, rule, start_ms, tz).join(both, "bucket", "left")
     if not nested:
-        return long
+        return long.orderBy("bucket", "gid")
     item = F.when(F.col("gid").isNotNull(), F.struct("gid", *[F.col(f"`{n}`") for n in names]))
-    return long.groupBy("bucket").agg(F.sort_array(F.collect_list(item)).alias("events"))
+    return long.groupBy("bucket").agg(F.sort_array(F.collect_list(item)).alias("events")).orderBy("bucket")
 
 
 def log_table(df: DataFrame, limit: int = 100, tz: str = "UTC", order: str = "seq") -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -32,20 +34,33 @@ def matches(df: DataFrame, spec: SearchSpec, start_ms: int) -> DataFrame:
     return drop_incomplete(extract_fields(time_filter(found, start_ms, spec.time_rule.window_ms), spec.extracts))
 
 
-def log_search(df: DataFrame, spec: SearchSpec, start_ms: int | None = None, tz: str = "UTC", limit: int = 100, keep: bool = True) -> dict[str, DataFrame]:
-    """matchchart, logtable, grouptable and meta of the window from `start_ms` (by default one window before now).
+def log_search(df: DataFrame, spec: SearchSpec, start_ms: int | None = None, tz: str = "UTC", limit: int = 100, now_ms: Callable[[], int] | None = None) -> dict[str, DataFrame]:
+    """matchchart, logtable, grouptable and meta of the window from `start_ms`, by default one window before now.
 
-    `df` has the LOG columns and seq, the order of arrival. The matching rows feed
-    four plans and are kept in memory and on disk while those are in use.
+    `df` has the LOG columns and seq, the order of arrival. Each table is a plan of
+    its own over the matching rows; see `kept_search` for all four.
     """
     if start_ms is None:
-        start_ms = int(time.time() * 1000) - spec.time_rule.window_ms
-    found = matches(df, spec, start_ms)
-    if keep:
-        found = found.persist(StorageLevel.MEMORY_AND_DISK)
+        start_ms = (now_ms or (lambda: int(time.time() * 1000)))() - spec.time_rule.window_ms
+    return _tables(matches(df, spec, start_ms), spec, start_ms, tz, limit)
+
+
+@contextmanager
+def kept_search(df: DataFrame, spec: SearchSpec, start_ms: int | None = None, tz: str = "UTC", limit: int = 100, now_ms: Callable[[], int] | None = None) -> Iterator[dict[str, DataFrame]]:
+    """`log_search` whose matching rows are found once and kept in memory and on disk until the block ends."""
+    if start_ms is None:
+        start_ms = (now_ms or (lambda: int(time.time() * 1000)))() - spec.time_rule.window_ms
+    found = matches(df, spec, start_ms).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield _tables(found, spec, start_ms, tz, limit)
+    finally:
+        found.unpersist()
+
+
+def _tables(found: DataFrame, spec: SearchSpec, start_ms: int, tz: str, limit: int) -> dict[str, DataFrame]:
     return {
         "matchchart": S.match_chart(found, spec.time_rule, start_ms, tz),
         "logtable": S.log_table(found, limit, tz),
-        "grouptable": S.group_table(found, spec.keys, spec.stats, spec.time_rule, start_ms, tz) if spec.keys else S.time_grid(df.sparkSession, spec.time_rule, start_ms, tz),
+        "grouptable": S.group_table(found, spec.keys, spec.stats, spec.time_rule, start_ms, tz) if spec.keys else S.time_grid(found.sparkSession, spec.time_rule, start_ms, tz),
         "meta": S.group_meta(found, spec.keys, spec.stats),
     }

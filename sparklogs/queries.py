@@ -172,7 +172,7 @@ def log_table(spark, sf_dir):
 
 @query(f"WITH {_FOUND_SQL}, {_META_SQL} SELECT * FROM meta")
 def log_search_meta(spark, sf_dir):
-    return log_search(logs(spark, sf_dir), SPEC, START, keep=False)["meta"]
+    return log_search(logs(spark, sf_dir), SPEC, START)["meta"]
 
 
 @query(f"WITH {LOGS_SQL} SELECT * FROM logs ORDER BY seq DESC LIMIT 200")

@@ -2,78 +2,85 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparklogs.functions.times import DAY_MS, archive_path, path_timestamp, path_topic, utc_day
 from sparklogs.operators.segments import MAX_BYTES, assign_segments
-from sparklogs.schemas import LOG
+from sparklogs.schemas import ARCHIVE_INDEX, LOG
+from sparklogs.shared import checkpoint, children, exists, move, remove
 from sparklogs.sources.files import _decoded
 
 
-def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
+#: A segment is a folder with the name of the file it stands for; Spark's writers add files to it.
+_FILE = "(.*/\\d{4}-\\d{2}-\\d{2}/\\d{8}T\\d{6}\\.\\d{3}Z\\.[^/]*)/([^/]+)$"
 
-#: A segment is a folder named as the reference names its file; Spark's writers add files to it.
-_FILE = "(.*/\\d{4}-\\d{2}-\\d{2}/\\d{8}T\\d{6}\\.\\d{3}Z\\.[^/]*)/[^/]+$"
 
+def scan_archive(spark: SparkSession, base: str, without: str | None = None, newest_only: bool = False) -> DataFrame:
+    """ARCHIVE_INDEX of what is under `base`: start, topic, day, path, bytes and newest event of each segment.
 
-def scan_archive(spark: SparkSession, base: str) -> DataFrame:
-    """ARCHIVE_INDEX of what is under `base`: start, topic, day, path, bytes and newest event of each segment."""
-    empty = spark.createDataFrame([], "start_ts long, topic string, day string, path string, size long, recent_ts long")
-    if not _exists(spark, base):
-        return empty
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select(_decoded(F.col("path")).alias("file"), "length").where(F.col("file").rlike(_FILE))
+    Files that the batch `without` wrote don't count. Starts and sizes come from
+    the list of files; the newest event takes the bodies, with `newest_only` those of
+    the last segment of each topic alone (null for others), which is all that
+    rolling asks for.
+    """
+    if not exists(spark, base):
+        return spark.createDataFrame([], ARCHIVE_INDEX)
+    mine = F.lit(True) if without is None else ~F.regexp_extract("file", _FILE, 2).startswith(f"{without}-")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select(_decoded(F.col("path")).alias("file"), "length").where(F.col("file").rlike(_FILE) & mine)
     sizes = files.groupBy(F.regexp_extract("file", _FILE, 1).alias("path")).agg(F.sum("length").alias("size"))
-    logs = spark.read.schema(LOG).option("recursiveFileLookup", True).json(base)
-    newest = logs.groupBy(F.regexp_extract(_decoded(F.col("_metadata.file_path")), _FILE, 1).alias("path")).agg(F.max("timestamp").alias("recent_ts"))
-    start = path_timestamp(F.col("path"))
-    return sizes.join(newest, "path", "left").select(start.alias("start_ts"), path_topic(F.col("path")).alias("topic"), utc_day(start).alias("day"), "path", "size", "recent_ts")
+    sizes = sizes.withColumns({"start_ts": path_timestamp(F.col("path")), "topic": path_topic(F.col("path"))})
+    bodies = [base]
+    if newest_only:
+        bodies = [r.path for r in sizes.groupBy("topic").agg(F.max_by("path", "start_ts").alias("path")).collect()]  # one a topic
+        if not bodies:
+            return spark.createDataFrame([], ARCHIVE_INDEX)
+    logs = spark.read.schema(LOG).option("recursiveFileLookup", True).json(bodies)
+    logs = logs.select("timestamp", _decoded(F.col("_metadata.file_path")).alias("file")).where(F.col("file").rlike(_FILE) & mine)
+    newest = logs.groupBy(F.regexp_extract("file", _FILE, 1).alias("path")).agg(F.max("timestamp").alias("recent_ts"))
+    return sizes.join(newest, "path", "left").select("start_ts", "topic", utc_day(F.col("start_ts")).alias("day"), "path", "size", "recent_ts")
 
 
-def write_archive(messages: DataFrame, base: str, max_bytes: int = MAX_BYTES, order: str = "seq", per_topic: bool = True) -> DataFrame:
-    """Appends `messages (topic, timestamp, value, <order>)` to their segments; returns the rows with segment_ts and path.
+def write_archive(messages: DataFrame, base: str, max_bytes: int = MAX_BYTES, order: str = "seq", per_topic: bool = True, batch: str | None = None) -> DataFrame:
+    """Appends `messages (topic, timestamp, value, <order>)` to their segments; returns the rows with segment_ts and path, as they were placed.
 
     Rows of a segment are dealt to one task and sorted by arrival, so that each
-    write adds one file to a segment.
+    write adds one file to a segment. `batch` names the write: the same messages
+    written again under one name, whole or after a part of the files has been
+    moved, leave the archive as one write does.
     """
     spark = messages.sparkSession
-    found = assign_segments(messages, max_bytes, scan_archive(spark, base), order, per_topic)
-    placed = found.withColumn("path", archive_path(F.col("topic"), F.col("segment_ts")))
+    batch = batch or str(uuid.uuid4())
+    found = assign_segments(messages, max_bytes, scan_archive(spark, base, batch, True), order, per_topic)
+    placed = checkpoint(found.withColumn("path", archive_path(F.col("topic"), F.col("segment_ts"))))
     day, name = F.substring_index("path", "/", 1), F.substring_index("path", "/", -1)
     out = placed.select(day.alias("day"), name.alias("segment"), F.col(order).alias("_order"), "value")
     out = out.repartition("day", "segment").sortWithinPartitions("day", "segment", "_order")
-    staging = f"{base.rstrip('/')}/_staging"
+    staging = f"{base.rstrip('/')}/_staging-{batch}"
     out.drop("_order").write.mode("overwrite").partitionBy("day", "segment").text(staging)
-    _move(spark, staging, base)
+    _move(spark, staging, base, batch)
     return placed
 
 
-def _move(spark: SparkSession, staging: str, base: str) -> None:
-    """Renames day=D/segment=S/part files to D/S/part files; a rename moves no data."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    top = jvm.org.apache.hadoop.fs.Path(staging)
-    store = top.getFileSystem(conf)
-    found = store.listFiles(top, True)
-    while found.hasNext():
-        path = found.next().getPath()
-        if not path.getName().startswith("part-"):
-            continue
-        segment = path.getParent().getName().split("=", 1)[1]
-        day = path.getParent().getParent().getName().split("=", 1)[1]
-        goal = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{day}/{segment}")
-        store.mkdirs(goal)
-        store.rename(path, jvm.org.apache.hadoop.fs.Path(goal, path.getName()))
-    store.delete(top, True)
+def _move(spark: SparkSession, staging: str, base: str, batch: str) -> None:
+    """Renames day=D/segment=S/part files to D/S/<batch>-<number>, of which there is one a segment, then drops what is left of the staging folder."""
+    base = base.rstrip("/")
+    for day in children(spark, staging):
+        for segment in children(spark, f"{staging}/{day}") if day.startswith("day=") else []:
+            folder = f"{staging}/{day}/{segment}"
+            parts = sorted(n for n in children(spark, folder) if n.startswith("part-"))
+            for k, part in enumerate(parts):
+                move(spark, f"{folder}/{part}", f"{base}/{day.split('=', 1)[1]}/{segment.split('=', 1)[1]}/{batch}-{k}")
+    remove(spark, staging)
 
 
 def read_archive(spark: SparkSession, base: str, from_ms: int, to_ms: int) -> DataFrame:
     """LOG rows with from <= timestamp < to; only folders of their days are read."""
     first, last = from_ms // DAY_MS, (to_ms - 1) // DAY_MS
     days = [r.d for r in spark.range(first, last + 1).select(F.date_format(F.date_from_unix_date(F.col("id").cast("int")), "yyyy-MM-dd").alias("d")).collect()]
-    there = [f"{base.rstrip('/')}/{d}" for d in days if _exists(spark, f"{base.rstrip('/')}/{d}")]
+    there = [f"{base.rstrip('/')}/{d}" for d in days if exists(spark, f"{base.rstrip('/')}/{d}")]
     if not there:
         return spark.createDataFrame([], LOG)
     logs = spark.read.schema(LOG).option("recursiveFileLookup", True).json(there)

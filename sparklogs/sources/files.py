@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sparklogs.operators.events import parse_log_events, running_count
 from sparklogs.schemas import MANIFEST
+from sparklogs.shared import children, exists
 
 Order = str | Callable[[Column], list[Column]]
 
@@ -43,36 +44,44 @@ def discover_files(spark: SparkSession, base: str, pattern: str, order: Order =
     return found.withColumn("file_ord", rank)
 
 
-def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_lines(spark: SparkSession, paths: list[str], starts: DataFrame | None = None) -> DataFrame:
     """(file, offset, line): lines with their byte offsets, also of files that are read in parts.
 
     A part is one split of a file; offsets are summed inside parts and over the
     bytes of earlier parts, so that no task needs a whole file. Text is UTF-8, line
-    ends are \\n; a \\r before it stays in the line.
+    ends are \\n; a \\r before it stays in the line. With `starts (path, read_from)`,
+    one row a file, only lines from there on are given: parts that end before it
+    are counted where they are read, as where their last line ends is known in no
+    other way, and not shuffled.
     """
     if not paths:
         return spark.createDataFrame([], "file string, offset long, line string")
     raw = spark.read.option("lineSep", "\n").text(paths)
-    rows = raw.select(_decoded(F.col("_metadata.file_path")).alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
-    size = F.octet_length("line") + 1
-    counted = running_count(rows, size, ["file"], ["id"], F.col("block"), "end")
-    return counted.select("file", (F.col("end") - size).alias("offset"), "line")
-
-
-def read_from(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """Lines of `files (path, read_from)` at or after the offset; lines of other files go."""
-    wanted = files.select(F.col("path").alias("file"), "read_from").where("read_from IS NOT NULL")
-    return lines.join(wanted, "file").where("offset >= read_from").drop("read_from")
+    meta = F.col("_metadata")
+    rows = raw.select(_decoded(meta.file_path).alias("file"), meta.file_block_start.alias("block"), (meta.file_block_start + meta.file_block_length).alias("stop"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
+    size, keep = F.octet_length("line") + 1, None
+    if starts is not None:
+        wanted = F.broadcast(starts.select(F.col("path").alias("file"), "read_from").where("read_from IS NOT NULL"))
+        rows = rows.join(wanted, "file")
+        keep = F.col("stop") >= F.col("read_from")
+    counted = running_count(rows, size, ["file"], ["id"], F.col("block"), "end", keep)
+    counted = counted.withColumn("offset", F.col("end") - size)
+    return (counted if starts is None else counted.where("offset >= read_from")).select("file", "offset", "line")
 
 
 def build_manifest(spark: SparkSession, files: DataFrame, topic: str) -> DataFrame:
     """MANIFEST of `files (path, size, file_ord)`: first line, path and size; empty files are left out, of equal first lines the last file stays.
 
-    Only the first line of each file is kept by the aggregate. The list of paths is
-    on the driver, as Spark's own reader has it.
+    First lines are in the first split of a file; other splits give no row, nothing
+    is numbered and one row a split and file is shuffled. The list of paths is on
+    the driver, as Spark's own reader has it.
     """
     paths = [r.path for r in files.where("size > 0").select("path").collect()]
-    firsts = read_lines(spark, paths).groupBy(F.col("file").alias("path")).agg(F.min_by("line", "offset").alias("first_line"))
+    if not paths:
+        return spark.createDataFrame([], MANIFEST)
+    lines = spark.read.option("lineSep", "\n").text(paths).where("_metadata.file_block_start = 0")
+    lines = lines.select(_decoded(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("id"))
+    firsts = lines.groupBy("path").agg(F.min_by("line", "id").alias("first_line"))
     last = firsts.join(files, "path").groupBy("first_line").agg(F.max_by(F.struct("path", "size"), "file_ord").alias("f"))
     return last.select(F.lit(topic).alias("topic"), "first_line", "f.path", "f.size")
 
@@ -99,10 +108,7 @@ def save_manifest(manifest: DataFrame, folder: str) -> None:
 
 def load_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The last version; empty if there is none."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    store = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = [s.getPath().getName() for s in store.listStatus(hadoop)] if store.exists(hadoop) else []
-    done = [v for v in versions if v.startswith("version=") and store.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{v}/_SUCCESS"))]
+    done = [v for v in children(spark, folder) if v.startswith("version=") and exists(spark, f"{folder}/{v}/_SUCCESS")]
     if not done:
         return spark.createDataFrame([], MANIFEST)
     return spark.read.parquet(f"{folder}/{max(done, key=lambda v: int(v.split('=')[1]))}")
@@ -125,7 +131,7 @@ def collect_topics(spark: SparkSession, topics: dict[str, TopicSpec], manifest:
         files = discover_files(spark, spec.base, spec.pattern, spec.order)
         now = build_manifest(spark, files, topic)
         todo = diff_manifest(manifest.where(F.col("topic") == topic), now).where("read_from IS NOT NULL").select("path", "read_from")
-        lines = read_from(read_lines(spark, [r.path for r in todo.select("path").collect()]), todo)
+        lines = read_lines(spark, [r.path for r in todo.select("path").collect()], todo)
         found = parse_log_events(lines, F.lit(host), spec.parser, tz, chunk=F.floor(F.col("offset") / (1 << 26)))
         found = found.join(files.select(F.col("path").alias("file"), "file_ord"), "file").withColumn("topic", F.lit(topic))
         events = found if events is None else events.unionByName(found)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import zlib
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from sparklogs.operators.segments import MAX_BYTES
 from sparklogs.operators.stats import Stat
 from sparklogs.operators.traffic import parse_transfers
 from sparklogs.plans.search import SearchSpec, log_search
+from sparklogs.shared import children, remove
 from sparklogs.sources.archive import write_archive
 from sparklogs.sources.files import TopicSpec, collect_topics, load_manifest, save_manifest
 from sparklogs.sources.topics import from_topic, to_topic, write_topic
@@ -39,12 +41,16 @@ def run_collector(spark: SparkSession, topics: dict[str, TopicSpec], manifest_di
 
 
 def stream_archive(stream: DataFrame, base: str, checkpoint: str, max_bytes: int = MAX_BYTES, trigger: dict | None = None) -> StreamingQuery:
-    """`stream (topic, value)` to the archive: each micro-batch is dealt to segments after a scan of what is there."""
+    """`stream (topic, value)` to the archive: each micro-batch is dealt to segments after a scan of what is there.
 
-    def batch(df: DataFrame, _: int) -> None:
+    A micro-batch that runs again after a failure leaves what one run leaves.
+    """
+    name = f"{zlib.crc32(checkpoint.encode()):08x}"
+
+    def batch(df: DataFrame, number: int) -> None:
         numbered = df.withColumn("seq", F.monotonically_increasing_id())
         stamped = numbered.withColumn("timestamp", F.get_json_object("value", "$.timestamp").try_cast("long"))
-        write_archive(stamped.where("timestamp IS NOT NULL"), base, max_bytes)
+        write_archive(stamped.where("timestamp IS NOT NULL"), base, max_bytes, batch=f"{name}.{number}")
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
@@ -52,22 +58,27 @@ def stream_archive(stream: DataFrame, base: str, checkpoint: str, max_bytes: int
 def stream_search(stream: DataFrame, spec: SearchSpec, out: str, checkpoint: str, tz: str = "UTC", trigger: dict | None = None, now_ms=lambda: int(time.time() * 1000)) -> StreamingQuery:
     """The search of a trailing window, run again for every micro-batch of `stream (topic, value)`.
 
-    Matching rows are kept in a folder per minute; a run reads the minutes of its
-    window. Results are written under out/<table>/query_time=<ms>.
+    Matching rows are kept in a folder per micro-batch and minute; a run reads the
+    minutes of its window and drops micro-batches that lie before it. One that runs
+    again replaces its own rows. Results are written under out/<table>/query_time=<ms>.
     """
     rows = from_topic(stream)
     found = drop_incomplete(extract_fields(search_filter(rows, [keyword_match(F.col("message"), spec.keyword), *spec.conditions]), spec.extracts))
 
     def batch(df: DataFrame, number: int) -> None:
-        spark = df.sparkSession
-        minute = bucket_start(F.col(_STATE), 60_000).alias("minute")
-        order = F.lit(number).cast("long") * (1 << 40) + F.monotonically_increasing_id() % (1 << 40)
-        df.select("*", order.alias("seq"), minute).write.mode("append").partitionBy("minute").parquet(f"{out}/_rows")
+        spark, kept = df.sparkSession, f"{out}/_rows"
         now = now_ms()
         start = now - spec.time_rule.window_ms
-        window = spark.read.schema(df.schema.add("seq", "long").add("minute", "long")).parquet(f"{out}/_rows").where(F.col("minute") >= start - start % 60_000).drop("minute")
+        minute = bucket_start(F.col(_STATE), 60_000).alias("minute")
+        order = F.lit(number).cast("long") * (1 << 40) + F.monotonically_increasing_id() % (1 << 40)
+        df.select("*", order.alias("seq"), minute).write.mode("overwrite").partitionBy("minute").parquet(f"{kept}/batch={number}")
+        for old in children(spark, kept):
+            minutes = [m.split("=")[1] for m in children(spark, f"{kept}/{old}") if m.startswith("minute=")]
+            if old != f"batch={number}" and all(m.isdigit() and int(m) < start - 60_000 for m in minutes):
+                remove(spark, f"{kept}/{old}")
+        window = spark.read.schema(df.schema.add("seq", "long").add("minute", "long").add("batch", "long")).parquet(kept).where(F.col("minute") >= start - start % 60_000).drop("minute", "batch")
         again = SearchSpec("", spec.time_rule, [], spec.keys, spec.stats)
-        for name, result in log_search(window, again, start, tz, keep=False).items():
+        for name, result in log_search(window, again, start, tz).items():
             result.write.mode("overwrite").parquet(f"{out}/{name}/query_time={now}")
 
     return found.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()

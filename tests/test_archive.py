@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparklogs.operators.segments import assign_existing_segment, assign_segments, segment_sizes
+from sparklogs.sources import archive
 from sparklogs.sources.archive import read_archive, scan_archive, write_archive
 from sparklogs.streaming.jobs import stream_archive
 
@@ -59,17 +60,18 @@ def test_existing_segments(spark):
     assert got == {1: None, 2: 10, 3: 20, 4: None, 5: None, 6: None}
 
 
-T0 = -23215049510877
+#: 1961-04-12 06:07:00.250 UTC, and the last millisecond of that day.
+T0, NIGHT = -275248379750, -275184000001
 
 
 @pytest.mark.parametrize(
     ("times", "limit", "paths"),
     [
-        ([T0], 100, ["1234-05-06/12340506T070809.123Z.test"]),
-        ([T0, T0 + 333], 1 << 20, ["1234-05-06/12340506T070809.123Z.test"]),
-        ([T0, T0 + 333], 10, ["1234-05-06/12340506T070809.123Z.test", "1234-05-06/12340506T070809.456Z.test"]),
-        ([-23215075200001, -23215075200000], 1 << 20, ["1234-05-05/12340505T235959.999Z.test", "1234-05-06/12340506T000000.000Z.test"]),
-        ([-23215049510900, -23215049510544, T0], 1 << 20, ["1234-05-06/12340506T070809.100Z.test"]),
+        ([T0], 100, ["1961-04-12/19610412T060700.250Z.gate"]),
+        ([T0, T0 + 1500], 1 << 20, ["1961-04-12/19610412T060700.250Z.gate"]),
+        ([T0, T0 + 1500], 10, ["1961-04-12/19610412T060700.250Z.gate", "1961-04-12/19610412T060701.750Z.gate"]),
+        ([NIGHT, NIGHT + 1], 1 << 20, ["1961-04-12/19610412T235959.999Z.gate", "1961-04-13/19610413T000000.000Z.gate"]),
+        ([T0, T0 + 2000, T0 + 700], 1 << 20, ["1961-04-12/19610412T060700.250Z.gate"]),
     ],
 )
 def test_write_scan_read(spark, tmp_path, times, limit, paths):
@@ -77,20 +79,56 @@ def test_write_scan_read(spark, tmp_path, times, limit, paths):
     values = [f'{{"timestamp":{t},"level":"INFO","location":"l","message":"m{i}"}}' for i, t in enumerate(times)]
     assert scan_archive(spark, base).count() == 0
     for i, (t, v) in enumerate(zip(times, values, strict=True)):  # one write a message: the state is what lies in the archive
-        write_archive(frame(spark, [(i, "test", t, v)]), base, limit)
+        write_archive(frame(spark, [(i, "gate", t, v)]), base, limit)
     index = scan_archive(spark, base).orderBy("start_ts").collect()
     assert [r.path[len(base) + 1 :] for r in index] == paths
     assert sum(r.size for r in index) == sum(len(v) + 1 for v in values)
     assert max(r.recent_ts for r in index) == max(times)
     assert read_archive(spark, base, min(times), max(times) + 1).count() == len(times)
     assert read_archive(spark, base, min(times), max(times)).count() == len(times) - 1
-    once = assign_segments(frame(spark, [(i, "test", t, v) for i, (t, v) in enumerate(zip(times, values, strict=True))]), limit)
+    once = assign_segments(frame(spark, [(i, "gate", t, v) for i, (t, v) in enumerate(zip(times, values, strict=True))]), limit)
     assert segment_sizes(once).count() == len(paths)
 
 
 def test_stream_archive(spark, tmp_path):
     source, base = str(tmp_path / "in"), str(tmp_path / "out")
-    spark.createDataFrame([("test", f'{{"timestamp":{i},"message":"m"}}') for i in range(5)], "topic string, value string").write.parquet(source)
+    spark.createDataFrame([("gate", f'{{"timestamp":{i},"message":"m"}}') for i in range(5)], "topic string, value string").write.parquet(source)
     stream = spark.readStream.schema("topic string, value string").parquet(source)
     stream_archive(stream, base, str(tmp_path / "c"), trigger={"availableNow": True}).awaitTermination(120)
     assert read_archive(spark, base, 0, 10).where(F.col("message") == "m").count() == 5
+
+
+def test_a_batch_that_runs_again_leaves_what_one_run_leaves(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "a")
+    rows = frame(spark, [(i, "ab"[i % 2], i * 1000, f'{{"timestamp":{i * 1000},"message":"m{i}"}}') for i in range(8)])
+    write_archive(rows, base, 40, batch="0")
+    more = frame(spark, [(i, "ab"[i % 2], i * 1000, f'{{"timestamp":{i * 1000},"message":"m{i}"}}') for i in range(8, 16)])
+    moved = []
+
+    def fail_at_second(spark, source, goal, move=archive.move):
+        if moved:
+            raise OSError("lost")
+        moved.append(goal)
+        move(spark, source, goal)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(archive, "move", fail_at_second)
+        with pytest.raises(OSError, match="lost"):
+            write_archive(more, base, 40, batch="1")
+    first = write_archive(more, base, 40, batch="1").orderBy("seq").collect()
+    again = write_archive(more, base, 40, batch="1").orderBy("seq").collect()
+    assert moved and first == again
+    assert sorted(r.message for r in read_archive(spark, base, 0, 20_000).collect()) == sorted(f"m{i}" for i in range(16))
+    newest = {(r.topic, r.start_ts): r.recent_ts for r in scan_archive(spark, base).collect()}
+    for r in scan_archive(spark, base, newest_only=True).collect():
+        last = r.start_ts == max(start for topic, start in newest if topic == r.topic)
+        assert r.recent_ts == (newest[r.topic, r.start_ts] if last else None)
+
+
+def test_a_failed_rename_loses_nothing(spark, tmp_path):
+    from sparklogs.shared import move
+
+    (tmp_path / "a").write_text("x")
+    with pytest.raises(Exception):  # noqa: B017  the goal's folder can't be made below a file
+        move(spark, str(tmp_path / "a"), str(tmp_path / "a" / "b"))
+    assert (tmp_path / "a").read_text() == "x"

@@ -20,14 +20,14 @@ def names(df):
 
 
 def test_daily_and_numeric_order(spark, tmp_path):
-    for f in ("haha.log.2014-07-02", "haha.log.2014-07-01", "haha.log", "others/haha.log", "x=1/haha.log", "b.log.2", "b.log.1", "b.log", "b.log.10"):
+    for f in ("svc.log.2022-11-30", "svc.log.2022-02-28", "svc.log", "old/svc.log", "k=v/svc.log", "q.log.3", "q.log.1", "q.log", "q.log.12"):
         (tmp_path / f).parent.mkdir(exist_ok=True)
         (tmp_path / f).write_text("x")
-    assert names(discover_files(spark, str(tmp_path), "haha[.]log.*")) == ["haha.log.2014-07-01", "haha.log.2014-07-02", "haha.log"]
-    assert names(discover_files(spark, str(tmp_path), "^b[.]log", "numeric")) == ["b.log.10", "b.log.2", "b.log.1", "b.log"]
-    assert names(discover_files(spark, str(tmp_path), "^b[.]log", lambda p: [p.desc()])) == ["b.log.2", "b.log.10", "b.log.1", "b.log"]
+    assert names(discover_files(spark, str(tmp_path), "svc[.]log.*")) == ["svc.log.2022-02-28", "svc.log.2022-11-30", "svc.log"]
+    assert names(discover_files(spark, str(tmp_path), "^q[.]log", "numeric")) == ["q.log.12", "q.log.3", "q.log.1", "q.log"]
+    assert names(discover_files(spark, str(tmp_path), "^q[.]log", lambda p: [p.desc()])) == ["q.log.3", "q.log.12", "q.log.1", "q.log"]
     with pytest.raises(Exception, match="not a rolling file"):
-        discover_files(spark, str(tmp_path), "haha", "numeric").collect()
+        discover_files(spark, str(tmp_path), "svc", "numeric").collect()
 
 
 def test_offsets_do_not_depend_on_splits(spark, tmp_path):
@@ -55,12 +55,12 @@ def manifest(spark, base):
 @pytest.mark.parametrize(
     ("before", "after", "expected"),
     [
-        ({}, {"foo": "bar"}, [("foo", "new", 0)]),
-        ({}, {"foo": ""}, []),
-        ({"foo": "bar"}, {"foo": "bar"}, [("foo", "unchanged", None)]),
-        ({"foo": "bar\n"}, {"foo": "bar\nBAR\n"}, [("foo", "grown", 4)]),
-        ({"foo1": "bar\n"}, {"foo1": "BAR\n", "foo2": "bar\n"}, [("foo1", "new", 0), ("foo2", "unchanged", None)]),
-        ({"foo": "bar\nmore"}, {"foo": "bar\n"}, [("foo", "shrunk", None)]),
+        ({}, {"now": "head"}, [("now", "new", 0)]),
+        ({}, {"now": ""}, []),
+        ({"now": "head"}, {"now": "head"}, [("now", "unchanged", None)]),
+        ({"now": "head\n"}, {"now": "head\ntail\n"}, [("now", "grown", 5)]),
+        ({"now": "head\n"}, {"now": "next\n", "past": "head\n"}, [("now", "new", 0), ("past", "unchanged", None)]),
+        ({"now": "head\nmore"}, {"now": "head\n"}, [("now", "shrunk", None)]),
     ],
 )
 def test_manifest_diff(spark, tmp_path, before, after, expected):
@@ -91,12 +91,26 @@ def messages(spark, folder):
 def test_collector_sends_only_what_is_new(spark, tmp_path):
     base, out, state = tmp_path / "logs", str(tmp_path / "out"), str(tmp_path / "state")
     base.mkdir()
-    for d, name in enumerate(("xx.log.2013-06-01", "xx.log.2013-06-02", "xx.log"), 1):
-        (base / name).write_text(f"2013-06-0{d} 00:00:00,000 INFO Client: msg{d}")
-    topics = {"hdfs": TopicSpec(str(base), "^xx[.]log.*")}
+    for d, name in enumerate(("gate.log.2022-01-07", "gate.log.2022-01-08", "gate.log"), 7):
+        (base / name).write_text(f"2022-01-0{d} 12:00:00,000 WARN door.Lock: opened {d}")
+    topics = {"doors": TopicSpec(str(base), "^gate[.]log.*")}
     run_collector(spark, topics, state, "h", TZ, folder=out)
-    assert messages(spark, out) == ["msg1", "msg2", "msg3"]
-    with (base / "xx.log").open("a") as file:
-        file.write("\n2013-06-03 00:00:01,000 INFO Client: msg4\n  more")
+    assert messages(spark, out) == ["opened 7", "opened 8", "opened 9"]
+    with (base / "gate.log").open("a") as file:
+        file.write("\n2022-01-09 12:00:01,000 WARN door.Lock: shut\n  by hand")
     events, _ = collect_topics(spark, topics, load_manifest(spark, state), "h", TZ)
-    assert [(r.message, r.timestamp) for r in events.collect()] == [("msg4\n  more", 1370188801000)]
+    assert [(r.message, r.timestamp) for r in events.collect()] == [("shut\n  by hand", 1641700801000)]
+
+
+def test_lines_from_an_offset(spark, tmp_path):
+    text = "".join(f"line {i}\n" for i in range(400))
+    (tmp_path / "f").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97b")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    path = str(tmp_path / "f")
+    whole = [(r.offset, r.line) for r in read_lines(spark, [path]).orderBy("offset").collect()]
+    for start in (0, 1, 97, 98, 1000, len(text) - 9, len(text)):
+        got = read_lines(spark, [path], spark.createDataFrame([(path, start)], "path string, read_from long")).orderBy("offset").collect()
+        assert [(r.offset, r.line) for r in got] == [w for w in whole if w[0] >= start]
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.minPartitionNum")
