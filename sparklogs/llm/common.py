@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import gc
 import sys
-import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +11,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparklogs.shared import checkpoint, shared_folder  # noqa: F401  the operators have them from here
+
 #: Bits of the filter that `likely_rows` broadcasts: 4 MB at any size of the input.
 _FILTER_BITS = 1 << 25
 
@@ -32,29 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which driver and executors share.
-
-    Where the session names none, a folder of this machine serves local sessions,
-    as in tests; on a cluster that is an error.
-    """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-    return tempfile.mkdtemp(prefix="sparklogs-checkpoint-")
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of `df` through the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
-
-
 def free(spark: SparkSession) -> None:
     """Lets Spark drop the shuffle files of plans that nothing refers to any more, which it does when the driver collects garbage.
 

@@ -39,12 +39,16 @@ def _planes(dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rng.standard_normal((dim, TABLES * CELLS)), rng.uniform(0, WIDTH, TABLES * CELLS), rng.integers(0, 1 << 63, CELLS, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors scaled to length 1; first by their largest component, so that no square leaves the range of doubles."""
+    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return unit / np.linalg.norm(unit, axis=1, keepdims=True)
+
+
 def bucket_keys(vectors: np.ndarray) -> np.ndarray:
     """(rows, TABLES) 32-bit bucket keys of vectors, which are scaled to length 1 first."""
     planes, shift, mix = _planes(vectors.shape[1])
-    unit = vectors / np.abs(vectors).max(axis=1, keepdims=True)
-    unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
-    cells = np.floor((unit @ planes + shift) / WIDTH).astype(np.int64).astype(np.uint64).reshape(len(unit), TABLES, CELLS)
+    cells = np.floor((_unit(vectors) @ planes + shift) / WIDTH).astype(np.int64).astype(np.uint64).reshape(len(vectors), TABLES, CELLS)
     mixed = (cells * mix).sum(axis=2, dtype=np.uint64)
     mixed ^= mixed >> np.uint64(29)
     return ((mixed * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
@@ -63,7 +67,7 @@ def _hash(batches):
 
 def _compare(rows: dict[str, np.ndarray], vectors: np.ndarray, keys: np.ndarray, min_cosine: float) -> dict[str, np.ndarray] | None:
     """Links of one pair of blocks: for each linked class, its local root and how many vectors it links to."""
-    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    unit = _unit(vectors)
     t = int(rows["tab"][0])
     i, j = np.nonzero(np.triu(unit @ unit.T >= min_cosine, 1))
     a, b = rows["blk"][i], rows["blk"][j]

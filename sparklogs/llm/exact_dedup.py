@@ -5,7 +5,8 @@ then exchange runs in binomial rounds: in each round a partition keeps the part
 of the digest space that its number stands for and sends the rest to partners
 whose numbers differ in that round's bits, and the runs that meet are merged.
 After log(partitions) rounds each partition holds the whole truth on its share
-of the digests. Every merge keeps one entry a digest, so a text that fills a
+of the digests. Runs arrive one after another, each in order; the sort of a
+partition, a TimSort, finds them and merges them. Every merge keeps one entry a digest, so a text that fills a
 third of the table never brings more than one entry from each run.
 """
 

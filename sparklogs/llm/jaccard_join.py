@@ -7,10 +7,14 @@ bucket form a tree whose nodes hold OR-combined bitmaps and size ranges. A dual
 traversal drops pairs of nodes whose largest possible overlap is too small, or
 that are linked already; pairs of sets that are left are intersected exactly.
 
-A bucket of many members is cut into blocks with a tree each. When those are
-linked, one member of each group of a block goes on to trees of the next round.
-What then is in more than one group is compared across blocks whose size ranges
-allow a link and which aren't one and the same group.
+First each set that shares much with a bucket goes through the trees of that one,
+which joins families of near copies. Buckets whose members then are in one group
+are done. In the others, trees over the shared shingles alone find the pairs of
+different groups that meet and how often; pairs that meet often enough in all are
+intersected. A bucket of many members is cut into blocks: one member of each group
+of a block goes on to trees of the next round, and what then is in several groups
+is compared across blocks whose size ranges allow a link and which aren't one and
+the same group.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparklogs.llm.common import checkpoint, components, free, likely_rows, partitions, table
@@ -212,14 +216,24 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
 class Traversal:
     """Dual traversals over the sets of one or two blocks; `links` are verified pairs (positions), as many as join the groups."""
 
-    def __init__(self, sets: list[np.ndarray], groups: list[int], percent: int):
-        self.sets, self.percent = sets, percent
+    def __init__(self, sets: list[np.ndarray], groups: list[int], percent: int, sizes: list[int] | None = None):
+        self.sets, self.percent, self.sizes = sets, percent, sizes or [len(s) for s in sets]
         numbers: dict[int, int] = {}
         self.of = [numbers.setdefault(g, len(numbers)) for g in groups]
         self.up = list(range(len(numbers)))
         self.links: list[tuple[int, int]] = []
         self.checked = 0
 
+    def need(self, a: _Branch, b: _Branch) -> int:
+        """The overlap that a link asks for at least."""
+        return -(-self.percent * (a.few + b.few) // (100 + self.percent))
+
+    def compare(self, a: _Branch, b: _Branch) -> None:
+        i, j = a.parts, b.parts
+        if overlap(self.sets[i], self.sets[j]) >= self.need(a, b):
+            self.links.append((i, j))
+            self.up[self.find(self.of[i])] = self.find(self.of[j])
+
     def find(self, g: int) -> int:
         up = self.up
         while up[g] != g:
@@ -246,14 +260,14 @@ class Traversal:
             while own > width:  # a shorter bitmap is the OR of its halves
                 own //= 2
                 one = (one >> own) | (one & ((1 << own) - 1))
-            n = len(self.sets[i])
-            out.append(_Branch(i, one, n, n, n - one.bit_count(), self.of[i]))
+            n = self.sizes[i]
+            out.append(_Branch(i, one, n, n, len(self.sets[i]) - one.bit_count(), self.of[i]))
         return out
 
     def run(self, left: list[int], right: list[int] | None = None) -> None:
         """Every pair of `left`, or of `left` and `right`: members by the width of their bitmaps, those of a larger one folded to the smaller."""
         bits = {i: int.from_bytes(bitmap(self.sets[i]), "little") for i in {*left, *(right or ())}}
-        order = lambda members, w: sorted((i for i in members if _width(len(self.sets[i])) == w), key=lambda i: (len(self.sets[i]), i))
+        order = lambda members, w: sorted((i for i in members if _width(len(self.sets[i])) == w), key=lambda i: (self.sizes[i], i))
         widths = sorted({_width(len(self.sets[i])) for i in bits})
         for k, width in enumerate(widths):
             for other in widths[k:]:
@@ -263,7 +277,7 @@ class Traversal:
                     continue
                 for one, two in ((left, left if right is None else right), *([(right, left)] if right is not None and other != width else [])):
                     one, two = order(one, width), order(two, other)
-                    if one and two and self.percent * len(self.sets[two[0]]) <= 100 * len(self.sets[one[-1]]):
+                    if one and two:
                         self.traverse(_tree(self.leaves(one, width, bits)), _tree(self.leaves(two, width, bits)))
 
     def traverse(self, a: _Branch, b: _Branch) -> None:
@@ -281,8 +295,7 @@ class Traversal:
                 continue
             if 100 * a.many < percent * b.few or 100 * b.many < percent * a.few:
                 continue
-            need = -(-percent * (a.few + b.few) // (100 + percent))
-            if (a.bits & b.bits).bit_count() + min(a.excess, b.excess) < need:
+            if (a.bits & b.bits).bit_count() + min(a.excess, b.excess) < self.need(a, b):
                 continue
             if a.parts.__class__ is list:
                 if b.parts.__class__ is list and b.many - b.few > a.many - a.few:
@@ -292,11 +305,25 @@ class Traversal:
             elif b.parts.__class__ is list:
                 stack += [(a, p) for p in b.parts]
             else:
-                i, j = a.parts, b.parts
                 self.checked += 1
-                if overlap(self.sets[i], self.sets[j]) * (100 + percent) >= percent * (a.few + b.few):
-                    self.links.append((i, j))
-                    self.up[self.find(self.of[i])] = self.find(self.of[j])
+                self.compare(a, b)
+
+
+class Meetings(Traversal):
+    """Traversals over the shingles that sets share in a bucket; `links` are pairs of different groups that share some, `shared` how many."""
+
+    def __init__(self, sets: list[np.ndarray], groups: list[int], percent: int, sizes: list[int]):
+        super().__init__(sets, groups, percent, sizes)
+        self.shared: list[int] = []
+
+    def need(self, a: _Branch, b: _Branch) -> int:
+        return 1
+
+    def compare(self, a: _Branch, b: _Branch) -> None:
+        i, j = a.parts, b.parts
+        if n := overlap(self.sets[i], self.sets[j]):
+            self.links.append((i, j))
+            self.shared.append(n)
 
 
 def _by_tree(percent: int, roots: bool):
@@ -348,6 +375,43 @@ def _by_tree(percent: int, roots: bool):
     return run
 
 
+def _meetings(percent: int):
+    """Rows (a, b, shared, few, many), the last two their sizes, of pairs of different groups that meet in a bucket of at most a block, whose rows (lead, id, n, grp, token) come sorted by lead and id."""
+
+    def run(batches):
+        kept = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
+            lead = rows["lead"].to_numpy()
+            change = np.flatnonzero(lead[1:] != lead[:-1])
+            last = int(change[-1]) + 1 if len(change) else 0
+            kept = rows.slice(last)
+            yield from pairs(rows.slice(0, last))
+        if kept is not None:
+            yield from pairs(kept)
+
+    def pairs(rows: pa.Table):
+        lead, ident, n, grp, token = (rows[c].to_numpy() for c in ("lead", "id", "n", "grp", "token"))
+        at = np.flatnonzero(np.append(True, (lead[1:] != lead[:-1]) | (ident[1:] != ident[:-1]))[: len(lead)])
+        stop = np.append(at[1:], len(lead))
+        of = np.flatnonzero(np.append(True, lead[at][1:] != lead[at][:-1])[: len(at)])
+        a, b, shared, few, many = [], [], [], [], []
+        for s, e in zip(of.tolist(), [*of[1:].tolist(), len(at)][: len(of)], strict=True):
+            if e - s > 1:
+                walk = Meetings([np.sort(token[at[k] : stop[k]].view(np.uint64)) for k in range(s, e)], grp[at[s:e]].tolist(), percent, n[at[s:e]].tolist())
+                walk.run(list(range(e - s)))
+                ids = ident[at[s:e]].tolist()
+                a += [min(ids[i], ids[j]) for i, j in walk.links]
+                b += [max(ids[i], ids[j]) for i, j in walk.links]
+                shared += walk.shared
+                few += [min(walk.sizes[i], walk.sizes[j]) for i, j in walk.links]
+                many += [max(walk.sizes[i], walk.sizes[j]) for i, j in walk.links]
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (a, b, shared, few, many)], ["a", "b", "shared", "few", "many"])
+
+    return run
+
+
 def _shingles_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(id, value): the sets of the documents in `ids (id)`, whose texts alone are shuffled."""
 
@@ -403,30 +467,56 @@ def _across_blocks(members: DataFrame, percent: int) -> DataFrame:
     return members.join(checkpoint(met), ["lead", "blk"]).select("lead", "lo", "hi", (F.col("blk") != F.col("lo")).alias("far"), "id", "grp")
 
 
-def tree_links(members: DataFrame, sets: DataFrame, percent: int, buckets: int) -> DataFrame:
-    """Edges (a, b) that join whatever is linked within a bucket of `members (lead, id, n, shared)`, by signature trees.
+def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """`pairs (a, b)` whose sets reach the threshold, by intersecting them."""
+    sets = _shingles_of(docs, checkpoint(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), width)
+
+    def each(batches):
+        for batch in batches:
+            hit = []
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                one, two = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                hit.append(overlap(one, two) * (100 + percent) >= percent * (len(one) + len(two)))
+            yield batch.filter(pa.array(hit, pa.bool_())).select(["a", "b"])
+
+    both = pairs.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").select("a", "b", "x", "y")
+    return checkpoint(both.mapInArrow(each, "a long, b long"))
+
 
-    First each set goes through the trees of one bucket, that of which it shares
-    most shingles. Buckets whose members then are in one group are done; those in
-    several groups go through trees whole. Members are dealt to blocks with a
-    tree each; where there are several, one member of each group goes first, as
-    long as that halves the groups, and then the blocks are compared.
+def _least(n: Column, percent: int) -> Column:
+    """`shared_at_least` as a column."""
+    return F.least(F.greatest(F.lit(SHARED), F.floor(n / SHARE)), F.ceil(n * percent / 100))
+
+
+def tree_links(posts: DataFrame, docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+    """Edges (a, b) that join whatever is linked, from `posts (lead, token, id, n)`: the first shingles that sets share, and the buckets these are in.
+
+    A pair of different groups either is in a bucket of several blocks, where it is
+    compared, or all that it shares is in small ones, where it is counted.
     """
-    spark = members.sparkSession
-    home = members.groupBy("id").agg(F.max_by("lead", F.struct("shared", "lead")).alias("lead"))
-    found = _linked(_in_blocks(checkpoint(home.select("lead", "id", F.col("id").alias("grp")))), sets, percent, buckets, True)
+    spark = posts.sparkSession
+    members = checkpoint(posts.groupBy("lead", "id").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("shared")))
+    home = members.groupBy("id").agg(F.max(F.struct("shared", "lead")).alias("best"), F.first("n").alias("n"))
+    home = checkpoint(home.where(2 * F.col("best.shared") >= _least(F.col("n"), percent)).select("best.lead", "id", F.col("id").alias("grp")))
+    found = _linked(_in_blocks(home), _shingles_of(docs, home.select("id"), width), percent, buckets, True)
     free(spark)
     edges = found.select("a", "b").where("a <> b")
-    rest = members.join(found.select(F.col("a").alias("id"), F.col("b").alias("grp")), "id").select("lead", "id", "n", "grp")
-    rest = checkpoint(rest)
+    rest = members.join(found.select(F.col("a").alias("id"), F.col("b").alias("grp")), "id", "left")
+    rest = checkpoint(rest.select("lead", "id", "n", F.coalesce("grp", "id").alias("grp")))
     sizes = rest.groupBy("lead").agg(F.count(F.lit(1)).alias("m"), F.min("grp").alias("g"), F.max("grp").alias("h")).where("g < h")
-    sizes = checkpoint(sizes.select("lead", "m"))
-    rest = checkpoint(rest.join(sizes, "lead"))
-    found = _linked(_in_blocks(rest.where(F.col("m") <= BLOCK).select("lead", "id", "grp")), sets, percent, buckets, False)
+    rest = checkpoint(rest.join(checkpoint(sizes.select("lead", "m")), "lead"))
+
+    small = posts.join(rest.where(F.col("m") <= BLOCK).select("lead", "id", "grp"), ["lead", "id"]).select("lead", "id", "n", "grp", "token")
+    met = small.repartition(buckets, "lead").sortWithinPartitions("lead", "id").mapInArrow(_meetings(percent), "a long, b long, shared long, few long, many long")
+    met = met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("few").alias("few"), F.first("many").alias("many"))
+    met = met.where(F.col("shared") >= _least(F.col("few"), percent)).where(100 * F.col("few") >= percent * F.col("many"))
+    edges = edges.union(_verified(checkpoint(met.select("a", "b")), docs, width, percent))
     free(spark)
-    edges = edges.union(found.select("a", "b"))
 
-    rest = rest.where(F.col("m") > BLOCK).drop("m")
+    rest = checkpoint(rest.where(F.col("m") > BLOCK).drop("m"))
+    if rest.isEmpty():
+        return edges
+    sets = _shingles_of(docs, checkpoint(rest.select("id").distinct()), width)
     most = None
     while True:
         groups = checkpoint(rest.groupBy("lead").agg(F.countDistinct("grp").alias("m")).where("m > 1"))
@@ -464,25 +554,22 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     named = rows.where("n >= 0")
     classes = named.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     classes = checkpoint(classes)
-    least = lambda n: F.least(F.greatest(F.lit(SHARED), F.floor(n / SHARE)), F.ceil(n * percent / 100))
-    firsts = named.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + least(F.col("n")))).first()[0] or 0
+    firsts = named.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + _least(F.col("n"), percent))).first()[0] or 0
     buckets = max(partitions(spark), int(firsts) // _POSTINGS, 12)
 
     packed = postings(docs, width, percent, common_shingles(rows), buckets)
     posts = checkpoint(packed.repartitionById(buckets, "bucket").mapInArrow(_unpack, "token long, node binary"))
     del packed
     free(spark)
-    enough = posts.groupBy("node").agg(F.count(F.lit(1)).alias("met")).join(classes, "node").where(F.col("met") >= least(F.ceil(F.col("n") * percent / 100)))
+    enough = posts.groupBy("node").agg(F.count(F.lit(1)).alias("met")).join(classes, "node").where(F.col("met") >= _least(F.ceil(F.col("n") * percent / 100), percent))
     sets = checkpoint(enough.select("node", "id", "n"))
     posts = checkpoint(posts.join(sets, "node").select("token", "id", "n"))
 
     # buckets with the same smallest member are one, which the sets in many of the same buckets enter once
     lead = checkpoint(posts.groupBy("token").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").select("token", "lead"))
-    members = checkpoint(posts.join(lead, "token").groupBy("lead", "id").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("shared")))
-    del posts
+    posts = checkpoint(posts.join(lead, "token").select("lead", "token", "id", "n"))
     free(spark)
-    values = _shingles_of(docs, checkpoint(members.select("id").distinct()), width)
-    group = components(tree_links(members, values, percent, buckets))
+    group = components(tree_links(posts, docs, width, percent, buckets))
 
     reps = checkpoint(classes.join(group, "id", "left").select("node", F.coalesce("component", "id").alias("component_id")))
     out = named.join(reps, "node", "left")
@@ -491,3 +578,17 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), percent=85, width=4)
+
+
+_WORDS_SQL = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')"
+SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+     s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                               ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END)) AS shingle FROM w),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+     pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+     links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+     walk AS (SELECT a, a AS b FROM links UNION SELECT walk.a, links.b FROM walk JOIN links ON walk.b = links.a),
+     low AS (SELECT a, min(b) AS low FROM walk GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(low, d.doc_id) AS component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN low ON low.a = d.doc_id
+"""

@@ -146,15 +146,16 @@ def best_fit(
     caps = (float(capacity), float(max_docs or capacity), float(max_attention or capacity * capacity))
     pieces = checkpoint(pieces.drop("sequence_id", "offset"))
     shards = max(1, round(pieces.count() / shard))
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
+    name = next(n for n in (f"_shard{k}" for k in range(len(pieces.columns) + 1)) if n not in pieces.columns)
+    dealt = pieces.withColumn(name, F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
 
     def pack(key, group):
         sequence, offset = place(group["length"].to_numpy(), caps, weights, rule)
         numbered = pa.array(sequence + (key[0].as_py() << 32))
-        return group.drop_columns(["_shard"]).append_column("sequence_id", numbered).append_column("offset", pa.array(offset))
+        return group.drop_columns([name]).append_column("sequence_id", numbered).append_column("offset", pa.array(offset))
 
-    return dealt.groupBy("_shard").applyInArrow(pack, schema)
+    return dealt.groupBy(name).applyInArrow(pack, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

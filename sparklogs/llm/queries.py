@@ -15,9 +15,12 @@ QUERIES = {
     "op8_bpe": bpe.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_license_scan": license_scan.query,
+    "secret_scan_counts": secret_scan.counts,
 }
 SQL = {
     "op1_embedding_dedup": embedding_dedup.SQL,
     "op3_chat_format": chat_format.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
+    "op9_jaccard_join": jaccard_join.SQL,
+    "secret_scan_counts": secret_scan.COUNTS_SQL,
 }

@@ -13,6 +13,8 @@ from __future__ import annotations
 import builtins
 import keyword
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -149,6 +151,19 @@ def private_keys(text: str, min_novelty: float) -> list[tuple[int, int, float]]:
     return out
 
 
+class _Sweep:
+    """Finds the spans that meet others; both come in the order of their starts."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.spans, self.ends = spans, list(accumulate((e for _, e in spans), max))
+        self.starts = [s for s, _ in spans]
+
+    def meets(self, start: int, end: int) -> list[int]:
+        """Which spans share a character with [start, end), in order."""
+        first, last = bisect_right(self.ends, start), bisect_left(self.starts, end)
+        return [k for k in range(first, last) if self.spans[k][1] > start]
+
+
 def scan(text: str | None, min_novelty: float = MIN_NOVELTY) -> list[tuple[int, int, int, float | None]]:
     """(start, kind number, end, novelty) of all spans by start, then kind.
 
@@ -161,12 +176,13 @@ def scan(text: str | None, min_novelty: float = MIN_NOVELTY) -> list[tuple[int,
     base = base_spans(text)
     keys = private_keys(text, min_novelty)
     new, measured = [(s, 3, e, v) for s, e, v in keys], {}
+    near, beside = _Sweep([(s, e) for s, e, _ in keys]), _Sweep([(s, e) for s, _, e in base])
     for start, end in candidates(text):
-        if any(s < end and start < e for s, e, _ in keys):
+        if near.meets(start, end):
             continue
         around = _around(text, start, end)
         part = novelty(text[start:end], around)
-        inside = [b for b in base if b[0] < end and start < b[2]]
+        inside = [base[k] for k in beside.meets(start, end)]
         for b in inside:
             measured[b] = max(part, measured.get(b, 0.0))
         rest, at = [], start  # what base spans leave of it
@@ -177,7 +193,7 @@ def scan(text: str | None, min_novelty: float = MIN_NOVELTY) -> list[tuple[int,
         if part >= min_novelty and any(strange(r, around) for r in rest if r):
             new.append((start, 3, end, part))
             # the last line of a key over several lines may be short
-            if (m := _LAST.match(text, end)) and not any(b[0] < m.end(1) and m.start(1) < b[2] for b in base) and end - start >= 40:
+            if end - start >= 40 and (m := _LAST.match(text, end)) and not beside.meets(m.start(1), m.end(1)):
                 new.append((m.start(1), 3, m.end(1), part))
     new = list({s[:3]: s for s in new}.values())
     return sorted([(*b, measured.get(b)) for b in base] + new, key=lambda s: s[:3])
@@ -236,3 +252,17 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined("spans").alias("spans"),
         count("novel").alias("n_novel"),
     )
+
+
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of `query`: how many base spans of each kind."""
+    return query(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+_ASSIGN_SQL = r"""(?:(?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+COUNTS_SQL = f"""
+SELECT doc_id, len(list_filter(regexp_extract_all(coalesce(text, ''), '{_ASSIGN_SQL}', 1), lambda x: len(x) >= 6)) AS n_assign,
+       len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'), lambda x: len(x) >= 20)) AS n_access,
+       len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'), lambda x: len(x) >= 24)) AS n_hex
+FROM documents
+"""
