@@ -21,15 +21,16 @@ if str(getattr(getattr(sys.modules["__main__"], "__spec__", None), "name", "")).
     # a Python worker lives on after its task: memory goes back to the system, not to a pool of its own
     pa.set_memory_pool(pa.system_memory_pool())
 
-#: Rows of whole texts that a Python worker and its executor hold at a time.
-BATCH_ROWS = 2_000
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of whole texts, and bytes of them, that a Python worker and its executor hold at a time.
+BATCH_ROWS, BATCH_BYTES = 2_000, 16 << 20
+_BATCH, _BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the queries. Lowers the session's Arrow batches to BATCH_ROWS where they are larger: texts may be long."""
+    """A table of the queries. Lowers the session's Arrow batches to BATCH_ROWS and BATCH_BYTES, which the plan reads when it runs: texts may be long."""
     if not 0 < int(spark.conf.get(_BATCH)) <= BATCH_ROWS:
         spark.conf.set(_BATCH, BATCH_ROWS)
+    spark.conf.set(_BYTES, BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -53,7 +53,7 @@ class Model:
     def word(self, word: str) -> float:
         known = self._words.get(word)
         if known is None:
-            if len(self._words) >= 500_000:  # words are unbounded, memory is not
+            if len(self._words) >= 150_000:  # words are unbounded, memory is not
                 self._words.clear()
             known = self._words[word] = sum(self.weights.get(f, 0.0) for f in features(word))
         return known
