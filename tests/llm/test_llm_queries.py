@@ -57,3 +57,30 @@ def test_pipeline(spark, sf):
     packed = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
     assert {r.doc_id for r in packed} == set(rows)
     assert len(corpus_pipeline.run(spark, sf).collect()) == len(packed)
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_odd_rows(spark, sf, empty):
+    """Nulls, empty and long texts, repeats, and columns whose names the operators use themselves."""
+    long = " ".join(f"w{k}" for k in range(30_000))
+    rows = [(1, None), (1, None), (2, ""), (None, "no id"), (3, "a b"), (3, "a b"), (4, long), (5, f"{long} tail"), (6, "the token: abcdef123456 is here"), (None, None)]
+    clash = "doc_id long, text string, id string, row string, node string, component_id string, kept string, digest string, group_size string, length string, _shard0 string, sequence_no string"
+    docs = spark.createDataFrame([] if empty else [(i, t, *["x"] * 10) for i, t in rows], clash).repartition(3)
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = stage(spark, docs, sf)
+        seen[name] = docs.collect()
+        if name != "best-fit packing":
+            assert docs.columns == columns
+            docs = spark.createDataFrame(seen[name], docs.schema)
+    texts = lambda name: sorted((str(r.doc_id), r.text or "") for r in seen[name])
+    if empty:
+        assert not any(seen.values())
+        return
+    assert len(seen["toxicity"]) == len(rows)
+    stay = [("1", ""), ("3", "a b"), ("4", long), ("5", f"{long} tail"), ("6", "the token: abcdef123456 is here"), ("None", "no id")]
+    assert texts("exact dedup") == stay
+    assert texts("n-gram jaccard join") == [s for s in stay if s[0] != "5"]
+    assert [t for i, t in texts("secret scans") if i == "6"] == ["the [SECRET] is here"]
+    assert {r.doc_id for r in seen["best-fit packing"]} == {1, 3, 4, 6, None}
