@@ -173,7 +173,7 @@ def log_search_grouptable(spark, sf_dir):
     return log_search(logs(spark, sf_dir), SPEC, START)["grouptable"]
 
 
-@query(f"SELECT 'matchchart' AS result, count(*) AS n FROM ({SQL['match_chart']}) UNION ALL SELECT 'logtable', count(*) FROM ({SQL['log_table']}) UNION ALL SELECT 'grouptable', count(*) FROM ({SQL['group_table_long']}) UNION ALL SELECT 'meta', count(*) FROM ({SQL['group_meta']})")
+@query(f"SELECT 'matchchart' AS result, count(*) AS n FROM ({SQL['match_chart']}) UNION ALL SELECT 'logtable', count(*) FROM ({SQL['log_table']}) UNION ALL SELECT 'grouptable', count(*) FROM ({SQL['group_table_long']}) UNION ALL SELECT 'meta', count(*) FROM ({SQL['log_search_meta']})")
 def log_search_all(spark, sf_dir):
     """Rows of all four tables of one search."""
     with kept_search(logs(spark, sf_dir), SPEC, START) as tables:
@@ -222,7 +222,7 @@ def stream_flow_totals(spark, sf_dir):
     return _drained(jobs.stream_flow_totals(topics.from_topic(_topic(spark, rows)), "1 hour", "30 minutes", "1 minute", F.lit(1 << 60)))
 
 
-@query(SQL["group_meta"])
+@query(SQL["log_search_meta"])
 def stream_search(spark, sf_dir):
     out = new_folder(spark, "search")
     jobs.stream_search(_topic(spark, logs(spark, sf_dir)), SPEC, out, f"{out}/state", trigger={"availableNow": True}, now_ms=lambda: START + RULE.window_ms).awaitTermination()

@@ -11,21 +11,29 @@ from pyspark.sql import functions as F
 from sparklogs.functions.times import utc_day
 
 MAX_BYTES = 60 * 1024 * 1024
+#: Time of messages that one task merges with files.
+CHUNK_MS = 60_000
 
 
 def assign_existing_segment(messages: DataFrame, index: DataFrame, per_topic: bool = True) -> DataFrame:
     """`messages` with `start_ts` of the file with the greatest start <= timestamp of the same UTC day (and topic), null if none.
 
-    A floor join: files and messages of a day are merged in time order. Null times
-    find nothing.
+    A floor join: files and messages are merged in time order inside chunks of a day,
+    and a chunk starts with the last file of earlier ones, so that a day of any size
+    is spread over tasks. Null times find nothing.
     """
-    keys = ["_topic", "_day"] if per_topic else ["_day"]
-    left = messages.withColumns({"_topic": F.col("topic"), "_day": utc_day(F.col("timestamp")), "_at": F.col("timestamp"), "_start": F.lit(None).cast("long"), "_file": F.lit(0)})
-    files = index.select(F.col("topic").alias("_topic"), utc_day(F.col("start_ts")).alias("_day"), F.col("start_ts").alias("_at"), F.col("start_ts").alias("_start"), F.lit(1).alias("_file"))
+    keys = ["_topic", "_day", "_chunk"] if per_topic else ["_day", "_chunk"]
+    place = lambda topic, at: {"_topic": F.coalesce(topic, F.lit("\0")), "_day": F.coalesce(utc_day(at), F.lit("")), "_chunk": F.coalesce(F.floor(at / CHUNK_MS), F.lit(0)), "_at": at}
+    left = messages.withColumns({**place(F.col("topic"), F.col("timestamp")), "_start": F.lit(None).cast("long"), "_file": F.lit(0)})
+    files = index.select(*[c.alias(n) for n, c in place(F.col("topic"), F.col("start_ts")).items()], F.col("start_ts").alias("_start"), F.lit(1).alias("_file"))
     both = left.unionByName(files, allowMissingColumns=True)
+    earlier = Window.partitionBy(*keys[:-1]).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = both.groupBy(*keys).agg(F.max("_start").alias("_last"))
+    both = both.join(chunks.select(*keys, F.max("_last").over(earlier).alias("_before")), keys)
     seen = Window.partitionBy(*keys).orderBy("_at", F.desc("_file")).rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("start_ts", F.when(F.col("timestamp").isNotNull(), F.last("_start", ignorenulls=True).over(seen)))
-    return found.where("_file = 0").select(*messages.columns, "start_ts")
+    found = F.coalesce(F.last("_start", ignorenulls=True).over(seen), F.col("_before"))
+    both = both.withColumn("start_ts", F.when(F.col("timestamp").isNotNull(), found))
+    return both.where("_file = 0").select(*messages.columns, "start_ts")
 
 
 def _roll(max_bytes: int):

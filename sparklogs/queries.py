@@ -42,6 +42,11 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows that match the search's keyword, with all its fields, whenever they were."""
+    return filters.drop_incomplete(extract_fields(filters.keyword_filter(logs(spark, sf_dir), SPEC.keyword), SPEC.extracts))
+
+
 def transfers_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """LOG rows with data-node messages, of `events`."""
     kind, user, k = F.col("event_type"), (F.col("user_id") % 16).cast("string"), (F.get_json_object("props", "$.k").cast("int") % 8).cast("string")
@@ -70,6 +75,8 @@ TRANSFERS_SQL = """t AS (SELECT epoch_us(ts) // 1000 AS timestamp, event_id AS s
 _WINDOW = f"timestamp > {START} AND timestamp < {START + RULE.window_ms}"
 _FOUND_SQL = rf"""{LOGS_SQL}, f AS (SELECT *, regexp_extract(message, 'user (\S*) did', 1) AS "user", regexp_extract(message, 'did (\S*) k=', 1) AS action,
     regexp_extract(message, 'k=(\S*) end', 1) AS k FROM logs WHERE {_WINDOW} AND lower(message) LIKE '%did%')"""
+#: The same without a window.
+_ALL_SQL = _FOUND_SQL.replace(f"{_WINDOW} AND ", "")
 _LABEL = "strftime(make_timestamp((timestamp - timestamp % 3600000) * 1000), '%Y-%m-%d %H:%M:%S')"
 _GRID_SQL = f"grid AS (SELECT DISTINCT strftime(make_timestamp((p - p % 3600000) * 1000), '%Y-%m-%d %H:%M:%S') AS bucket FROM (SELECT {START} + 5000 * i AS p FROM range({RULE.window_ms // 5000}) r(i)))"
 _META_SQL = 'meta AS (SELECT CAST(row_number() OVER (ORDER BY action) - 1 AS INT) AS gid, action, count(*) AS count_user, CAST(sum(CAST(k AS BIGINT)) AS BIGINT) AS sum_k FROM f GROUP BY action)'
@@ -126,24 +133,24 @@ def drop_incomplete(spark, sf_dir):
     return filters.drop_incomplete(extract_fields(logs(spark, sf_dir), [("k=1* end", "k1")])).select("seq", "k1")
 
 
-@query(f"WITH {_FOUND_SQL} SELECT action, count(*) AS count_user, CAST(sum(CAST(k AS BIGINT)) AS BIGINT) AS sum_k FROM f GROUP BY action")
+@query(f"WITH {_ALL_SQL} SELECT action, count(*) AS count_user, CAST(sum(CAST(k AS BIGINT)) AS BIGINT) AS sum_k FROM f GROUP BY action")
 def group_stats(spark, sf_dir):
-    return stats.group_stats(matches(logs(spark, sf_dir), SPEC, START), KEYS, STATS)
+    return stats.group_stats(extracted(spark, sf_dir), KEYS, STATS)
 
 
-@query(f"WITH {_FOUND_SQL} SELECT {_LABEL} AS bucket, action, count(*) AS count_user, CAST(sum(CAST(k AS BIGINT)) AS BIGINT) AS sum_k FROM f GROUP BY 1, 2")
+@query(f"WITH {_ALL_SQL} SELECT {_LABEL} AS bucket, action, count(*) AS count_user, CAST(sum(CAST(k AS BIGINT)) AS BIGINT) AS sum_k FROM f GROUP BY 1, 2")
 def group_stats_by_time(spark, sf_dir):
-    return stats.group_stats_by_time(matches(logs(spark, sf_dir), SPEC, START), KEYS, STATS, RULE)
+    return stats.group_stats_by_time(extracted(spark, sf_dir), KEYS, STATS, RULE)
 
 
-@query(f"WITH {_FOUND_SQL} SELECT action, max(CAST(k AS BIGINT)) AS max_k FROM f GROUP BY action")
+@query(f"WITH {_ALL_SQL} SELECT action, max(CAST(k AS BIGINT)) AS max_k FROM f GROUP BY action")
 def custom_statistic(spark, sf_dir):
-    return stats.group_stats(matches(logs(spark, sf_dir), SPEC, START), KEYS, [Stat(lambda c: F.max(c.try_cast("long")), "k", "max_k")])
+    return stats.group_stats(extracted(spark, sf_dir), KEYS, [Stat(lambda c: F.max(c.try_cast("long")), "k", "max_k")])
 
 
-@query(f"WITH {_FOUND_SQL}, {_META_SQL} SELECT * FROM meta")
+@query(f"WITH {_ALL_SQL}, {_META_SQL} SELECT * FROM meta")
 def group_meta(spark, sf_dir):
-    return stats.group_meta(matches(logs(spark, sf_dir), SPEC, START), KEYS, STATS)
+    return stats.group_meta(extracted(spark, sf_dir), KEYS, STATS)
 
 
 @query(f"WITH {_FOUND_SQL}, {_GRID_SQL} SELECT bucket, count(b) AS search_count FROM grid LEFT JOIN (SELECT {_LABEL} AS b FROM f) ON b = bucket GROUP BY bucket")

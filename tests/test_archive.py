@@ -60,6 +60,15 @@ def test_existing_segments(spark):
     assert got == {1: None, 2: 10, 3: 20, 4: None, 5: None, 6: None}
 
 
+def test_existing_segments_over_a_day(spark):
+    rng = random.Random(3)
+    starts = sorted(rng.sample(range(3 * DAY), 40))
+    files = spark.createDataFrame([(s, "a", None, None, 0, s) for s in starts], INDEX)
+    rows = [(i, "a", rng.choice([rng.randrange(3 * DAY), rng.choice(starts)]), "") for i in range(500)]
+    got = {r.seq: r.start_ts for r in assign_existing_segment(frame(spark, rows), files).collect()}
+    assert got == {i: max((s for s in starts if s <= t and s // DAY == t // DAY), default=None) for i, _, t, _ in rows}
+
+
 #: 1961-04-12 06:07:00.250 UTC, and the last millisecond of that day.
 T0, NIGHT = -275248379750, -275184000001
 
