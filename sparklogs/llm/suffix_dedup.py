@@ -30,6 +30,8 @@ _LEFT = (MIN_BYTES - GRAM) // 2
 _RIGHT = MIN_BYTES - GRAM - _LEFT + 1
 #: Bytes hashed at a time; bytes of segments that share a suffix array, more only if one gram has more.
 CHUNK, BLOCK = 1 << 18, 1 << 19
+#: Bytes of texts for which there is a bucket.
+BUCKET = 64 << 20
 #: Bytes of segments of one gram, above which its windows are dealt one by one; bytes of such segments in a batch of windows.
 HOT, HOT_CHUNK = 1 << 21, 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -535,9 +537,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     not read.
     """
     spark = docs.sparkSession
-    buckets, limit = max(partitions(spark), 12), HOT
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     sound = docs.where(F.col("id").isNotNull())
+    total = sound.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets, limit = max(partitions(spark), 12, total // BUCKET), HOT
     dealt = sound.where(F.octet_length("text") >= MIN_BYTES).mapInArrow(_deal(buckets), _ROWS)
     # segments go on to their buckets; removed ranges pass them by, spread by document
     way = F.coalesce("bucket", F.pmod(F.xxhash64("doc"), F.lit(buckets)).cast("int"))
