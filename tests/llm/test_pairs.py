@@ -272,3 +272,20 @@ def test_embeddings(spark, monkeypatch):
     keys = embedding_dedup.bucket_keys(np.array([[1.0, 2.0], [2.0, 4.0]]))
     assert (keys[0] == keys[1]).all()
     assert df.select(F.count("*")).first()[0] == len(got)
+
+
+def test_embeddings_of_any_scale(spark):
+    rows = [(1, [3e200, 1e200], 1), (2, [6e200, 2e200], 1), (3, [3e-200, 1e-200], 1), (4, [1e-200, -3e-200], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4)}
+
+
+def test_very_long_texts(spark):
+    """One text of a million letters without a space, one of 200,000 words, and copies with a change."""
+    rng = random.Random(11)
+    many, solid = words(rng, 200_000, 5000), "".join(rng.choice("abcdefgh") for _ in range(1_000_000))
+    rows = [(1, many), (2, f"{many} end"), (3, solid), (4, f"{solid[:-1]}z")]
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(frame(spark, rows), 85, 4).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+    cut_ = {r.doc_id: (r.n_bytes, r.n_removed) for r in suffix_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert cut_[2] == (len(many) + 4, len(many)) and cut_[4] == (1_000_000, 999_999)

@@ -247,6 +247,19 @@ def test_chat_round_trip(spark):
     assert chat_format.format_chat(df.limit(0)).count() == 0
 
 
+def test_chat_clashes_and_roles(spark):
+    """Columns named as the operator's own, a long text, and roles of rows, of which assistant alone has a loss."""
+    long = "wide ~1 <|end|> é " * 20_000
+    rows = [(1, 0, "human", "hi"), (1, 1, "gpt", "ho"), (1, 2, "bot", "b"), (1, 3, "assistant", long), (2, 0, "assistant", None)]
+    df = spark.createDataFrame([(*r, *["x"] * 8) for r in rows], "conv_id long, turn long, role string, text string, head string, body string, n string, stop string, piece string, span string, record string, layout string")
+    records = df.select("conv_id", F.to_variant_object(F.struct("conv_id", "turn", "role", "text")).alias("record"), "turn", "layout")
+    done = chat_format.format_chat(chat_format.canonical_turns(records, "conv_id", "record"))
+    got = {r.conv_id: r for r in done.select("conv_id", chat_format.read_turns(F.col("formatted")).alias("turns"), chat_format.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()}
+    assert [(t.role, t.text) for t in got[1].turns] == [r[2:] for r in rows[:4]]
+    assert got[1].loss == long and got[2].loss == ""
+    assert chat_format.format_chat(df).count() == 2
+
+
 def test_layouts(spark):
     records = [
         '{"messages":[{"role":"user","content":"q"},{"role":"assistant","content":null}]}',
