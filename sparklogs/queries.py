@@ -305,18 +305,17 @@ def segment_sizes(spark, sf_dir):
     return segments.segment_sizes(rows)
 
 
-@query("""SELECT 'web' AS topic, url AS first_line, 'new/' || url AS path, CAST(strlen(html) AS BIGINT) AS size,
+@query("""SELECT 'web' AS topic, url || '#' || page_id AS first_line, 'new/' || url || '#' || page_id AS path, CAST(strlen(html) AS BIGINT) AS size,
   CASE page_id % 4 WHEN 0 THEN 'new' WHEN 1 THEN 'grown' WHEN 2 THEN 'unchanged' ELSE 'shrunk' END AS status,
   CASE page_id % 4 WHEN 0 THEN 0 WHEN 1 THEN CAST(strlen(html) AS BIGINT) - 1 END AS read_from
-  FROM pages QUALIFY count(*) OVER (PARTITION BY url) = 1""")
+  FROM pages""")
 def diff_manifest(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages")
-    single = pages.join(pages.groupBy("url").agg(F.count(F.lit(1)).alias("n")).where("n = 1").select("url"), "url")
-    size = F.octet_length("html").cast("long")
-    make = lambda prefix, grown: [F.lit("web").alias("topic"), F.col("url").alias("first_line"), F.concat(F.lit(prefix), "url").alias("path"), (size + grown).alias("size")]
+    size, name = F.octet_length("html").cast("long"), F.concat("url", F.lit("#"), "page_id")
+    make = lambda prefix, grown: [F.lit("web").alias("topic"), name.alias("first_line"), F.concat(F.lit(prefix), name).alias("path"), (size + grown).alias("size")]
     kind = F.col("page_id") % 4
-    old = single.where(kind > 0).select(*make("old/", F.when(kind == 1, -1).when(kind == 3, 1).otherwise(0)))
-    return files.diff_manifest(old, single.select(*make("new/", F.lit(0))))
+    old = pages.where(kind > 0).select(*make("old/", F.when(kind == 1, -1).when(kind == 3, 1).otherwise(0)))
+    return files.diff_manifest(old, pages.select(*make("new/", F.lit(0))))
 
 
 @query("""WITH f AS (SELECT split_part(text, chr(10), 1) AS first_line, CAST(doc_id AS VARCHAR) AS path FROM documents)
