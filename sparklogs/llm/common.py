@@ -107,9 +107,9 @@ def _marked(docs: DataFrame, ids: DataFrame, id_col: str, likely: bool) -> DataF
     return docs.select("*", *[F.pmod(F.xxhash64(key, F.lit(k)), F.lit(_FILTER_BITS)) for k in range(2)]).mapInArrow(choose, schema)
 
 
-def likely_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of `docs (id, text)` whose id may be in `ids (id)`, so that a join after it shuffles few texts."""
-    return _marked(docs.where("id IS NOT NULL"), ids, "id", True)
+def likely_rows(docs: DataFrame, ids: DataFrame, likely: bool = True) -> DataFrame:
+    """Rows of `docs (id, text)` whose id may be in `ids (id)`, so that a join after it shuffles few texts; not `likely`: the others."""
+    return _marked(docs.where("id IS NOT NULL"), ids, "id", likely)
 
 
 def with_row_key(docs: DataFrame, name: str) -> DataFrame:
