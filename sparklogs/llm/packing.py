@@ -27,7 +27,7 @@ SHARD = 4096
 #: The token that ends a document.
 END = 0
 #: Fixed value: how the tokenizer splits a text before merging.
-_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -40,7 +40,7 @@ def encoder(path: str):
     of_letter = {c: b for b, c in enumerate(byte_letters())}
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     ranks = {bytes(of_letter[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-    coder = tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    coder = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
     marks = set(special)
 
     def encode(text: str) -> list[int]:
