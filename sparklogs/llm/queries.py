@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparklogs.llm import bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, license_scan, line_dedup, packing, secret_scan, suffix_dedup, token_alignment, toxicity
+from sparklogs.llm import bpe, chat_format, embedding_dedup, exact_dedup, jaccard_join, lexical_search, license_scan, line_dedup, packing, secret_scan, suffix_dedup, token_alignment, toxicity
 
 QUERIES = {
     "op1_embedding_dedup": embedding_dedup.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_bpe": bpe.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_license_scan": license_scan.query,
+    "op11_lexical_search": lexical_search.query,
     "op12_token_alignment": token_alignment.query,
     "op13_line_dedup": line_dedup.query,
     "secret_scan_counts": secret_scan.counts,
@@ -24,6 +25,7 @@ SQL = {
     "op3_chat_format": chat_format.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op9_jaccard_join": jaccard_join.SQL,
+    "op11_lexical_search": lexical_search.SQL,
     "op13_line_dedup": line_dedup.SQL,
     "secret_scan_counts": secret_scan.COUNTS_SQL,
 }
