@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparklogs.functions.times import utc_day
+from sparklogs.shared import checkpoint
 
 MAX_BYTES = 60 * 1024 * 1024
 #: Time of messages that one task merges with files.
 CHUNK_MS = 60_000
+#: Steps of the order, and bytes, that one task runs over.
+CHUNK_ROWS, CHUNK_BYTES = 1 << 16, 1 << 24
 
 
 def assign_existing_segment(messages: DataFrame, index: DataFrame, per_topic: bool = True) -> DataFrame:
@@ -36,38 +36,91 @@ def assign_existing_segment(messages: DataFrame, index: DataFrame, per_topic: bo
     return both.where("_file = 0").select(*messages.columns, "start_ts")
 
 
-def _roll(max_bytes: int):
-    """Walks the rows of one (topic, day) after another, in order of arrival, in constant memory but for the day's file starts."""
-
-    def run(batches):
-        at = None
-        starts: list[int] = []
-        state: dict[int, list[int]] = {}  # start: [size, newest]
-        for batch in batches:
-            out = []
-            for topic, day, seq, ts, size, stop, start, recent in zip(*(batch[c] for c in ("_topic", "_day", "seq", "ts", "size", "stop", "start", "recent")), strict=True):
-                if (topic, day) != at:
-                    at, starts, state = (topic, day), [], {}
-                if not pd.isna(start):  # files that are there come before all messages
-                    starts.insert(bisect_right(starts, int(start)), int(start))
-                    state[int(start)] = [int(size), int(recent)]
-                    continue
-                k = bisect_right(starts, ts) - 1
-                if k >= 0:
-                    file = state[starts[k]]
-                    newest = k == len(starts) - 1 and seq < stop
-                    if not (newest and ts > file[1] and file[0] > max_bytes):
-                        file[0] += size
-                        file[1] = max(file[1], ts)
-                        out.append((seq, topic, starts[k]))
-                        continue
-                if k < 0 or starts[k] != ts:
-                    starts.insert(k + 1, ts)
-                state[ts] = [size, ts]
-                out.append((seq, topic, ts))
-            yield pd.DataFrame(out, columns=["seq", "_topic", "segment_ts"])
-
-    return run
+def _running(df: DataFrame, keys: list[str], chunk: Column, order: list[Column], what: dict[str, tuple[str, Column]], inclusive: bool = False, falling: bool = False) -> DataFrame:
+    """`df` with a running sum, max or min of the rows before each (`inclusive`: and of itself), in order.
+
+    `chunk` never falls along the order (`falling`: never rises). Windows run inside
+    chunks and take over what earlier chunks come to, so that a key of any size is
+    spread over tasks; one row a chunk is all that a key has in one place.
+    """
+    do = {"sum": (F.sum, lambda a, b: F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))), "max": (F.max, F.greatest), "min": (F.min, F.least)}
+    df = df.withColumns({"_chunk": chunk, **{f"_of_{n}": c for n, (_, c) in what.items()}})
+    totals = df.groupBy(*keys, "_chunk").agg(*[do[how][0](f"_of_{n}").alias(f"_all_{n}") for n, (how, _) in what.items()])
+    along = F.desc("_chunk") if falling else F.asc("_chunk")
+    earlier = Window.partitionBy(*keys).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*keys, "_chunk", *[do[how][0](f"_all_{n}").over(earlier).alias(f"_before_{n}") for n, (how, _) in what.items()])
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    both = df.join(totals, [*keys, "_chunk"])
+    found = {n: do[how][1](do[how][0](f"_of_{n}").over(inside), F.col(f"_before_{n}")) for n, (how, _) in what.items()}
+    return both.select(*[c for c in df.columns if c not in ("_chunk", *(f"_of_{n}" for n in what))], *[c.alias(n) for n, c in found.items()])
+
+
+_DAY = ["_topic", "_day"]
+
+
+def _by_arrival(seq: str = "seq") -> Column:
+    return F.floor(F.col(seq) / CHUNK_ROWS)
+
+
+def _next_rolls(peaks: DataFrame, late: DataFrame, max_bytes: int) -> DataFrame:
+    """`peaks` with `next`: the peak that would roll a file started at each.
+
+    `peaks (keys, seq, ts, before, below)`: messages newer than all before them; `before`
+    are the bytes that came before one, `below` those of older messages whenever
+    they came. A file started at r holds what isn't below r, so at a peak q it has
+    before(q) - below(r) + missing(r, q) bytes, where `missing` counts `late (keys, seq,
+    size, level)` messages that are below r and come after q. It starts as what comes
+    after r, which gives a q that is never too far on, and falls from round to round
+    until nothing changes.
+    """
+    keys = [*_DAY, "seq"]
+    found = peaks.withColumns({"missing": F.col("below") - F.col("before"), "next": F.lit(None).cast("long")})
+    spots = peaks.select(*_DAY, F.col("before").alias("value"), F.lit(1).alias("peak"), F.lit(None).cast("long").alias("seq"), F.col("seq").alias("spot"))
+    some = not late.isEmpty()
+    while True:
+        asked = found.select(*_DAY, (F.col("below") + max_bytes - F.col("missing")).alias("value"), F.lit(0).alias("peak"), "seq", F.lit(None).cast("long").alias("spot"))
+        chunk = F.floor(F.col("value") / CHUNK_BYTES)
+        met = _running(spots.union(asked), _DAY, chunk, [F.desc("value"), F.asc("peak")], {"next": ("min", F.col("spot"))}, falling=True)
+        was = found.withColumnRenamed("next", "was").drop("missing")
+        now = checkpoint(was.join(met.where("peak = 0").select(*keys, "next"), keys))
+        if not some or now.where("NOT next <=> was").isEmpty():
+            return now.drop("was")
+        # the last r whose q had come when a late message came
+        rolls = now.where("next IS NOT NULL").select(*_DAY, F.col("next").alias("at"), F.lit(0).alias("kind"), F.col("seq").alias("r"), F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("level"))
+        comes = late.select(*_DAY, F.col("seq").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("r"), "size", "level")
+        last = _running(rolls.union(comes), _DAY, _by_arrival("at"), [F.asc("at"), F.asc("kind")], {"last": ("max", F.col("r"))}, inclusive=True)
+        last = last.where("kind = 1 AND last > level")
+        # it is missing from all peaks after its level up to that one
+        steps = last.select(*_DAY, F.explode(F.array(F.struct(F.col("level").alias("seq"), F.col("size").alias("more")), F.struct(F.col("last").alias("seq"), (-F.col("size")).alias("more")))).alias("s")).select(*_DAY, "s.seq", F.lit(1).alias("step"), "s.more")
+        axis = now.select(*_DAY, "seq", F.lit(0).alias("step"), F.lit(0).cast("long").alias("more")).union(steps)
+        missing = _running(axis, _DAY, _by_arrival(), [F.asc("seq"), F.asc("step")], {"missing": ("sum", F.col("more"))})
+        found = checkpoint(now.drop("was").join(missing.where("step = 0").select(*keys, "missing"), keys))
+
+
+def _roll_starts(seen: DataFrame, max_bytes: int) -> DataFrame:
+    """(keys, start): times of the messages that open a file because of size.
+
+    `seen (keys, seq, ts, size, before, top)` of the newest day of a topic as long as it
+    is that, with the bytes and the newest time of what came before; a file that is
+    there already is a row before all others. Only a message newer than all before
+    it, a peak, can roll, whatever the sizes are. Each peak points to the next one at
+    which a file started there would roll; from the first one on pointers are
+    followed by doubling.
+    """
+    peak = F.coalesce(F.col("ts") > F.col("top"), F.lit(True))
+    seen = seen.select(*_DAY, "seq", "ts", "size", "before", peak.alias("peak"), (~peak & (F.col("ts") < F.col("top"))).alias("late"))
+    by_time = {"below": ("sum", F.col("size")), "level": ("max", F.when(F.col("peak"), F.col("seq")))}
+    placed = checkpoint(_running(seen, _DAY, F.floor(F.col("ts") / CHUNK_MS), [F.asc("ts"), F.asc("seq")], by_time))
+    peaks = placed.where("peak").select(*_DAY, "seq", "ts", "before", "below")
+    late = placed.where("late").select(*_DAY, "seq", "size", F.coalesce("level", F.lit(-2)).alias("level"))
+    found = _next_rolls(peaks, late, max_bytes)
+    jumps = found.where("next IS NOT NULL").select(*_DAY, "seq", "next")
+    marked = found.groupBy(*_DAY).agg(F.min("seq").alias("seq"))
+    while not jumps.isEmpty():
+        marked = checkpoint(marked.union(marked.join(jumps, [*_DAY, "seq"]).select(*_DAY, "next")))
+        onward = jumps.select(*_DAY, F.col("seq").alias("next"), F.col("next").alias("then"))
+        jumps = checkpoint(jumps.join(onward, [*_DAY, "next"]).select(*_DAY, "seq", F.col("then").alias("next")))
+    return found.join(marked, [*_DAY, "seq"], "left_semi").where("seq >= 0").select(*_DAY, F.col("ts").alias("start"))
 
 
 def assign_segments(messages: DataFrame, max_bytes: int = MAX_BYTES, index: DataFrame | None = None, order: str = "seq", per_topic: bool = True) -> DataFrame:
@@ -77,29 +130,46 @@ def assign_segments(messages: DataFrame, max_bytes: int = MAX_BYTES, index: Data
     new file if that file is of another UTC day or there is none, or if it is the
     newest of all, the message is newer than all in it and it has over `max_bytes`.
     Sizes are bytes of values without line ends; files of `index` (ARCHIVE_INDEX)
-    count with their own. The order must be unique and not negative.
-
-    Days are independent but for "newest of all", which ends with the first message
-    or file of a later day; that order is known beforehand. Only (order, time, size)
-    goes through Python, sorted and streamed, and a day of a topic is one task.
+    count with their own. The order must be unique in a topic and not negative.
     Messages without a time go.
+
+    Which messages open files is found first. A message older than all starts of its
+    day opens one, and no other start depends on it. Roll points: see `_roll_starts`,
+    asked only for days with more bytes than the limit; the newest day is left at the
+    first message or file of a later day, which is known beforehand. Then every message
+    finds its start by a floor join, as no start lies between a message's time and
+    its own file's start unless it was there when the message came. No step has a
+    topic's day in one task, and none runs Python.
     """
-    topic = F.col("topic") if per_topic else F.lit("")
-    sized = messages.where("timestamp IS NOT NULL").select(topic.alias("_topic"), utc_day(F.col("timestamp")).alias("_day"), F.col(order).cast("long").alias("seq"), F.col("timestamp").alias("ts"), F.coalesce(F.octet_length("value"), F.lit(0)).cast("long").alias("size"))
-    no = F.lit(None).cast("long")
-    rows = sized.withColumns({"start": no, "recent": no})
-    days = sized.groupBy("_topic", "_day").agg(F.min("seq").alias("first"))
+    topic = F.coalesce("topic", F.lit("\0")) if per_topic else F.lit("")
+    timed = messages.where("timestamp IS NOT NULL")
+    sized = timed.select(topic.alias("_topic"), utc_day(F.col("timestamp")).alias("_day"), F.col(order).cast("long").alias("seq"), F.col("timestamp").alias("ts"), F.coalesce(F.octet_length("value"), F.lit(0)).cast("long").alias("size"))
+    sized = checkpoint(sized)
+    none = sized.limit(0).select("_topic", "_day", F.col("ts").alias("start"), "size", F.col("ts").alias("recent"))
+    files = none
     if index is not None:
-        topic_of = F.col("topic") if per_topic else F.lit("")
-        files = index.select(topic_of.alias("_topic"), utc_day(F.col("start_ts")).alias("_day"), F.lit(-1).cast("long").alias("seq"), F.col("start_ts").alias("ts"), "size", F.col("start_ts").alias("start"), F.coalesce("recent_ts", "start_ts").alias("recent"))
-        rows = rows.unionByName(files)
-        days = days.union(files.groupBy("_topic", "_day").agg(F.min("seq").alias("first"))).groupBy("_topic", "_day").agg(F.min("first").alias("first"))
+        recent = F.greatest(F.coalesce("recent_ts", "start_ts"), "start_ts")
+        files = checkpoint(index.select(topic.alias("_topic"), utc_day(F.col("start_ts")).alias("_day"), F.col("start_ts").alias("start"), "size", recent.alias("recent")))
+    there = files.groupBy(*_DAY).agg(F.min("start").alias("low"), F.max_by(F.struct("start", "size", "recent"), "start").alias("file"))
+    days = sized.groupBy(*_DAY).agg(F.min("seq").alias("first"), F.sum("size").alias("bytes")).join(there, _DAY, "full")
+    first = F.when(F.col("file").isNotNull(), F.lit(-1)).otherwise(F.col("first"))
     later = Window.partitionBy("_topic").orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
-    stops = days.withColumn("stop", F.coalesce(F.min("first").over(later), F.lit((1 << 63) - 1))).drop("first")
-    rows = rows.join(stops, ["_topic", "_day"]).repartition("_topic", "_day").sortWithinPartitions("_topic", "_day", "seq", "ts")
-    found = rows.mapInPandas(_roll(max_bytes), "seq long, _topic string, segment_ts long")
-    keyed = messages.withColumn("_seq", F.col(order).cast("long")).withColumn("_of", topic)
-    return keyed.join(found, (keyed["_seq"] == found["seq"]) & keyed["_of"].eqNullSafe(found["_topic"])).select(*[keyed[c] for c in messages.columns], "segment_ts")
+    days = checkpoint(days.withColumn("stop", F.coalesce(F.min(first).over(later), F.lit((1 << 63) - 1))))
+
+    rows = sized.select(*_DAY, "seq", "ts", "size", F.col("ts").alias("high"))
+    newest = there.select(*_DAY, F.lit(-1).cast("long").alias("seq"), F.col("file.start").alias("ts"), "file.size", F.col("file.recent").alias("high"))
+    runs = {"before": ("sum", F.col("size")), "top": ("max", F.col("high")), "least": ("min", F.col("ts"))}
+    seen = _running(rows.union(newest) if index is not None else rows, _DAY, _by_arrival(), [F.asc("seq")], runs)
+    large = (F.coalesce("bytes", F.lit(0)) + F.coalesce("file.size", F.lit(0)) > max_bytes) & (F.col("stop") >= 0)
+    seen = checkpoint(seen.join(days.select(*_DAY, "low", "stop", large.alias("large")), _DAY))
+    lows = (F.col("seq") >= 0) & F.coalesce(F.col("ts") < F.least("least", "low"), F.lit(True))
+    starts = seen.where(lows).select(*_DAY, F.col("ts").alias("start"))
+    rolling = seen.where("large AND seq < stop").drop("low", "stop", "large", "least")
+    if not rolling.isEmpty():
+        starts = starts.union(_roll_starts(rolling, max_bytes))
+    starts = starts.union(files.select(*_DAY, "start")).distinct()
+    known = checkpoint(starts.select(F.nullif("_topic", F.lit("\0")).alias("topic"), F.col("start").alias("start_ts")))
+    return assign_existing_segment(timed, known, per_topic).withColumnRenamed("start_ts", "segment_ts")
 
 
 def segment_sizes(assigned: DataFrame) -> DataFrame:

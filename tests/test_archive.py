@@ -4,6 +4,7 @@ from bisect import bisect_right
 import pytest
 from pyspark.sql import functions as F
 
+from sparklogs.operators import segments
 from sparklogs.operators.segments import assign_existing_segment, assign_segments, segment_sizes
 from sparklogs.sources import archive
 from sparklogs.sources.archive import read_archive, scan_archive, write_archive
@@ -38,19 +39,32 @@ def model(rows, limit, index=(), per_topic=True):
     return out
 
 
-@pytest.mark.parametrize("seed", range(6))
-def test_segments_follow_the_rule(spark, seed):
-    rng = random.Random(seed)
-    span = rng.choice([DAY // 2, 3 * DAY])
-    rows = [(i, rng.choice("ab"), rng.randrange(span) - DAY, "x" * rng.randrange(1, 9)) for i in range(120)]
-    if seed % 2:
-        rows = [(i, t, ts, v) for i, ((_, t, _, v), ts) in enumerate(zip(rows, sorted(r[2] for r in rows), strict=True))]
-    index = [(rng.randrange(span) - DAY, rng.choice("ab"), rng.randrange(30), None) for _ in range(4)]
+@pytest.mark.parametrize("kind", ["any order", "in order", "late", "very late"])
+def test_segments_follow_the_rule(spark, monkeypatch, kind):
+    """Also where a day is many chunks of the order, of bytes and of time."""
+    rng = random.Random(kind)
+    span = DAY // 2 if kind == "very late" else 3 * DAY
+    rows = [(i, rng.choice("ab"), rng.randrange(span) - DAY, "x" * rng.randrange(9)) for i in range(150)]
+    if kind != "any order":
+        late = {"in order": 1, "late": span // 15, "very late": span // 2}[kind]
+        times = [t - rng.randrange(late) if rng.random() < 0.5 else t for t in sorted(r[2] for r in rows)]
+        rows = [(i, t, ts, v) for (i, t, _, v), ts in zip(rows, times, strict=True)]
+        for name, size in (("CHUNK_ROWS", 7), ("CHUNK_BYTES", 20), ("CHUNK_MS", DAY // 24)):
+            monkeypatch.setattr(segments, name, size)
+    index = [(rng.randrange(span) - DAY, rng.choice("ab"), rng.randrange(30), None) for _ in range(4)] if kind in ("any order", "late") else []
     index = [(s, t, z, s + rng.randrange(1000)) for s, t, z, _ in {(i[0], i[1]): i for i in index}.values()]
     files = spark.createDataFrame([(s, t, None, None, z, r) for s, t, z, r in index], INDEX)
-    for per_topic in (True, False):
-        got = {r.seq: r.segment_ts for r in assign_segments(frame(spark, rows), 15, files, per_topic=per_topic).collect()}
-        assert got == model(rows, 15, index, per_topic)
+    per_topic = kind != "in order"
+    got = {r.seq: r.segment_ts for r in assign_segments(frame(spark, rows), 15, files, per_topic=per_topic).collect()}
+    assert got == model(rows, 15, index, per_topic)
+    assert len(set(got.values())) > 5
+
+
+def test_segments_of_odd_messages(spark):
+    rows = [(1, None, 5, "x" * 20), (2, None, 6, None), (3, None, 7, ""), (4, "a", None, "gone"), (5, None, 5, "late")]
+    got = {r.seq: r.segment_ts for r in assign_segments(frame(spark, rows), 15).collect()}
+    assert got == {1: 5, 2: 6, 3: 6, 5: 5}
+    assert assign_segments(frame(spark, []), 15).collect() == []
 
 
 def test_existing_segments(spark):
