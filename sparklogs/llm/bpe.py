@@ -129,6 +129,7 @@ class WordBpe:
         self.longest: dict[bytes, int] = {}  # of the tokens inside words that begin with two bytes
         for token in self.inner:
             self.longest[token[:2]] = max(len(token), self.longest.get(token[:2], 0))
+        self.longest_final = max(map(len, self.final))
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
@@ -170,7 +171,7 @@ class WordBpe:
         """Greedy longest match from the left."""
         inner, final, longest = self.inner, self.final, self.longest
         out, at, last = [], 0, len(word) - 1
-        while (token := final.get(word[at:])) is None:
+        while last - at >= self.longest_final or (token := final.get(word[at:])) is None:
             stop = min(last, at + longest.get(word[at : at + 2], 1))
             while (token := inner.get(word[at:stop])) is None:
                 stop -= 1

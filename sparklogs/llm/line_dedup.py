@@ -230,7 +230,7 @@ class LineIndex:
         """(key, doc): lines of `docs` that a document with a smaller id in the index has too."""
         rows = checkpoint(_postings(_identified(docs, id_col, text_col)))
         shared = self.counts().where("refs > 1").join(self._perhaps(rows.select("key").distinct(), _SHARED), "key", "left_semi")
-        return rows.join(shared, "key").where("doc > first").select("key", "doc")
+        return rows.join(checkpoint(shared), "key").where("doc > first").select("key", "doc")
 
     def dedup(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """(doc_id, n_lines, n_dropped, kept): one row per row of `docs`, which should be in the index.

@@ -50,8 +50,10 @@ _HINTS = (*SENSITIVE, *ALSO_SENSITIVE)
 _SENSITIVE = re.compile("|".join(_any_case(w) for w in _HINTS))
 _KEYLIKE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 #: The next line of a key that goes on, by a line break or one written as \\n; and the last, shorter one of a base64 text.
-_NEXT = re.compile(r"""["'\\+,;\x20\t]*(?:\r?\n|\\n)[\x20\t]*["']?([A-Za-z0-9+/_.=-]{16,})(?=["'\\,;+)\x20\t]*(?:\r?\n|\Z|\\n|["']))""")
-_LAST = re.compile(r"""["'\\+,;\x20\t]*(?:\r?\n|\\n)[\x20\t]*["']?([A-Za-z0-9+/]*[0-9+/][A-Za-z0-9+/]*={0,2}|[A-Za-z0-9+/]+={1,2})(?=["'\\,;+)\x20\t]*(?:\r?\n|\Z|\\n|["']))""")
+_NEXT = re.compile(r"""["'\\+,;\x20\t]*(?:\r?\n|\\n)[\x20\t]*["']?([A-Za-z0-9+/_.=-]{16,}+)(?=["'\\,;+)\x20\t]*(?:\r?\n|\Z|\\n|["']))""")
+_LAST = re.compile(r"""["'\\+,;\x20\t]*(?:\r?\n|\\n)[\x20\t]*["']?((?=[A-Za-z]*+[0-9+/])[A-Za-z0-9+/]++={0,2}|[A-Za-z0-9+/]++={1,2})(?=["'\\,;+)\x20\t]*(?:\r?\n|\Z|\\n|["']))""")
+#: Parts of paths: words, words in camel case, capitals, numbers of up to four digits, versions.
+_SEPARATORS, _PLAIN = re.compile(r"[./_=-]+"), re.compile(r"[A-Za-z]?[a-z]{0,20}|[a-z]{2,20}(?:[A-Z][a-z]{2,20}){1,3}|(?:[A-Z][a-z]{2,20}){2,4}|[A-Z]{1,10}|[0-9]{1,4}|v[0-9]{1,3}")
 _BEGIN, _END = (re.compile(rf"-----{x} [A-Z0-9\x20]*PRIVATE KEY(?: BLOCK)?-----") for x in ("BEGIN", "END"))
 _PEM_LINE = re.compile(r"(?:\s|\\[nr])*([A-Za-z0-9+/]{16,}={0,2}|[A-Za-z0-9+/]+={1,2})")
 #: What replaces a secret; no sensitive word itself.
@@ -101,33 +103,49 @@ def strange(word: str, context: str) -> bool:
 
 
 def candidates(text: str) -> list[tuple[int, int]]:
-    """Key-like strings of 16 characters or more that begin within REACH after a sensitive word or end within REACH before it, and the lines they go on in."""
-    found = {}
+    """Key-like strings of 16 characters or more that begin within REACH after a sensitive word or end within REACH before it, and the lines they go on in.
+
+    Where sensitive words stand inside a key-like run, what follows the first is a
+    candidate up to the next one that is a word of its own, and so on; letters that
+    spell one amid others don't cut a key. Each run is looked at a bounded number of
+    times, so the work grows with the text.
+    """
+    found: dict[int, int] = {}
     low = text.lower()
     if not any(word in low for word in _HINTS):
         return []
+    runs = [m.span() for m in _KEYLIKE.finditer(text)]
+    starts, ends = [s for s, _ in runs], [e for _, e in runs]
+    open_run, piece = -1, 0
     for hint in _SENSITIVE.finditer(text):
-        if text[max(0, hint.start() - 1) : hint.end() + 1] == MARK:
+        begin, end = hint.span()
+        if text[max(0, begin - 1) : end + 1] == MARK:
             continue
-        at, last = hint.end(), hint.end() + REACH
-        while m := _KEYLIKE.search(text, at, last + 16):  # only as far as a candidate may begin
-            m = _KEYLIKE.match(text, m.start())
-            found[m.start()] = m.end()
-            at = m.end()
-        at = max(0, hint.start() - REACH)
-        while at and _keylike_char(text[at - 1]) and _keylike_char(text[at]):
-            at -= 1
-        while (m := _KEYLIKE.search(text, at)) and m.end() < hint.start():
-            found[m.start()] = m.end()
-            at = m.end()
+        k = bisect_right(starts, end) - 1
+        if k >= 0 and starts[k] < end < ends[k]:
+            if k != open_run:
+                open_run, piece = k, end
+            elif not (text[begin - 1].isalnum() and text[end].isalnum()):
+                found.pop(piece, None)
+                if begin - piece >= 16:
+                    found[piece] = begin
+                piece = end
+            if ends[k] - piece >= 16:
+                found[piece] = ends[k]
+        for k in range(bisect_left(starts, end), bisect_right(starts, end + REACH)):
+            found[starts[k]] = ends[k]
+        for k in range(bisect_right(ends, begin - REACH), bisect_left(ends, begin)):
+            found[starts[k]] = ends[k]
     for end in list(found.values()):
         while (m := _NEXT.match(text, end)) and m.start(1) not in found:
             found[m.start(1)] = end = m.end(1)
     return sorted(found.items())
 
 
-def _keylike_char(c: str) -> bool:
-    return c.isascii() and (c.isalnum() or c in "+/_.=-")
+def pathlike(word: str) -> bool:
+    """Whether a string is a path, a host or a module: words of one case, short numbers and versions between points and slashes."""
+    pieces = [p for p in _SEPARATORS.split(word) if p]
+    return len(pieces) > 1 and ("." in word or "/" in word) and all(map(_PLAIN.fullmatch, pieces))
 
 
 def _around(text: str, start: int, end: int) -> str:
@@ -190,7 +208,7 @@ def scan(text: str | None, min_novelty: float = MIN_NOVELTY) -> list[tuple[int,
             rest.append(text[at : max(at, s)])
             at = max(at, e)
         rest.append(text[at:end] if at < end else "")
-        if part >= min_novelty and any(strange(r, around) for r in rest if r):
+        if part >= min_novelty and not pathlike(text[start:end]) and any(strange(r, around) for r in rest if r):
             new.append((start, 3, end, part))
             # the last line of a key over several lines may be short
             if end - start >= 40 and (m := _LAST.match(text, end)) and not beside.meets(m.start(1), m.end(1)):
