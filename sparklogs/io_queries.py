@@ -80,16 +80,16 @@ def read_lines_from(spark, sf_dir):
 @query(f"WITH {_TEXT_SQL} SELECT 'app' AS topic, line AS first_line, file AS path, size FROM placed JOIN sizes USING (file) WHERE \"offset\" = 0")
 def build_manifest(spark, sf_dir):
     found = files.build_manifest(spark, files.discover_files(spark, log_files(spark, sf_dir), "."), "app")
-    return found.withColumn("path", _name("path"))
+    return found.withColumn("path", _name("path")).drop("modified")
 
 
 @query(f"WITH {_TEXT_SQL} SELECT 'app' AS topic, line AS first_line, file AS path, size FROM placed JOIN sizes USING (file) WHERE \"offset\" = 0")
 def manifest_round_trip(spark, sf_dir):
     folder = new_folder(spark, "manifest")
-    now = build_manifest(spark, sf_dir)
+    now = files.build_manifest(spark, files.discover_files(spark, log_files(spark, sf_dir), "."), "app")
     files.save_manifest(now.limit(0), folder)
     files.save_manifest(now, folder)
-    return files.load_manifest(spark, folder)
+    return files.load_manifest(spark, folder).withColumn("path", _name("path")).drop("modified")
 
 
 _EVENTS_SQL = f"""WITH {_TEXT_SQL} SELECT t.file, "offset", timestamp, level, location, 'box' AS host, message || chr(10) || tail AS message
@@ -125,6 +125,20 @@ def run_collector(spark, sf_dir):
     return topics.from_topic(spark.read.parquet(out))
 
 
+@query(f"""WITH {_TEXT_SQL} SELECT topic, host, file, "offset", timestamp, level, location, message FROM (
+    SELECT 'daily' AS topic, 'box' AS host, t.file, p."offset", timestamp, level, location, message || chr(10) || tail AS message FROM texts t JOIN placed p ON t.file = p.file AND t.seq = p.seq AND part = 0
+    UNION ALL SELECT 'live', 'box', t.file, p."offset", timestamp, level, location, message || chr(10) || tail FROM texts t JOIN placed p ON t.file = p.file AND t.seq = p.seq AND part = 0 WHERE t.file = 'app.log'
+    UNION ALL SELECT 'hosts', 'box', file, "offset", 0, 'INFO', 'host', line FROM placed WHERE part = 1 AND file = 'app.log')""")
+def collect_topics(spark, sf_dir):
+    """Three topics of one folder: all files, the live file alone, and its second lines by a parser of the user's; a second cycle finds nothing new."""
+    folder = log_files(spark, sf_dir)
+    own = lambda c: F.when(c.rlike("^  at "), F.struct(F.lit(0).cast("long").alias("timestamp"), F.lit("INFO").alias("level"), F.lit("host").alias("location"), F.substring_index(c, "\n", 1).alias("message")))
+    specs = {"daily": files.TopicSpec(folder, "^app[.]log"), "live": files.TopicSpec(folder, "[.]log$", "numeric"), "hosts": files.TopicSpec(folder, "[.]log$", "numeric", own)}
+    events, manifest = files.collect_topics(spark, specs, files.load_manifest(spark, f"{folder}/none"), "box")
+    again, _ = files.collect_topics(spark, specs, manifest, "box")
+    return events.unionByName(again).withColumn("file", _name("file")).drop("file_ord")
+
+
 _PLACED_SQL = f"""WITH {LOGS_SQL}, m AS (SELECT *, timestamp // 86400000 AS day FROM logs),
   low AS (SELECT *, min(timestamp) OVER (PARTITION BY location, day ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM m),
   s AS (SELECT location, day, seq AS since, timestamp AS start FROM low WHERE before IS NULL OR timestamp < before),

@@ -5,13 +5,20 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparklogs.operators.events import parse_log_events, running_count
+from sparklogs.functions.parsing import parse_log_line
+from sparklogs.operators.events import parse_log_events
 from sparklogs.schemas import MANIFEST
-from sparklogs.shared import children, exists
+from sparklogs.shared import checkpoint, children, exists
+
+#: Bytes of a file that one task reads, and that it holds at a time.
+SPLIT_BYTES, BLOCK_BYTES = 128 << 20, 1 << 20
 
 Order = str | Callable[[Column], list[Column]]
 
@@ -31,59 +38,153 @@ def _decoded(path: Column) -> Column:
     return F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
 
 
+def _listed(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(path, size, modified) of the files below some paths, from the file system's lists alone. The list is taken now and stays."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return found.select(_decoded(F.col("path")).alias("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+def _right_under(base: str, pattern: str) -> Column:
+    root, name = base.rstrip("/").removeprefix("file://"), F.regexp_extract("path", "([^/]*)$", 1)
+    return name.rlike(pattern) & (F.concat(F.lit(root + "/"), name) == F.col("path"))
+
+
 def discover_files(spark: SparkSession, base: str, pattern: str, order: Order = "daily") -> DataFrame:
-    """(path, size, file_ord): regular files right under `base` whose name the regex finds, from oldest to newest.
+    """(path, size, modified, file_ord): regular files right under `base` whose name the regex finds, from oldest to newest.
 
     Numbering sees one row a file. No file body is read.
     """
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base).select(_decoded(F.col("path")).alias("path"), F.col("length").alias("size"))
-    root = base.rstrip("/").removeprefix("file://")
-    name = F.regexp_extract("path", "([^/]*)$", 1)
-    found = listed.where(name.rlike(pattern) & (F.concat(F.lit(root + "/"), name) == F.col("path")))
     rank = F.row_number().over(Window.orderBy(*_sort_keys(F.col("path"), order)))
-    return found.withColumn("file_ord", rank)
+    return _listed(spark, base).where(_right_under(base, pattern)).withColumn("file_ord", rank)
 
 
-def read_lines(spark: SparkSession, paths: list[str], starts: DataFrame | None = None) -> DataFrame:
-    """(file, offset, line): lines with their byte offsets, also of files that are read in parts.
-
-    A part is one split of a file; offsets are summed inside parts and over the
-    bytes of earlier parts, so that no task needs a whole file. Text is UTF-8, line
-    ends are \\n; a \\r before it stays in the line. With `starts (path, read_from)`,
-    one row a file, only lines from there on are given: parts that end before it
-    are counted where they are read, as where their last line ends is known in no
-    other way, and not shuffled.
+def _open(path: str):
+    """A file of any store that Arrow knows, for reading in parts."""
+    if path.startswith("/"):
+        return fs.LocalFileSystem().open_input_file(path)
+    store, inside = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inside)
+
+
+def _lines_of(file, start: int, stop: int, size: int, meter=None):
+    """(offset, line) of the lines that begin in [start, stop) of a file of `size` bytes, \\n not included."""
+    at = max(0, start - 1)
+    file.seek(at)
+    begin = None if start else 0  # where the open line begins; None before the first line end
+    rest: list[bytes] = []
+    while at < size and (at < stop or begin is not None):
+        block = file.read(min(BLOCK_BYTES, size - at))
+        if not block:
+            break
+        if meter is not None:
+            meter.add(len(block))
+        parts = block.split(b"\n")
+        for k, part in enumerate(parts):
+            if k:
+                if begin is not None:
+                    yield begin, b"".join(rest)
+                rest = []
+                begin = at if at < stop else None
+                if begin is None:
+                    return
+            if begin is not None:
+                rest.append(part)
+            at += len(part) + (k < len(parts) - 1)
+    if begin is not None and begin < size:
+        yield begin, b"".join(rest)
+
+
+def _batches(rows, names: list[str]):
+    """Arrow batches of bounded size of (key columns..., offset, line)."""
+    held, size = [], 0
+
+    def batch():
+        columns = list(zip(*held, strict=True))
+        kinds = {"offset": pa.int64(), "line": pa.binary(), "file_ord": pa.int32()}
+        return pa.RecordBatch.from_arrays([pa.array(c, kinds.get(n, pa.string())) for n, c in zip(names, columns, strict=True)], names)
+
+    for row in rows:
+        held.append(row)
+        size += len(row[-1]) + 50
+        if size >= BLOCK_BYTES:
+            yield batch()
+            held, size = [], 0
+    if held:
+        yield batch()
+
+
+def read_ranges(files: DataFrame, meter=None) -> DataFrame:
+    """(path, offset, line) of `files (path, size[, read_from])`: the lines that begin at `read_from` or after it, with their byte offsets.
+
+    Only bytes from `read_from` on are read, up to the size that is given, so that a
+    file that grows meanwhile makes no difference. Files are dealt to tasks in splits
+    of `SPLIT_BYTES`; a split gives the lines that begin in it, wherever they end.
+    Text is UTF-8, line ends are \\n; a \\r before it stays in the line. Rows with a
+    null `read_from` aren't opened. `meter`: an accumulator that counts bytes read.
     """
+    start = F.col("read_from") if "read_from" in files.columns else F.lit(0).cast("long")
+    asked = files.select("path", "size", start.alias("start")).where("start < size")
+    split = F.explode(F.sequence("start", F.col("size") - 1, F.lit(SPLIT_BYTES))).alias("from")
+    splits = asked.select("path", "size", split).withColumn("to", F.least(F.col("from") + SPLIT_BYTES, "size"))
+
+    def each(batches):
+        def rows():
+            for batch in batches:
+                for path, size, start, stop in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    with _open(path) as file:
+                        for offset, line in _lines_of(file, start, stop, size, meter):
+                            yield path, offset, line
+
+        yield from _batches(rows(), ["path", "offset", "line"])
+
+    dealt = splits.select("path", "size", "from", "to").repartition("path", "from")
+    return dealt.mapInArrow(each, "path string, offset long, line binary").withColumn("line", F.col("line").cast("string"))
+
+
+def read_lines(spark: SparkSession, paths: list[str], starts: DataFrame | None = None) -> DataFrame:
+    """(file, offset, line): lines of files with their byte offsets; with `starts (path, read_from)`, of the files there from there on. See `read_ranges`."""
     if not paths:
         return spark.createDataFrame([], "file string, offset long, line string")
-    raw = spark.read.option("lineSep", "\n").text(paths)
-    meta = F.col("_metadata")
-    rows = raw.select(_decoded(meta.file_path).alias("file"), meta.file_block_start.alias("block"), (meta.file_block_start + meta.file_block_length).alias("stop"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("line"))
-    size, keep = F.octet_length("line") + 1, None
+    files = _listed(spark, paths)
     if starts is not None:
-        wanted = F.broadcast(starts.select(F.col("path").alias("file"), "read_from").where("read_from IS NOT NULL"))
-        rows = rows.join(wanted, "file")
-        keep = F.col("stop") >= F.col("read_from")
-    counted = running_count(rows, size, ["file"], ["id"], F.col("block"), "end", keep)
-    counted = counted.withColumn("offset", F.col("end") - size)
-    return (counted if starts is None else counted.where("offset >= read_from")).select("file", "offset", "line")
+        files = files.join(F.broadcast(starts.select("path", "read_from").where("read_from IS NOT NULL")), "path")
+    return read_ranges(files).withColumnRenamed("path", "file")
+
+
+def first_lines(files: DataFrame, meter=None) -> DataFrame:
+    """(path, first_line) of `files (path, size)` that aren't empty: one block of a file is read, or as many as its first line takes."""
+
+    def each(batches):
+        for batch in batches:
+            paths, lines = [], []
+            for path, size in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                with _open(path) as file:
+                    for _, line in _lines_of(file, 0, 1, size, meter):
+                        paths.append(path)
+                        lines.append(line)
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lines, pa.binary())], ["path", "first_line"])
+
+    dealt = files.where("size > 0").select("path", "size").repartition("path")
+    return dealt.mapInArrow(each, "path string, first_line binary").withColumn("first_line", F.col("first_line").cast("string"))
 
 
-def build_manifest(spark: SparkSession, files: DataFrame, topic: str) -> DataFrame:
-    """MANIFEST of `files (path, size, file_ord)`: first line, path and size; empty files are left out, of equal first lines the last file stays.
+def build_manifest(spark: SparkSession, files: DataFrame, topic: str | None = None, old: DataFrame | None = None, meter=None) -> DataFrame:
+    """MANIFEST of `files (path, size, file_ord[, modified, topic])`: first line, path and size; empty files are left out, of equal first lines of a topic the last file stays.
 
-    First lines are in the first split of a file; other splits give no row, nothing
-    is numbered and one row a split and file is shuffled. The list of paths is on
-    the driver, as Spark's own reader has it.
+    A file that `old`, an earlier manifest, has with the same path, size and time of
+    change keeps its first line and isn't opened; of others the first line is read,
+    no more.
     """
-    paths = [r.path for r in files.where("size > 0").select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], MANIFEST)
-    lines = spark.read.option("lineSep", "\n").text(paths).where("_metadata.file_block_start = 0")
-    lines = lines.select(_decoded(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("line"), F.monotonically_increasing_id().alias("id"))
-    firsts = lines.groupBy("path").agg(F.min_by("line", "id").alias("first_line"))
-    last = firsts.join(files, "path").groupBy("first_line").agg(F.max_by(F.struct("path", "size"), "file_ord").alias("f"))
-    return last.select(F.lit(topic).alias("topic"), "first_line", "f.path", "f.size")
+    named = files.withColumn("topic", F.lit(topic)) if topic is not None else files
+    if "modified" not in files.columns:
+        named = named.withColumn("modified", F.lit(None).cast("timestamp"))
+    same = ["topic", "path", "size", "modified"]
+    was = (spark.createDataFrame([], MANIFEST) if old is None else old).select(*same, F.col("first_line").alias("was"))
+    both = named.join(was, same, "left")
+    fresh = first_lines(both.where("was IS NULL").select("path", "size").distinct(), meter)
+    both = both.join(fresh, "path", "left").withColumn("first_line", F.coalesce("was", "first_line")).where("first_line IS NOT NULL")
+    last = both.groupBy("topic", "first_line").agg(F.max_by(F.struct("path", "size", "modified"), "file_ord").alias("f"))
+    return last.select("topic", "first_line", "f.path", "f.size", "f.modified")
 
 
 def duplicate_files(firsts: DataFrame) -> DataFrame:
@@ -111,7 +212,7 @@ def load_manifest(spark: SparkSession, folder: str) -> DataFrame:
     done = [v for v in children(spark, folder) if v.startswith("version=") and exists(spark, f"{folder}/{v}/_SUCCESS")]
     if not done:
         return spark.createDataFrame([], MANIFEST)
-    return spark.read.parquet(f"{folder}/{max(done, key=lambda v: int(v.split('=')[1]))}")
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/{max(done, key=lambda v: int(v.split('=')[1]))}")
 
 
 @dataclass(frozen=True)
@@ -124,16 +225,34 @@ class TopicSpec:
     parser: Callable[[Column], Column] | None = None
 
 
-def collect_topics(spark: SparkSession, topics: dict[str, TopicSpec], manifest: DataFrame, host: str = "", tz: str = "UTC") -> tuple[DataFrame, DataFrame]:
-    """(events, manifest): what is new in all topics since `manifest`, as LOG rows with topic, file, file_ord and offset."""
-    events = manifests = None
+def _tagged(spark: SparkSession, topics: dict[str, TopicSpec]) -> DataFrame:
+    """(topic, path, size, modified, file_ord) of the files of all topics, from one list."""
+    listed = _listed(spark, sorted({spec.base for spec in topics.values()}))
+    parts = []
     for topic, spec in topics.items():
-        files = discover_files(spark, spec.base, spec.pattern, spec.order)
-        now = build_manifest(spark, files, topic)
-        todo = diff_manifest(manifest.where(F.col("topic") == topic), now).where("read_from IS NOT NULL").select("path", "read_from")
-        lines = read_lines(spark, [r.path for r in todo.select("path").collect()], todo)
-        found = parse_log_events(lines, F.lit(host), spec.parser, tz, chunk=F.floor(F.col("offset") / (1 << 26)))
-        found = found.join(files.select(F.col("path").alias("file"), "file_ord"), "file").withColumn("topic", F.lit(topic))
-        events = found if events is None else events.unionByName(found)
-        manifests = now if manifests is None else manifests.unionByName(now)
-    return events, manifests
+        rank = F.row_number().over(Window.orderBy(*_sort_keys(F.col("path"), spec.order)))
+        parts.append(listed.where(_right_under(spec.base, spec.pattern)).select(F.lit(topic).alias("topic"), "*", rank.alias("file_ord")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def collect_topics(spark: SparkSession, topics: dict[str, TopicSpec], manifest: DataFrame, host: str = "", tz: str = "UTC", meter=None) -> tuple[DataFrame, DataFrame]:
+    """(events, manifest): what is new in all topics since `manifest`, as LOG rows with topic, file, file_ord and offset.
+
+    All topics are one plan: one list of files, one read of what is new in them and
+    one parse, whose parser goes by the topic. The manifest is written to the shared
+    folder first; what the events read follows from it, so files that change
+    meanwhile change neither.
+    """
+    files = _tagged(spark, topics)
+    now = checkpoint(build_manifest(spark, files, old=manifest, meter=meter))
+    todo = checkpoint(diff_manifest(manifest, now).where("read_from IS NOT NULL").join(files.select("topic", "path", "file_ord"), ["topic", "path"]))
+    lines = read_ranges(todo.groupBy("path", "size").agg(F.min("read_from").alias("read_from")), meter)
+    mine = todo.select("topic", "path", "read_from", "file_ord").withColumnRenamed("path", "of")
+    lines = lines.join(F.broadcast(mine), F.col("path") == F.col("of")).where("offset >= read_from").select("topic", F.col("path").alias("file"), "file_ord", "offset", "line")
+
+    def parser(c: Column) -> Column:
+        rules = [(F.col("topic") == topic, (spec.parser or (lambda c: parse_log_line(c, tz)))(c)) for topic, spec in topics.items()]
+        return reduce(lambda chain, rule: chain.when(*rule), rules[1:], F.when(*rules[0]))
+
+    events = parse_log_events(lines, F.lit(host), parser, tz, ["topic", "file", "file_ord"], chunk=F.floor(F.col("offset") / (1 << 26)))
+    return events, now

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparklogs.schemas import LOG
@@ -12,9 +12,9 @@ from sparklogs.schemas import LOG
 FIELDS = ["timestamp", "level", "location", "host", "message"]
 
 
-def to_topic(df: DataFrame, topic: str, extra: list[str] | None = None) -> DataFrame:
-    """(topic, value): one JSON object per event; columns in `extra` ride along."""
-    return df.select(F.lit(topic).alias("topic"), F.to_json(F.struct(*FIELDS)).alias("value"), *(extra or []))
+def to_topic(df: DataFrame, topic: str | Column, extra: list[str] | None = None) -> DataFrame:
+    """(topic, value): one JSON object per event; columns in `extra` ride along. `topic` is a name, or a column of names."""
+    return df.select((F.lit(topic) if isinstance(topic, str) else topic).alias("topic"), F.to_json(F.struct(*FIELDS)).alias("value"), *(extra or []))
 
 
 def from_topic(df: DataFrame, extra: list[str] | None = None) -> DataFrame:

@@ -31,9 +31,7 @@ def run_collector(spark: SparkSession, topics: dict[str, TopicSpec], manifest_di
     """
     while True:
         events, manifest = collect_topics(spark, topics, load_manifest(spark, manifest_dir), host, tz)
-        manifest = spark.createDataFrame(manifest.collect(), manifest.schema)  # as of before the read; one row a file
-        for topic in topics:
-            write_topic(to_topic(events.where(F.col("topic") == topic).drop("topic"), topic, ["file_ord", "offset"]), servers, folder)
+        write_topic(to_topic(events, F.col("topic"), ["file_ord", "offset"]), servers, folder)
         save_manifest(manifest, manifest_dir)
         if once:
             return

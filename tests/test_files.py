@@ -30,20 +30,18 @@ def test_daily_and_numeric_order(spark, tmp_path):
         discover_files(spark, str(tmp_path), "svc", "numeric").collect()
 
 
-def test_offsets_do_not_depend_on_splits(spark, tmp_path):
+def test_offsets_do_not_depend_on_splits(spark, tmp_path, monkeypatch):
     text = "".join(f"line {i} é\r\n" if i % 3 == 0 else f"{i}\n" for i in range(500)) + "last"
     (tmp_path / "a b+c").write_bytes(text.encode())
     expected, at = [], 0
     for line in text.split("\n"):
         expected.append((at, line))
         at += len(line.encode()) + 1
-    for size in ("128m", "97b"):
-        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
-        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    for split, block in ((1 << 27, 1 << 20), (97, 30), (1, 7), (40, 1000)):
+        monkeypatch.setattr(files, "SPLIT_BYTES", split)
+        monkeypatch.setattr(files, "BLOCK_BYTES", block)
         got = [(r.offset, r.line) for r in read_lines(spark, [str(tmp_path / "a b+c")]).orderBy("offset").collect()]
         assert got == expected
-    spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    spark.conf.unset("spark.sql.files.minPartitionNum")
     assert read_lines(spark, []).count() == 0
 
 
@@ -75,7 +73,7 @@ def test_manifest_versions(spark, tmp_path):
     folder = str(tmp_path / "m")
     assert load_manifest(spark, folder).count() == 0
     for size in (1, 2):
-        save_manifest(spark.createDataFrame([("t", "l", "p", size)], files.MANIFEST), folder)
+        save_manifest(spark.createDataFrame([("t", "l", "p", size, None)], files.MANIFEST), folder)
     assert load_manifest(spark, folder).first().size == 2
 
 
@@ -102,15 +100,53 @@ def test_collector_sends_only_what_is_new(spark, tmp_path):
     assert [(r.message, r.timestamp) for r in events.collect()] == [("shut\n  by hand", 1641700801000)]
 
 
-def test_lines_from_an_offset(spark, tmp_path):
+def test_lines_from_an_offset(spark, tmp_path, monkeypatch):
     text = "".join(f"line {i}\n" for i in range(400))
     (tmp_path / "f").write_text(text)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "97b")
-    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    monkeypatch.setattr(files, "SPLIT_BYTES", 97)
     path = str(tmp_path / "f")
     whole = [(r.offset, r.line) for r in read_lines(spark, [path]).orderBy("offset").collect()]
     for start in (0, 1, 97, 98, 1000, len(text) - 9, len(text)):
         got = read_lines(spark, [path], spark.createDataFrame([(path, start)], "path string, read_from long")).orderBy("offset").collect()
         assert [(r.offset, r.line) for r in got] == [w for w in whole if w[0] >= start]
-    spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_only_new_bytes_are_read(spark, tmp_path):
+    """Of unchanged files nothing, of renamed ones the first line, of grown ones the first line and what is new."""
+    line = "2022-01-07 12:00:00,000 WARN door.Lock: opened {:09d}\n"
+    for name, first in (("a.log.2022-01-05", 0), ("a.log.2022-01-06", 100_000), ("a.log", 200_000)):
+        (tmp_path / name).write_text("".join(line.format(first + i) for i in range(60_000)))
+    specs = {"doors": TopicSpec(str(tmp_path), "^a[.]log")}
+    meter = spark.sparkContext.accumulator(0)
+    events, old = collect_topics(spark, specs, load_manifest(spark, str(tmp_path / "none")), meter=meter)
+    old = spark.createDataFrame(old.collect(), files.MANIFEST)
+    assert events.count() == 180_000
+    whole = sum(p.stat().st_size for p in tmp_path.iterdir())
+    assert whole <= meter.value <= 2 * whole + 3 * files.BLOCK_BYTES  # lines are counted, then read
+    (tmp_path / "a.log.2022-01-06").rename(tmp_path / "a.log.2022-01-04")
+    with (tmp_path / "a.log").open("a") as file:
+        file.write(line.format(7))
+    meter.value = 0
+    events, now = collect_topics(spark, specs, old, meter=meter)
+    assert [r.message for r in events.collect()] == ["opened 000000007"]
+    assert 0 < meter.value <= 2 * files.BLOCK_BYTES + 4 * len(line.format(0))
+    meter.value = 0
+    events, same = collect_topics(spark, specs, now, meter=meter)
+    assert events.count() == 0 and meter.value == 0
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, now.collect()))
+
+
+def test_several_topics_are_one_plan(spark, tmp_path):
+    """Two orders, two parsers, two topics in one folder and one in another."""
+    for name, lines in {"x/a.log.2": "old 1", "x/a.log.1": "mid 2", "x/a.log": "new 3\nmore", "x/b.log": "2022-01-07 12:00:00,000 INFO b: hello", "y/b.log.1": "2022-01-07 12:00:01,000 INFO b: other"}.items():
+        put(tmp_path, **{name: lines})
+
+    def own(c):
+        number = F.regexp_extract(c, "^[a-z]+ ([0-9]+)", 1).try_cast("long")
+        return F.when(number.isNotNull(), F.struct(number.alias("timestamp"), F.lit("INFO").alias("level"), F.lit("own").alias("location"), c.alias("message")))
+
+    specs = {"a": TopicSpec(str(tmp_path / "x"), "^a[.]log", "numeric", own), "b": TopicSpec(str(tmp_path / "x"), "^b[.]log"), "c": TopicSpec(str(tmp_path / "y"), "^b[.]log", "numeric"), "twice": TopicSpec(str(tmp_path / "x"), "^b")}
+    events, now = collect_topics(spark, specs, load_manifest(spark, str(tmp_path / "none")), "h")
+    got = sorted((r.topic, r.file_ord, r.offset, r.message) for r in events.collect())
+    assert got == [("a", 1, 0, "old 1"), ("a", 2, 0, "mid 2"), ("a", 3, 0, "new 3\nmore"), ("b", 1, 0, "hello"), ("c", 1, 0, "other"), ("twice", 1, 0, "hello")]
+    assert now.count() == 6
