@@ -11,7 +11,7 @@ from sparklogs.operators.events import parse_log_events
 from sparklogs.plans.search import kept_search, log_search, matches
 from sparklogs.queries import KEYS, LOGS_SQL, RULE, SPEC, SQL, START, STATS, TRANSFERS_SQL, _messages, _renamed, logs, query, transfers_log
 from sparklogs.shared import children, move, new_folder
-from sparklogs.sources import archive, files, topics
+from sparklogs.sources import archive, files, messages, topics
 from sparklogs.streaming import jobs
 
 def log_files(spark: SparkSession, sf_dir: str, numeric: bool = False) -> str:
@@ -243,12 +243,83 @@ def stream_search(spark, sf_dir):
     return spark.read.parquet(f"{out}/meta").drop("query_time")
 
 
-@query(f"WITH {LOGS_SQL} SELECT timestamp, level, location, host, message FROM logs WHERE timestamp >= {START} AND timestamp < {START + RULE.window_ms}")
+@query(f"WITH {LOGS_SQL} SELECT timestamp, level, location, host, message FROM logs")
 def stream_archive(spark, sf_dir):
-    base = new_folder(spark, "archive")
-    stream = _topic(spark, logs(spark, sf_dir)).withColumn("topic", F.get_json_object("value", "$.location"))
-    jobs.stream_archive(stream, base, f"{base}-state", trigger={"availableNow": True}).awaitTermination()
-    return archive.read_archive(spark, base, START, START + RULE.window_ms)
+    """In several batches, all of it read back."""
+    rows, base = logs(spark, sf_dir), new_folder(spark, "archive")
+    log = _published(spark, rows, ["seq"])
+    stream = messages.read_messages(spark, log, ["app"], f"{base}-position", "earliest", -(-rows.count() // 3)).withColumn("topic", F.get_json_object("value", "$.location"))
+    _ended(jobs.stream_archive(stream, base, f"{base}-state", trigger=_AT_ONCE))
+    first, last = rows.agg(F.min("timestamp"), F.max("timestamp")).first()
+    return archive.read_archive(spark, base, first, last + 1)
+
+
+#: Batches follow one another without a pause.
+_AT_ONCE = {"processingTime": "0 seconds"}
+
+
+def _ended(started) -> None:
+    """Lets a stream read its source to the end."""
+    started.processAllAvailable()
+    started.stop()
+    started.awaitTermination()
+
+
+def _published(spark: SparkSession, rows: DataFrame, order: list[str], topic: str = "app") -> str:
+    """A log of messages of LOG rows."""
+    folder = new_folder(spark, "log")
+    messages.publish(topics.to_topic(rows, topic, order), folder, order)
+    return folder
+
+
+@query(f"WITH {LOGS_SQL}, c AS (SELECT count(*) AS n FROM logs) SELECT i AS batch, least(4000, n - 4000 * i) AS messages, 4000 * i AS first FROM c, range(100000) r(i) WHERE 4000 * i < n")
+def stream_batches(spark, sf_dir):
+    """Batches of at most 4,000 messages each."""
+    folder = new_folder(spark, "batches")
+    stream = messages.read_messages(spark, _published(spark, logs(spark, sf_dir), ["seq"]), ["app"], f"{folder}/position", "earliest", 4_000)
+    keep = lambda df, n: df.select("offset", F.lit(n).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{folder}/out/{n}")
+    _ended(stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/state").start())
+    return spark.read.parquet(f"{folder}/out/*").groupBy("batch").agg(F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first"))
+
+
+@query(f"WITH {LOGS_SQL} SELECT timestamp, level, location, host, message FROM logs WHERE seq % 2 = 1")
+def stream_from_newest(spark, sf_dir):
+    """Messages with even numbers are there before the start and don't come; the others are published after it."""
+    rows, folder = logs(spark, sf_dir), new_folder(spark, "newest")
+    log = _published(spark, rows.where("seq % 2 = 0"), ["seq"])
+    stream = messages.read_messages(spark, log, ["app"], f"{folder}/position", "latest", 100_000_000)
+    started = topics.from_topic(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").start()
+    started.processAllAvailable()
+    messages.publish(topics.to_topic(rows.where("seq % 2 = 1"), "app", ["seq"]), log, ["seq"])
+    _ended(started)
+    return spark.read.parquet(f"{folder}/out")
+
+
+@query(f"""WITH {LOGS_SQL}, p AS (SELECT *, row_number() OVER (ORDER BY (seq + seq * 37 % 50) * 100 + seq % 100) - 1 AS place, count(*) OVER () AS n FROM logs),
+  b AS (SELECT *, place // (n // 4 + 1) AS batch FROM p), t AS (SELECT batch, max(timestamp) AS top FROM b GROUP BY 1),
+  w AS (SELECT b.batch, max(top) AS newest FROM (SELECT DISTINCT batch FROM b) b JOIN t ON t.batch < b.batch GROUP BY 1)
+  SELECT place AS "offset", timestamp, location, message, coalesce(timestamp < newest - 1800000, FALSE) AS late FROM b LEFT JOIN w USING (batch)""")
+def stream_late(spark, sf_dir):
+    """Four batches of messages that come up to fifty places late; more than half an hour is too late."""
+    seq = F.col("seq")
+    rows = logs(spark, sf_dir).withColumn("arrival", (seq + seq * 37 % 50) * 100 + seq % 100)
+    folder = new_folder(spark, "late")
+    stream = messages.read_messages(spark, _published(spark, rows, ["arrival"]), ["app"], f"{folder}/position", "earliest", rows.count() // 4 + 1)
+    _ended(jobs.stream_late_split(stream, folder, f"{folder}/state", 1_800_000, _AT_ONCE))
+    read = lambda name: spark.read.parquet(f"{folder}/{name}").select("offset", "timestamp", "location", "message")
+    return read("late").withColumn("late", F.lit(True)).unionByName(read("in_time").withColumn("late", F.lit(False)))
+
+
+@query(f"""{_PLACED_SQL} SELECT segment_ts AS start_ts, topic, strftime(make_timestamp(segment_ts * 1000), '%Y%m%d') AS day, {_PATH_SQL}, max(timestamp) AS recent_ts,
+  CAST(sum(strlen('{{"timestamp":' || timestamp || ',"level":"' || level || '","location":"' || topic || '","host":"' || host || '","message":"' || message || '"}}') + 1) AS BIGINT) AS size
+  FROM placed GROUP BY segment_ts, topic""")
+def archive_index(spark, sf_dir):
+    """The kept index after two batches, the second of which has been written twice."""
+    base, rows = new_folder(spark, "archive"), _messages(spark, sf_dir)
+    half = rows.count() // 2
+    for batch, part in (("one", F.col("seq") < half), ("two", F.col("seq") >= half), ("two", F.col("seq") >= half)):
+        archive.write_archive(rows.where(part), base, batch=batch)
+    return archive.load_index(spark, base).withColumn("path", F.substring_index("path", "/", -2))
 
 
 _renamed("parse_log_events_query", "parse_log_events")

@@ -65,6 +65,37 @@ def move(spark: SparkSession, source: str, goal: str) -> None:
         raise OSError(f"could not rename {source} to {goal}")
 
 
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Writes a file whole or not at all; False, with nothing changed, if there is one of that name."""
+    store, there = hadoop(spark, path)
+    jvm = spark.sparkContext._jvm
+    draft = there.suffix(f".{uuid.uuid4()}.tmp")
+    out = store.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    kinds = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(kinds, 1)
+    how[0] = kinds.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(store.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(store.makeQualified(draft), store.makeQualified(there), how)
+        return True
+    except Exception as error:
+        store.delete(draft, False)
+        if store.exists(there):
+            return False
+        raise error
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    store, there = hadoop(spark, path)
+    stream = store.open(there)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     store, there = hadoop(spark, path)
     store.delete(there, True)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +12,12 @@ from pyspark.sql import functions as F
 from sparklogs.functions.times import DAY_MS, archive_path, path_timestamp, path_topic, utc_day
 from sparklogs.operators.segments import MAX_BYTES, assign_segments
 from sparklogs.schemas import ARCHIVE_INDEX, LOG
-from sparklogs.shared import checkpoint, children, exists, move, remove
+from sparklogs.shared import checkpoint, children, exists, get_text, move, put_new, remove
 from sparklogs.sources.files import _decoded
 
 
+#: Versions of the index before the last one that stay, and files that are renamed at a time.
+KEPT_VERSIONS, MOVES = 3, 16
 #: A segment is a folder with the name of the file it stands for; Spark's writers add files to it.
 _FILE = "(.*/\\d{4}-\\d{2}-\\d{2}/\\d{8}T\\d{6}\\.\\d{3}Z\\.[^/]*)/([^/]+)$"
 
@@ -43,36 +47,82 @@ def scan_archive(spark: SparkSession, base: str, without: str | None = None, new
     return sizes.join(newest, "path", "left").select("start_ts", "topic", utc_day(F.col("start_ts")).alias("day"), "path", "size", "recent_ts")
 
 
+def _versions(spark: SparkSession, base: str) -> list[str]:
+    return sorted((n for n in children(spark, f"{base}/_index/done") if n.isdigit()), reverse=True)
+
+
+def load_index(spark: SparkSession, base: str, without: str | None = None) -> DataFrame | None:
+    """ARCHIVE_INDEX as the last write left it, or as it was before the batch `without`; None if no index is kept.
+
+    One version is read; nothing of the archive is listed or opened.
+    """
+    base = base.rstrip("/")
+    for n in _versions(spark, base):
+        entry = json.loads(get_text(spark, f"{base}/_index/done/{n}"))
+        if entry["batch"] != without:
+            found = spark.read.schema(ARCHIVE_INDEX).parquet(f"{base}/_index/data/{entry['data']}")
+            return found.withColumn("path", F.concat(F.lit(f"{base}/"), "path"))
+    return None
+
+
+def _keep_index(placed: DataFrame, index: DataFrame, base: str, batch: str) -> None:
+    """The next version of the index: `index` and what `placed (topic, segment_ts, path, timestamp, value)` adds. A batch that is in the last version stays as it is."""
+    spark = placed.sparkSession
+    done = _versions(spark, base)
+    if done and json.loads(get_text(spark, f"{base}/_index/done/{done[0]}"))["batch"] == batch:
+        return
+    added = placed.groupBy("path").agg(F.first("segment_ts").alias("start_ts"), F.first("topic").alias("topic"), F.sum(F.coalesce(F.octet_length("value"), F.lit(0)) + 1).alias("size"), F.max("timestamp").alias("recent_ts"))
+    both = index.select(F.substring_index("path", "/", -2).alias("path"), "start_ts", "topic", "size", "recent_ts").unionByName(added)
+    now = both.groupBy("path").agg(F.first("start_ts").alias("start_ts"), F.first("topic").alias("topic"), F.sum("size").alias("size"), F.max("recent_ts").alias("recent_ts"))
+    data = str(uuid.uuid4())
+    now.select("start_ts", "topic", utc_day(F.col("start_ts")).alias("day"), "path", "size", "recent_ts").coalesce(1).write.parquet(f"{base}/_index/data/{data}")
+    if not put_new(spark, f"{base}/_index/done/{int(done[0]) + 1 if done else 0:012d}", json.dumps({"batch": batch, "data": data})):
+        raise RuntimeError(f"two writers of {base} at a time")
+    for old in done[KEPT_VERSIONS:]:
+        entry = json.loads(get_text(spark, f"{base}/_index/done/{old}"))
+        remove(spark, f"{base}/_index/done/{old}")
+        remove(spark, f"{base}/_index/data/{entry['data']}")
+
+
 def write_archive(messages: DataFrame, base: str, max_bytes: int = MAX_BYTES, order: str = "seq", per_topic: bool = True, batch: str | None = None) -> DataFrame:
     """Appends `messages (topic, timestamp, value, <order>)` to their segments; returns the rows with segment_ts and path, as they were placed.
 
     Rows of a segment are dealt to one task and sorted by arrival, so that each
     write adds one file to a segment. `batch` names the write: the same messages
     written again under one name, whole or after a part of the files has been
-    moved, leave the archive as one write does.
+    moved, leave the archive as one write does. What is there is known from the
+    index that each write leaves (see `load_index`); an archive without one is
+    listed once. One writer at a time.
     """
     spark = messages.sparkSession
-    batch = batch or str(uuid.uuid4())
-    found = assign_segments(messages, max_bytes, scan_archive(spark, base, batch, True), order, per_topic)
+    batch, base = batch or str(uuid.uuid4()), base.rstrip("/")
+    index = load_index(spark, base, batch)
+    index = checkpoint(scan_archive(spark, base, batch)) if index is None else index
+    found = assign_segments(messages, max_bytes, index, order, per_topic)
     placed = checkpoint(found.withColumn("path", archive_path(F.col("topic"), F.col("segment_ts"))))
     day, name = F.substring_index("path", "/", 1), F.substring_index("path", "/", -1)
     out = placed.select(day.alias("day"), name.alias("segment"), F.col(order).alias("_order"), "value")
     out = out.repartition("day", "segment").sortWithinPartitions("day", "segment", "_order")
-    staging = f"{base.rstrip('/')}/_staging-{batch}"
+    staging = f"{base}/_staging-{batch}"
     out.drop("_order").write.mode("overwrite").partitionBy("day", "segment").text(staging)
     _move(spark, staging, base, batch)
+    _keep_index(placed, index, base, batch)
     return placed
 
 
 def _move(spark: SparkSession, staging: str, base: str, batch: str) -> None:
-    """Renames day=D/segment=S/part files to D/S/<batch>-<number>, of which there is one a segment, then drops what is left of the staging folder."""
-    base = base.rstrip("/")
-    for day in children(spark, staging):
-        for segment in children(spark, f"{staging}/{day}") if day.startswith("day=") else []:
-            folder = f"{staging}/{day}/{segment}"
-            parts = sorted(n for n in children(spark, folder) if n.startswith("part-"))
-            for k, part in enumerate(parts):
-                move(spark, f"{folder}/{part}", f"{base}/{day.split('=', 1)[1]}/{segment.split('=', 1)[1]}/{batch}-{k}")
+    """Renames day=D/segment=S/part files to D/S/<batch>-<number>, of which there is one a segment, many at a time, then drops what is left of the staging folder."""
+
+    def segment(day: str, name: str) -> None:
+        folder = f"{staging}/{day}/{name}"
+        parts = sorted(n for n in children(spark, folder) if n.startswith("part-"))
+        for k, part in enumerate(parts):
+            move(spark, f"{folder}/{part}", f"{base}/{day.split('=', 1)[1]}/{name.split('=', 1)[1]}/{batch}-{k}")
+
+    days = [d for d in children(spark, staging) if d.startswith("day=")]
+    with ThreadPoolExecutor(MOVES) as pool:
+        for done in [pool.submit(segment, day, name) for day in days for name in children(spark, f"{staging}/{day}")]:
+            done.result()
     remove(spark, staging)
 
 

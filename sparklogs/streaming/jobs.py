@@ -39,20 +39,49 @@ def run_collector(spark: SparkSession, topics: dict[str, TopicSpec], manifest_di
 
 
 def stream_archive(stream: DataFrame, base: str, checkpoint: str, max_bytes: int = MAX_BYTES, trigger: dict | None = None) -> StreamingQuery:
-    """`stream (topic, value)` to the archive: each micro-batch is dealt to segments after a scan of what is there.
+    """`stream (topic, value[, offset])` to the archive: each micro-batch is dealt to segments by the index that the last one left.
 
-    A micro-batch that runs again after a failure leaves what one run leaves.
+    Messages of a batch are in the order of their offsets, as `read_messages` gives
+    them, whatever tasks read them: a micro-batch that runs again after a failure
+    leaves what one run leaves. Without offsets the order is that of the tasks, and
+    that holds only if they read the same parts again.
     """
     name = f"{zlib.crc32(checkpoint.encode()):08x}"
 
     def batch(df: DataFrame, number: int) -> None:
-        numbered = df.withColumn("seq", F.monotonically_increasing_id())
+        numbered = df.withColumn("seq", F.col("offset") if "offset" in df.columns else F.monotonically_increasing_id())
         stamped = numbered.withColumn("timestamp", F.get_json_object("value", "$.timestamp").try_cast("long"))
         write_archive(stamped.where("timestamp IS NOT NULL"), base, max_bytes, batch=f"{name}.{number}")
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
+def stream_late_split(stream: DataFrame, out: str, checkpoint: str, delay_ms: int = 30_000, trigger: dict | None = None) -> StreamingQuery:
+    """Tells events of `stream (topic, value)` that come too late from those in time, under out/late and out/in_time, with the batch they came in.
+
+    An event is late if it is older than the newest time of its topic in all earlier
+    batches by more than `delay_ms`; those of its own batch don't count, as what is
+    in a batch came together. The newest times, a row a topic, are kept for each
+    batch, so that one that runs again decides as it did. Events without a time, as
+    of broken messages, are in neither.
+    """
+
+    def batch(df: DataFrame, number: int) -> None:
+        spark = df.sparkSession
+        rows = from_topic(df, [c for c in ("topic", "offset") if c in df.columns]).where("timestamp IS NOT NULL").persist()
+        known = [int(n) for n in children(spark, f"{out}/_newest") if int(n) < number]
+        before = spark.createDataFrame([], "topic string, newest long") if not known else spark.read.parquet(f"{out}/_newest/{max(known)}")
+        both = rows.join(F.broadcast(before), "topic", "left")
+        late = F.coalesce(F.col("timestamp") < F.col("newest") - delay_ms, F.lit(False))
+        for name, part in (("late", late), ("in_time", ~late)):
+            both.where(part).drop("newest").write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+        newest = rows.select("topic", F.col("timestamp").alias("newest")).unionByName(before).groupBy("topic").agg(F.max("newest").alias("newest"))
+        newest.coalesce(1).write.mode("overwrite").parquet(f"{out}/_newest/{number}")
+        rows.unpersist()
+
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
+
+
 def stream_search(stream: DataFrame, spec: SearchSpec, out: str, checkpoint: str, tz: str = "UTC", trigger: dict | None = None, now_ms=lambda: int(time.time() * 1000)) -> StreamingQuery:
     """The search of a trailing window, run again for every micro-batch of `stream (topic, value)`.
 

@@ -141,6 +141,13 @@ def test_a_batch_that_runs_again_leaves_what_one_run_leaves(spark, tmp_path, mon
     first = write_archive(more, base, 40, batch="1").orderBy("seq").collect()
     again = write_archive(more, base, 40, batch="1").orderBy("seq").collect()
     assert moved and first == again
+    kept = archive.load_index(spark, base).select("start_ts", "topic", "day", "path", "size", "recent_ts")
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, scan_archive(spark, base).collect()))
+    with monkeypatch.context() as patch:  # a write reads one version of the index and lists nothing
+        patch.setattr(archive, "scan_archive", None)
+        for k in range(2, 5):
+            write_archive(frame(spark, [(k, "a", 20_000 + k, "{}")]), base, 40, batch=str(k))
+    assert len(archive._versions(spark, base)) == archive.KEPT_VERSIONS + 1
     assert sorted(r.message for r in read_archive(spark, base, 0, 20_000).collect()) == sorted(f"m{i}" for i in range(16))
     newest = {(r.topic, r.start_ts): r.recent_ts for r in scan_archive(spark, base).collect()}
     for r in scan_archive(spark, base, newest_only=True).collect():
@@ -148,6 +155,33 @@ def test_a_batch_that_runs_again_leaves_what_one_run_leaves(spark, tmp_path, mon
         assert r.recent_ts == (newest[r.topic, r.start_ts] if last else None)
 
 
+def test_a_replay_with_other_partitions_leaves_one_copy(spark, tmp_path):
+    """Messages keep the order of their offsets, so that they go where they went before."""
+    rows = [(i, f'{{"timestamp":{(i * 7919) % 50 + 20 * i},"message":"{i}"}}') for i in range(60)]
+    base, stream = str(tmp_path / "a"), None
+    for part in (1, 7):
+        frames = spark.createDataFrame([("gate", o, v) for o, v in rows], "topic string, offset long, value string").repartition(part, "value")
+
+        class Once:
+            """A stream whose one batch is given again."""
+
+            def foreachBatch(self, function, frames=frames):
+                function(frames, 0)
+                return self
+
+            def __getattr__(self, name):
+                return lambda *a, **k: self
+
+        class Stream:
+            writeStream = Once()
+
+        stream_archive(Stream(), base, "state", 400)
+        found = sorted(int(r.message) for r in read_archive(spark, base, 0, 10_000).collect())
+        assert found == list(range(60))
+        stream = sorted((r.start_ts, r.size) for r in scan_archive(spark, base).collect()) if stream is None else stream
+    assert sorted((r.start_ts, r.size) for r in scan_archive(spark, base).collect()) == stream and len(stream) > 3
+
+
 def test_a_failed_rename_loses_nothing(spark, tmp_path):
     from sparklogs.shared import move
 

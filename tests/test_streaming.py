@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from sparklogs.operators.stats import PRESETS, Stat
 from sparklogs.plans.search import SearchSpec
 from sparklogs.sources.topics import from_topic, read_topics, to_topic, write_topic
-from sparklogs.streaming.jobs import stream_flow_totals, stream_group_stats, stream_search
+from sparklogs.streaming.jobs import stream_flow_totals, stream_group_stats, stream_late_split, stream_search
 
 NOW = 1_700_000_040_000
 
@@ -49,3 +49,37 @@ def test_flows(spark, tmp_path):
     run(flows, tmp_path, "flows")
     rows = spark.table("flows").where(f"window_start <= {NOW} AND window_end > {NOW + 1}").collect()
     assert rows and all((r.src, r.dest, r.dataflow) == ("10.0.0.1", "10.0.0.2", 10) for r in rows)
+
+
+def test_late_rows_are_told(spark, tmp_path):
+    """Three batches of two topics; a batch that runs again decides as it did."""
+    times = [("a", 100), ("a", 40), ("b", 10), ("b", 500), ("a", 89), ("a", 90), ("a", None), ("b", 489), ("b", 600), ("a", 95), ("a", 300), ("b", 590), ("c", 0)]
+    rows = [(t, i, f'{{"timestamp":{ts},"message":"m"}}' if ts is not None else "{broken") for i, (t, ts) in enumerate(times)]
+    frames = [spark.createDataFrame(rows[i : i + 4], "topic string, offset long, value string") for i in (0, 4, 8)] + [spark.createDataFrame(rows[12:], "topic string, offset long, value string")]
+    batches = []
+
+    class Writer:
+        def foreachBatch(self, function):
+            batches.append(function)
+            return self
+
+        def __getattr__(self, name):
+            return lambda *a, **k: self
+
+    class Stream:
+        writeStream = Writer()
+
+    out = str(tmp_path / "late")
+    stream_late_split(Stream(), out, "state", 10)
+    for n in (0, 1, 1, 2, 1, 2, 3):
+        batches[0](frames[n], n)
+    newest, want = {}, {}
+    for n in range(4):
+        part = times[4 * n : 4 * n + 4]
+        for k, (t, ts) in enumerate(part):
+            if ts is not None:
+                want[4 * n + k] = ts < newest.get(t, ts) - 10
+        for t, ts in part:
+            newest[t] = max(newest.get(t, ts or 0), ts or 0)
+    got = {r.offset: late for name, late in (("late", True), ("in_time", False)) for r in spark.read.parquet(f"{out}/{name}").collect()}
+    assert got == want and sum(got.values()) == 2
