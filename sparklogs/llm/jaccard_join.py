@@ -20,6 +20,8 @@ the same group.
 from __future__ import annotations
 
 import hashlib
+import secrets
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -66,11 +68,18 @@ def _node(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _sets_of(batch: pa.RecordBatch, width: int) -> list[np.ndarray]:
-    return shingle_sets([t.as_py() for t in batch.column(1).cast(pa.binary())], width)
+@dataclass(frozen=True)
+class Shingling:
+    """Words of a shingle, and the key of its hashes, the same in all tasks of a run."""
 
+    width: int
+    key: bytes
 
-def document_sets(docs: DataFrame, width: int) -> DataFrame:
+    def sets(self, batch: pa.RecordBatch) -> list[np.ndarray]:
+        return shingle_sets([t.as_py() for t in batch.column(1).cast(pa.binary())], self.width, self.key)
+
+
+def document_sets(docs: DataFrame, how: Shingling) -> DataFrame:
     """(id, n, node, count): size and name of each set; and, with n = -1, (id = shingle, count) of shingles that are common within a part of a task."""
 
     def often(sets: list[np.ndarray]) -> pa.RecordBatch:
@@ -85,7 +94,7 @@ def document_sets(docs: DataFrame, width: int) -> DataFrame:
         held: list[np.ndarray] = []
         size = 0
         for batch in batches:
-            sets = _sets_of(batch, width)
+            sets = how.sets(batch)
             n = pa.array([len(s) for s in sets], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n, pa.array([_node(s) if len(s) else None for s in sets], pa.binary()), pa.nulls(len(sets), pa.int64())], ["id", "n", "node", "count"])
             held += sets
@@ -120,13 +129,13 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(out, bitorder="little").tobytes()
 
 
-def postings(docs: DataFrame, width: int, percent: int, common: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
+def postings(docs: DataFrame, how: Shingling, percent: int, common: tuple[np.ndarray, np.ndarray], buckets: int) -> DataFrame:
     """First shingles of every distinct set of a batch, packed by bucket."""
     names, df = common
 
     def each(batches):
         for batch in batches:
-            sets = {_node(s): s for s in _sets_of(batch, width) if len(s)}
+            sets = {_node(s): s for s in how.sets(batch) if len(s)}
             firsts, owner, salts = [], [], []
             for k, s in enumerate(sets.values()):
                 want = first_shingles(len(s), percent)
@@ -412,7 +421,7 @@ def _meetings(percent: int):
     return run
 
 
-def _shingles_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+def _shingles_of(docs: DataFrame, ids: DataFrame, how: Shingling) -> DataFrame:
     """(id, value): the sets of the documents in `ids (id)`, whose texts alone are shuffled."""
 
     def each(batches):
@@ -421,7 +430,7 @@ def _shingles_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
             ids = batch.column(0).to_pylist()
             new = [i not in seen and not seen.add(i) for i in ids]
             batch = batch.filter(pa.array(new, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in _sets_of(batch, width)], pa.binary())], ["id", "value"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in how.sets(batch)], pa.binary())], ["id", "value"])
 
     texts = likely_rows(docs, ids).join(ids.hint("shuffle_hash"), "id", "left_semi")
     return checkpoint(texts.mapInArrow(each, "id long, value binary"))
@@ -467,9 +476,9 @@ def _across_blocks(members: DataFrame, percent: int) -> DataFrame:
     return members.join(checkpoint(met), ["lead", "blk"]).select("lead", "lo", "hi", (F.col("blk") != F.col("lo")).alias("far"), "id", "grp")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, how: Shingling, percent: int) -> DataFrame:
     """`pairs (a, b)` whose sets reach the threshold, by intersecting them."""
-    sets = _shingles_of(docs, checkpoint(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), width)
+    sets = _shingles_of(docs, checkpoint(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()), how)
 
     def each(batches):
         for batch in batches:
@@ -488,7 +497,7 @@ def _least(n: Column, percent: int) -> Column:
     return F.least(F.greatest(F.lit(SHARED), F.floor(n / SHARE)), F.ceil(n * percent / 100))
 
 
-def tree_links(posts: DataFrame, docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
+def tree_links(posts: DataFrame, docs: DataFrame, how: Shingling, percent: int, buckets: int) -> DataFrame:
     """Edges (a, b) that join whatever is linked, from `posts (lead, token, id, n)`: the first shingles that sets share, and the buckets these are in.
 
     A pair of different groups either is in a bucket of several blocks, where it is
@@ -498,7 +507,7 @@ def tree_links(posts: DataFrame, docs: DataFrame, width: int, percent: int, buck
     members = checkpoint(posts.groupBy("lead", "id").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("shared")))
     home = members.groupBy("id").agg(F.max(F.struct("shared", "lead")).alias("best"), F.first("n").alias("n"))
     home = checkpoint(home.where(2 * F.col("best.shared") >= _least(F.col("n"), percent)).select("best.lead", "id", F.col("id").alias("grp")))
-    found = _linked(_in_blocks(home), _shingles_of(docs, home.select("id"), width), percent, buckets, True)
+    found = _linked(_in_blocks(home), _shingles_of(docs, home.select("id"), how), percent, buckets, True)
     free(spark)
     edges = found.select("a", "b").where("a <> b")
     rest = members.join(found.select(F.col("a").alias("id"), F.col("b").alias("grp")), "id", "left")
@@ -510,13 +519,13 @@ def tree_links(posts: DataFrame, docs: DataFrame, width: int, percent: int, buck
     met = small.repartition(buckets, "lead").sortWithinPartitions("lead", "id").mapInArrow(_meetings(percent), "a long, b long, shared long, few long, many long")
     met = met.groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.first("few").alias("few"), F.first("many").alias("many"))
     met = met.where(F.col("shared") >= _least(F.col("few"), percent)).where(100 * F.col("few") >= percent * F.col("many"))
-    edges = edges.union(_verified(checkpoint(met.select("a", "b")), docs, width, percent))
+    edges = edges.union(_verified(checkpoint(met.select("a", "b")), docs, how, percent))
     free(spark)
 
     rest = checkpoint(rest.where(F.col("m") > BLOCK).drop("m"))
     if rest.isEmpty():
         return edges
-    sets = _shingles_of(docs, checkpoint(rest.select("id").distinct()), width)
+    sets = _shingles_of(docs, checkpoint(rest.select("id").distinct()), how)
     most = None
     while True:
         groups = checkpoint(rest.groupBy("lead").agg(F.countDistinct("grp").alias("m")).where("m > 1"))
@@ -541,7 +550,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     """(doc_id, n_shingles, component_id): one row per row of `docs`.
 
     A document's set is its distinct `width`-word shingles (see `shingle_sets`;
-    their 64-bit hashes stand for them, and sets go by 128 bits). Documents link
+    their 64-bit hashes stand for them, and sets go by 128 bits; the hashes' key is
+    drawn anew for each call, so that no text can be made to collide). Documents link
     when 100 * intersection >= `percent` * union; component_id is the smallest id
     reachable. Null and empty texts have no shingles and link with nothing. Rows
     with a null id link with nothing and have a null component; rows that share an
@@ -550,14 +560,15 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = checkpoint(document_sets(docs, width))
+    how = Shingling(width, secrets.token_bytes(32))
+    rows = checkpoint(document_sets(docs, how))
     named = rows.where("n >= 0")
     classes = named.where("node IS NOT NULL AND id IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"), F.first("n").alias("n"))
     classes = checkpoint(classes)
     firsts = named.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + _least(F.col("n"), percent))).first()[0] or 0
     buckets = max(partitions(spark), int(firsts) // _POSTINGS, 12)
 
-    packed = postings(docs, width, percent, common_shingles(rows), buckets)
+    packed = postings(docs, how, percent, common_shingles(rows), buckets)
     posts = checkpoint(packed.repartitionById(buckets, "bucket").mapInArrow(_unpack, "token long, node binary"))
     del packed
     free(spark)
@@ -569,7 +580,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, width: int = WID
     lead = checkpoint(posts.groupBy("token").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").select("token", "lead"))
     posts = checkpoint(posts.join(lead, "token").select("lead", "token", "id", "n"))
     free(spark)
-    group = components(tree_links(posts, docs, width, percent, buckets))
+    group = components(tree_links(posts, docs, how, percent, buckets))
 
     reps = checkpoint(classes.join(group, "id", "left").select("node", F.coalesce("component", "id").alias("component_id")))
     out = named.join(reps, "node", "left")

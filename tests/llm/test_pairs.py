@@ -85,6 +85,17 @@ def test_shingle_sets():
     assert [len(s) for s in got] == [len(shingles(t, 4)) for t in texts]
     same = shingle_sets([b"A b C d", b"q", b"a B c D"], 4)
     assert same[0].tolist() == same[2].tolist()
+    keyed = [shingle_sets([b"A b C d"], 4, k)[0].tolist() for k in (b"1", b"1", b"2")]
+    assert keyed[0] == keyed[1] != keyed[2]
+
+
+def test_words_made_to_collide(spark):
+    """Pairs that met under the unkeyed hash of an earlier version: no link."""
+    pairs = [("abcdefghijklmnop", "_z>.(-07hw#@q7q="), ("a\0", "a"), ("abcdefgh\0", "abcdefgh"), ("x" * 600, "x" * 601)]
+    for tail in ("", " x y z", " x y z w v"):
+        rows = [(i, w + tail) for i, w in enumerate(w for pair in pairs for w in pair)]
+        got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 85, 4).collect()}
+        assert got == {i: i for i, _ in rows}
 
 
 @pytest.mark.parametrize(("percent", "width"), [(85, 4), (80, 5)])
