@@ -10,7 +10,7 @@ from sparklogs.operators import stats
 from sparklogs.operators.events import parse_log_events
 from sparklogs.plans.search import kept_search, log_search, matches
 from sparklogs.queries import KEYS, LOGS_SQL, RULE, SPEC, SQL, START, STATS, TRANSFERS_SQL, _messages, _renamed, logs, query, transfers_log
-from sparklogs.shared import children, move, new_folder
+from sparklogs.shared import checkpoint, children, move, new_folder
 from sparklogs.sources import archive, files, messages, topics
 from sparklogs.streaming import jobs
 
@@ -191,7 +191,8 @@ def log_search_grouptable(spark, sf_dir):
 def log_search_all(spark, sf_dir):
     """Rows of all four tables of one search."""
     with kept_search(logs(spark, sf_dir), SPEC, START) as tables:
-        return spark.createDataFrame([(name, table.count()) for name, table in tables.items()], "result string, n long")
+        counts = [table.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("result"), "n") for name, table in tables.items()]
+        return checkpoint(topics.union_all(counts))
 
 
 @query(f"""SELECT bucket, CASE WHEN count(gid) = 0 THEN '[]' ELSE '[' || string_agg('{{"gid":' || gid || ',"count_user":' || count_user || ',"sum_k":' || sum_k || '}}', ',' ORDER BY gid) || ']' END AS events
@@ -236,11 +237,18 @@ def stream_flow_totals(spark, sf_dir):
     return _drained(jobs.stream_flow_totals(topics.from_topic(_topic(spark, rows)), "1 hour", "30 minutes", "1 minute", F.lit(1 << 60)))
 
 
-@query(SQL["log_search_meta"])
+@query(f"""SELECT 'matchchart' AS result, concat_ws('|', bucket, search_count) AS "row" FROM ({SQL['match_chart']})
+  UNION ALL SELECT 'logtable', concat_ws('|', timestamp, level, location, host, "user", action, k, seq, message) FROM ({SQL['log_table']})
+  UNION ALL SELECT 'grouptable', concat_ws('|', bucket, gid, count_user, sum_k) FROM ({SQL['group_table_long']})
+  UNION ALL SELECT 'meta', concat_ws('|', gid, action, count_user, sum_k) FROM ({SQL['log_search_meta']})""")
 def stream_search(spark, sf_dir):
-    out = new_folder(spark, "search")
-    jobs.stream_search(_topic(spark, logs(spark, sf_dir)), SPEC, out, f"{out}/state", trigger={"availableNow": True}, now_ms=lambda: START + RULE.window_ms).awaitTermination()
-    return spark.read.parquet(f"{out}/meta").drop("query_time")
+    """All four tables of one stream, after three batches."""
+    rows, out = logs(spark, sf_dir), new_folder(spark, "search")
+    stream = messages.read_messages(spark, _published(spark, rows, ["seq"]), ["app"], f"{out}/position", "earliest", -(-rows.count() // 3))
+    _ended(jobs.stream_search(stream, SPEC, out, f"{out}/state", trigger=_AT_ONCE, now_ms=lambda: START + RULE.window_ms))
+    columns = {"matchchart": ["bucket", "search_count"], "logtable": ["timestamp", "level", "location", "host", "user", "action", "k", "seq", "message"], "grouptable": ["bucket", "gid", "count_user", "sum_k"], "meta": ["gid", "action", "count_user", "sum_k"]}
+    told = lambda name: spark.read.parquet(f"{out}/{name}").select(F.lit(name).alias("result"), F.concat_ws("|", *[F.col(c).cast("string") for c in columns[name]]).alias("row"))
+    return topics.union_all([told(name) for name in columns])
 
 
 @query(f"WITH {LOGS_SQL} SELECT timestamp, level, location, host, message FROM logs")

@@ -89,9 +89,10 @@ def time_grid(spark, rule: TimeRule, start_ms: int, tz: str = "UTC") -> DataFram
     return spark.range(1).select(F.explode(F.array_distinct(at)).alias("at")).select(format_time(F.col("at"), tz).alias("bucket"))
 
 
-def match_chart(df: DataFrame, rule: TimeRule, start_ms: int, tz: str = "UTC") -> DataFrame:
-    """(bucket, search_count) on the dense grid; rows after its last bucket are in no bucket."""
-    counts = df.groupBy(time_bucket(F.col("timestamp"), rule.bucket_ms, tz).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+def match_chart(df: DataFrame, rule: TimeRule, start_ms: int, tz: str = "UTC", weight: str | None = None) -> DataFrame:
+    """(bucket, search_count) on the dense grid; rows after its last bucket are in no bucket. A row counts once, or as often as its `weight` says."""
+    count = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.groupBy(time_bucket(F.col("timestamp"), rule.bucket_ms, tz).alias("bucket")).agg(count.alias("n"))
     grid = time_grid(df.sparkSession, rule, start_ms, tz)
     return grid.join(counts, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).alias("search_count"))
 

@@ -30,15 +30,22 @@ def write_topic(messages: DataFrame, servers: str | None = None, folder: str | N
         messages.write.mode("append").partitionBy("topic").parquet(folder)
 
 
-def read_topic(spark: SparkSession, topic: str, servers: str | None = None, folder: str | None = None, starting: str = "latest", max_per_batch: int | None = None) -> DataFrame:
+def read_topic(spark: SparkSession, topic: str, servers: str | None = None, folder: str | None = None, starting: str | None = None, max_per_batch: int | None = None) -> DataFrame:
     """A stream of (topic, value) from a broker, or from a folder that `write_topic` fills."""
     return read_topics(spark, [topic], servers, folder, starting, max_per_batch)
 
 
-def read_topics(spark: SparkSession, topics: list[str], servers: str | None = None, folder: str | None = None, starting: str = "latest", max_per_batch: int | None = None) -> DataFrame:
-    """One stream of several topics; each message keeps its topic."""
+def read_topics(spark: SparkSession, topics: list[str], servers: str | None = None, folder: str | None = None, starting: str | None = None, max_per_batch: int | None = None) -> DataFrame:
+    """One stream of several topics; each message keeps its topic.
+
+    From a broker `starting` is "latest" unless given and `max_per_batch` counts
+    messages. A folder is read from its beginning and `max_per_batch` counts files;
+    `messages.read_messages` has a start and counts messages there too.
+    """
+    if not servers and starting is not None:
+        raise ValueError("a folder has no start: see messages.read_messages")
     if servers:
-        reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", ",".join(topics)).option("startingOffsets", starting)
+        reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", ",".join(topics)).option("startingOffsets", starting or "latest")
         if max_per_batch:
             reader = reader.option("maxOffsetsPerTrigger", max_per_batch)
         return reader.load().select("topic", F.col("value").cast("string").alias("value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import zlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,9 +13,9 @@ from sparklogs.functions.times import bucket_start
 from sparklogs.operators.extract import extract_fields
 from sparklogs.operators.filters import drop_incomplete, keyword_match, search_filter
 from sparklogs.operators.segments import MAX_BYTES
-from sparklogs.operators.stats import Stat
+from sparklogs.operators.stats import Stat, group_meta, group_table, log_table, match_chart, time_grid
 from sparklogs.operators.traffic import parse_transfers
-from sparklogs.plans.search import SearchSpec, log_search
+from sparklogs.plans.search import SearchSpec
 from sparklogs.shared import children, remove
 from sparklogs.sources.archive import write_archive
 from sparklogs.sources.files import TopicSpec, collect_topics, load_manifest, save_manifest
@@ -82,31 +82,67 @@ def stream_late_split(stream: DataFrame, out: str, checkpoint: str, delay_ms: in
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 
 
-def stream_search(stream: DataFrame, spec: SearchSpec, out: str, checkpoint: str, tz: str = "UTC", trigger: dict | None = None, now_ms=lambda: int(time.time() * 1000)) -> StreamingQuery:
-    """The search of a trailing window, run again for every micro-batch of `stream (topic, value)`.
+def _panes(rows: DataFrame, spec: SearchSpec) -> DataFrame:
+    """(minute, timestamp, keys, _n, statistics): rows by minute, bucket start and keys, in sums that can be added up."""
+    at = bucket_start(F.col("timestamp"), spec.time_rule.bucket_ms)
+    keys = [F.col(f"`{k}`") for k in spec.keys]
+    return rows.withColumn("_at", at).groupBy("minute", "_at", *keys).agg(F.count(F.lit(1)).alias("_n"), *[s.column() for s in spec.stats]).withColumnRenamed("_at", "timestamp")
 
-    Matching rows are kept in a folder per micro-batch and minute; a run reads the
-    minutes of its window and drops micro-batches that lie before it. One that runs
-    again replaces its own rows. Results are written under out/<table>/query_time=<ms>.
+
+def _latest(rows: DataFrame, limit: int) -> DataFrame:
+    """The rows of each minute that can be among the latest `limit`."""
+    order = Window.partitionBy("minute").orderBy(F.floor(F.col("timestamp") / 1000).desc(), F.col("seq").desc())
+    return rows.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= limit).drop("_rank")
+
+
+def stream_search(stream: DataFrame, spec: SearchSpec, out: str, checkpoint: str, tz: str = "UTC", trigger: dict | None = None, now_ms=lambda: int(time.time() * 1000), limit: int = 100) -> StreamingQuery:
+    """The search of a trailing window, run again for every micro-batch of `stream (topic, value[, offset])`.
+
+    A micro-batch adds its own panes, counts and sums by minute, bucket and keys, and
+    the latest rows of each minute. A run puts the panes of the window's whole
+    minutes together; rows, which are sorted by minute, are read again only for the
+    minutes that its ends cut.
+    What lies before the window isn't kept, and micro-batches that do are dropped.
+    One that runs again replaces its own part. Results are written under
+    out/<table>/query_time=<ms>. Statistics must be counts and sums, which add up.
     """
-    rows = from_topic(stream)
+    if odd := [s.alias for s in spec.stats if callable(s.fn)]:
+        raise ValueError(f"statistics that don't add up over minutes: {odd}")
+    rows = from_topic(stream, [c for c in ("offset",) if c in stream.columns])
     found = drop_incomplete(extract_fields(search_filter(rows, [keyword_match(F.col("message"), spec.keyword), *spec.conditions]), spec.extracts))
+    add = [Stat(F.sum, s.alias, s.alias) for s in spec.stats]
 
     def batch(df: DataFrame, number: int) -> None:
-        spark, kept = df.sparkSession, f"{out}/_rows"
-        now = now_ms()
+        spark, now = df.sparkSession, now_ms()
         start = now - spec.time_rule.window_ms
-        minute = bucket_start(F.col(_STATE), 60_000).alias("minute")
-        order = F.lit(number).cast("long") * (1 << 40) + F.monotonically_increasing_id() % (1 << 40)
-        df.select("*", order.alias("seq"), minute).write.mode("overwrite").partitionBy("minute").parquet(f"{kept}/batch={number}")
-        for old in children(spark, kept):
-            minutes = [m.split("=")[1] for m in children(spark, f"{kept}/{old}") if m.startswith("minute=")]
-            if old != f"batch={number}" and all(m.isdigit() and int(m) < start - 60_000 for m in minutes):
-                remove(spark, f"{kept}/{old}")
-        window = spark.read.schema(df.schema.add("seq", "long").add("minute", "long").add("batch", "long")).parquet(kept).where(F.col("minute") >= start - start % 60_000).drop("minute", "batch")
-        again = SearchSpec("", spec.time_rule, [], spec.keys, spec.stats)
-        for name, result in log_search(window, again, start, tz).items():
+        first = start - start % 60_000
+        place = F.col("offset") if "offset" in df.columns else F.lit(number).cast("long") * (1 << 40) + F.monotonically_increasing_id() % (1 << 40)
+        minute = bucket_start(F.col(_STATE), 60_000)
+        mine = df.withColumns({"seq": place, "minute": minute}).drop("offset").where(F.col("minute") >= first).persist()
+        parts = {"_rows": mine, "_panes": _panes(mine, spec), "_latest": _latest(mine, limit)}
+        for name, part in parts.items():
+            part.sortWithinPartitions("minute").write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
+        read = lambda name: spark.read.schema(parts[name].schema).parquet(f"{out}/{name}/*")
+        whole = (F.col("minute") > start) & (F.col("minute") <= now - 60_000)
+        cut = read("_rows").where((F.col("minute") <= start) | (F.col("minute") > now - 60_000)).where((F.col("timestamp") > start) & (F.col("timestamp") < now))
+        panes = read("_panes").where(whole).unionByName(_panes(cut, spec)).drop("minute")
+        latest = read("_latest").where(whole).unionByName(cut).drop("minute")
+        rule = spec.time_rule
+        tables = {
+            "matchchart": match_chart(panes, rule, start, tz, "_n"),
+            "logtable": log_table(latest, limit, tz),
+            "grouptable": group_table(panes, spec.keys, add, rule, start, tz) if spec.keys else time_grid(spark, rule, start, tz),
+            "meta": group_meta(panes, spec.keys, add),
+        }
+        for name, result in tables.items():
             result.write.mode("overwrite").parquet(f"{out}/{name}/query_time={now}")
+        mine.unpersist()
+        batches = spark.read.schema("minute long, batch long").option("basePath", f"{out}/_panes").parquet(f"{out}/_panes")
+        live = {f"batch={r.batch}" for r in batches.where(F.col("minute") >= first).select("batch").distinct().collect()}
+        for old in children(spark, f"{out}/_rows"):
+            if old != f"batch={number}" and old not in live:
+                for name in parts:
+                    remove(spark, f"{out}/{name}/{old}")
 
     return found.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 

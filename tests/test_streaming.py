@@ -1,8 +1,15 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
+from sparklogs.operators.extract import extract_fields
+from sparklogs.operators.filters import drop_incomplete, keyword_filter
 from sparklogs.operators.stats import PRESETS, Stat
-from sparklogs.plans.search import SearchSpec
-from sparklogs.sources.topics import from_topic, read_topics, to_topic, write_topic
+from sparklogs.plans.search import SearchSpec, log_search
+from sparklogs.shared import children
+from sparklogs.sources.topics import from_topic, read_topics, to_topic, union_all, write_topic
+from sparklogs.streaming import jobs
 from sparklogs.streaming.jobs import stream_flow_totals, stream_group_stats, stream_late_split, stream_search
 
 NOW = 1_700_000_040_000
@@ -41,6 +48,60 @@ def test_search_and_series(spark, tmp_path):
     assert 0 < total <= 11
 
 
+def test_search_over_batches_and_cut_minutes(spark, tmp_path):
+    """The tables of each batch against the search over all rows so far; a batch runs again, windows begin and end inside minutes."""
+    rng = random.Random(4)
+    spec = SearchSpec("got", PRESETS["300"], [("k=* end", "k"), ("v=* end", "v")], ["k"], [Stat("count", "k"), Stat("sum", "v")])
+    rows = [(i, NOW - 700_000 + 4_000 * i + rng.randrange(-90_000, 90_000), f"got k={rng.randrange(3)} end v={rng.randrange(50)} end" if i % 7 else "none") for i in range(240)]
+    batches = []
+
+    class Writer:
+        def foreachBatch(self, function):
+            batches.append(function)
+            return self
+
+        def __getattr__(self, name):
+            return lambda *a, **k: self
+
+    clock = [0]
+    out = str(tmp_path / "s")
+    frames = {n: spark.createDataFrame(rows[80 * n : 80 * n + 80], "seq long, timestamp long, message string").selectExpr("timestamp", "'INFO' AS level", "'l' AS location", "'h' AS host", "message", "seq") for n in range(3)}
+
+    class Stream:
+        columns = ["topic", "offset", "value"]
+
+    def matching(df):
+        return drop_incomplete(extract_fields(keyword_filter(df, "got"), spec.extracts))
+
+    class Found:
+        writeStream = Writer()
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jobs, "from_topic", lambda *a: None)
+        patch.setattr(jobs, "search_filter", lambda *a: None)
+        patch.setattr(jobs, "keyword_match", lambda *a: None)
+        patch.setattr(jobs, "extract_fields", lambda *a: None)
+        patch.setattr(jobs, "drop_incomplete", lambda *a: Found())
+        stream_search(Stream(), spec, out, "state", now_ms=lambda: clock[0], limit=20)
+    seen = []
+    for n, now in ((0, NOW - 400_017), (1, NOW - 100_000), (1, NOW - 100_000), (2, NOW + 60_001)):
+        clock[0] = now
+        batches[0](matching(frames[n]).withColumnRenamed("seq", "offset"), n)
+        seen += [n] * (n not in seen)
+        want = log_search(union_all([frames[k] for k in seen]), spec, now - 300_000, limit=20)
+        for name, table in want.items():
+            got = spark.read.parquet(f"{out}/{name}/query_time={now}").select(*[f"`{c}`" for c in table.columns])
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, table.collect()), key=repr), (n, name)
+    assert children(spark, f"{out}/_rows") == children(spark, f"{out}/_panes") and "batch=0" not in children(spark, f"{out}/_rows")
+    with pytest.raises(ValueError, match="add up"):
+        stream_search(Stream(), SearchSpec("got", PRESETS["60"], [], ["k"], [Stat(F.max, "k", "top")]), out, "state")
+
+
+def test_a_folder_has_no_start(spark, tmp_path):
+    with pytest.raises(ValueError, match="no start"):
+        read_topics(spark, ["a"], folder=str(tmp_path), starting="latest")
+
+
 def test_flows(spark, tmp_path):
     folder = str(tmp_path / "t")
     line = "src: /10.0.0.1:1, dest: /10.0.0.2:2, bytes: 5, op: HDFS_READ, x"
