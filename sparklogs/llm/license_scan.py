@@ -1,16 +1,17 @@
 """License scans by conditional compression.
 
 A candidate block is a stretch of a text with enough of a template's words, wherever
-it stands and however its lines break. There the template is compared word by
-word, which confirms or rejects it and says what is worded differently; where
-confirmed stretches overlap, the one that says most stays, then the one whose raw
-zstandard dictionary saves most bytes.
+it stands and however its lines break. Blocks are compressed with each template that
+they may say as raw zstandard dictionary and ranked by the bytes that it saves;
+exact comparison of words confirms or rejects a template and says what is worded
+differently. Of blocks that overlap the one with the largest reduction stays.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -77,9 +78,14 @@ TEMPLATES = {
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0."],
     "Proprietary": ["All rights reserved.", "This software is proprietary and confidential.", "Unauthorized copying of this file, via any medium, is strictly prohibited."],
 }
+for _name, _texts in TEMPLATES.items():
+    if _name != "Proprietary":
+        _texts.append(f"SPDX-License-Identifier: {_name}")
 #: Words that tell licenses apart; a stretch that adds or lacks one is another license or none.
 IDENTIFYING = {"Affero", "Lesser", "Library", "MIT", "Apache", "Mozilla", "BSD", "GNU", "2-Clause", "3-Clause", "4-Clause", "CC0", "no", "No", "NO", "not", "Not", "NOT", *_CC, *_CC.values()}
 _WORD = re.compile(r"[\w.+-]*\w")
+#: A word right before a stretch that denies it.
+_DENIED = re.compile(r"\b(?:not|never|neither|nor)\s+(?:be\s+)?$", re.IGNORECASE)
 #: A confirmed stretch says at least this part of the template's words, in order.
 MIN_WORDING = 0.9
 
@@ -112,9 +118,9 @@ def _press(template: str) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=19, dict_data=primed, write_content_size=False, write_dict_id=False)
 
 
-def saving(block: bytes, template: str) -> float:
-    """Compressed bytes that the template saves, as a part of the template's own bytes."""
-    return (len(_press("").compress(block)) - len(_press(template).compress(block))) / max(1, len(template.encode()))
+def reduction(block: bytes, template: str) -> int:
+    """Compressed bytes that the template saves as raw dictionary."""
+    return len(_press("").compress(block)) - len(_press(template).compress(block))
 
 
 def wording(block: str, template: str) -> tuple[float, int, int, str]:
@@ -142,8 +148,8 @@ def wording(block: str, template: str) -> tuple[float, int, int, str]:
     return sum(m.size for m in hits) / len(meant), first.start(), last.end(), " ".join(differs)
 
 
-def _stretches(said: list[str], meant: list[str], need: int) -> list[tuple[int, int]]:
-    """(first word, words in common) of stretches with `need` words of `meant` in any order: the best comes first, of equal ones in a row the last."""
+def _counts(said: list[str], meant: list[str]) -> list[int]:
+    """For each word how many of `meant` are among the next `_reach` words, in any order."""
     wanted, span = Counter(meant), _reach(len(meant))
     have: Counter = Counter()
     common, counts = 0, []
@@ -155,30 +161,35 @@ def _stretches(said: list[str], meant: list[str], need: int) -> list[tuple[int,
             have[said[k - span]] -= 1
             common -= have[said[k - span]] < wanted[said[k - span]]
         counts.append(common)
-    counts = counts[span - 1 :]  # by first word
-    best = [k for k, c in enumerate(counts) if c >= need and (k + 1 == len(counts) or counts[k + 1] != c)]
-    return sorted(((k, counts[k]) for k in best), key=lambda x: (-x[1], x[0]))
+    return counts[span - 1 :]
 
 
 def _confirmed(text: str, words: list[re.Match], template: str, min_wording: float):
-    """(words said, wording, differences, start, end) of the non-overlapping stretches of a block that say the template."""
+    """(words said, wording, differences, start, end) of the non-overlapping stretches of a text that say the template, from left to right in one pass.
+
+    Words are compared where enough of the template's words are in reach and it may
+    begin: at its first word, and where the number in reach falls again.
+    """
     meant = _meant(template)
     need = _need(template, min_wording)
-    rest = [words]
-    while rest:
-        words = rest.pop()
-        said = [w.group() for w in words]
-        if sum((Counter(said) & Counter(meant)).values()) < need:
+    said = [w.group() for w in words]
+    counts = _counts(said, meant)
+    k = free = 0  # the first word that no stretch has
+    while k < len(counts):
+        if counts[k] < need or said[k] != meant[0] and k + 1 < len(counts) and counts[k + 1] >= counts[k]:
+            k += 1
             continue
-        for first, _ in _stretches(said, meant, need):
-            before = max(0, first - (len(meant) - need))
-            some = words[before : first + _reach(len(meant))]
-            origin = some[0].start()
-            part, s, e, differs = wording(text[origin : some[-1].end()], template)
-            if part >= min_wording and not IDENTIFYING & {w[1:] for w in differs.split()}:
-                yield round(part * len(meant)), part, differs, origin + s, origin + e
-                rest += [[w for w in words if w.end() <= origin + s], [w for w in words if w.start() >= origin + e]]
-                break
+        before = max(free, k - (len(meant) - need))
+        some = words[before : k + _reach(len(meant))]
+        origin = some[0].start()
+        part, s, e, differs = wording(text[origin : some[-1].end()], template)
+        s, e = origin + s, origin + e
+        k += 1
+        if part >= min_wording and not IDENTIFYING & {w[1:] for w in differs.split()} and not _DENIED.search(text, max(0, s - 16), s):
+            yield round(part * len(meant)), part, differs, s, e
+            while before < len(words) and words[before].start() < e:
+                before += 1
+            k = free = max(k, before)
 
 
 def scan(text: str | None, templates: dict[str, list[str]] = TEMPLATES, min_wording: float = MIN_WORDING) -> list[dict]:
@@ -193,11 +204,14 @@ def scan(text: str | None, templates: dict[str, list[str]] = TEMPLATES, min_word
             if len(_distinct(template) - have) > len(_meant(template)) - _need(template, min_wording):
                 continue
             for said, part, differs, s, e in _confirmed(text, words, template, min_wording):
-                saved = saving(text[s:e].encode("utf-8", "replace"), template)
-                tried.append((len(differs.split()) - said, -part, -saved, name, s, e, saved, differs))
+                reduced = reduction(text[s:e].encode("utf-8", "replace"), template)
+                tried.append((-reduced, len(differs.split()) - said, -part, name, s, e, reduced / max(1, len(template.encode())), differs))
     out: list[dict] = []
-    for _, part, _, name, s, e, saved, differs in sorted(tried):
-        if all(e <= x["start"] or x["end"] <= s for x in out):
+    taken: list[tuple[int, int]] = []  # in order
+    for _, _, part, name, s, e, saved, differs in sorted(tried):
+        at = bisect_left(taken, (s, e))
+        if (at == 0 or taken[at - 1][1] <= s) and (at == len(taken) or e <= taken[at][0]):
+            taken.insert(at, (s, e))
             out.append({"license": name, "start": s, "end": e, "saved": saved, "wording": -part, "differs": differs})
     return sorted(out, key=lambda x: x["start"])
 

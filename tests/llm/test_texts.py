@@ -364,3 +364,21 @@ def test_bpe_of_a_long_word_is_linear():
     word = "".join(random.Random(5).choice("thaneriosdlu") for _ in range(400_000))
     began = time.process_time()
     assert one.propose(word.encode()) and time.process_time() - began < 5
+
+
+@pytest.mark.parametrize("unit", ["All rights reserved. foo bar. ", "Released under the MIT License. ", "This work is licensed under the GNU General Public License, version 3. "])
+def test_many_notices_take_time_in_proportion(unit):
+    took = []
+    for n in (500, 4000):
+        began = time.process_time()
+        assert len(license_scan.scan(unit * n)) == n
+        took.append(time.process_time() - began)
+    assert took[1] < 24 * took[0] + 1
+
+
+def test_denied_notices_and_tags():
+    names = lambda text: [f["license"] for f in license_scan.scan(text)]
+    assert names("Not Released under the MIT License.") == []
+    assert names("// SPDX-License-Identifier: Apache-2.0\n# SPDX-License-Identifier: GPL-3.0") == ["Apache-2.0", "GPL-3.0"]
+    both = license_scan.TEMPLATES["GPL-2.0"][1] + "\n" + license_scan.TEMPLATES["GPL-3.0"][1]
+    assert names(both) == ["GPL-2.0", "GPL-3.0"]
