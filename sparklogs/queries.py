@@ -202,7 +202,7 @@ def parse_log_line_query(spark, sf_dir):
 @query("""WITH s AS (SELECT conv_id, turn, coalesce(text, '') AS text, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS event FROM conversations)
   SELECT conv_id, CAST(event AS BIGINT) AS event, min(turn) AS "offset", string_agg(text, chr(10) ORDER BY turn) AS text FROM s GROUP BY 1, 2""")
 def assemble_events_query(spark, sf_dir):
-    return assemble_events(_table(spark, sf_dir, "conversations"), ["conv_id"], "turn", F.col("role") == "user", line="text")
+    return assemble_events(_table(spark, sf_dir, "conversations"), ["conv_id"], "turn", F.col("role") == "user", line="text").drop("piece")
 
 
 @query(f"WITH {LOGS_SQL} SELECT timestamp, level, location, host, message FROM logs")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from sparklogs.functions.parsing import extract_field, parse_log_line, template_regex
 from sparklogs.functions.times import archive_path, format_time, parse_time, path_timestamp, time_bucket
-from sparklogs.operators.events import parse_log_events
+from sparklogs.operators.events import assemble_events, parse_log_events
 from sparklogs.operators.extract import extract_fields, route_first_match
 
 TZ = "Asia/Shanghai"
@@ -110,3 +110,22 @@ def test_route_takes_the_first_rule(spark):
     rules = [("x", m.contains("x"), F.struct(m)), ("y", m.contains("y"), F.struct(m))]
     assert [tuple(r) for r in route_first_match(df, rules).select("i", "rule").orderBy("i").collect()] == [(1, "x"), (2, "y")]
     assert route_first_match(df, []).count() == 0
+
+
+def test_events_in_pieces(spark):
+    """A file without a header is many rows; a long event with one is an error that names the file."""
+    lines = [("none", 10 * i, f"text {i}") for i in range(40)]
+    lines += [("some", 0, "before"), ("some", 10, "2021-03-04 05:06:07,089 INFO a: one"), ("some", 60, "more"), ("some", 75, "x"), ("some", 80, "2021-03-04 05:06:07,089 INFO a: two")]
+    df = spark.createDataFrame(lines, "file string, offset long, line string")
+    starts = F.col("line").startswith("2021")
+    got = sorted((r.file, r.event, r.piece, r.offset, r.text) for r in assemble_events(df, ["file"], "offset", starts, F.floor(F.col("offset") / 30), piece=65).collect())
+    pieces = {}
+    for f, o, line in lines[:40]:
+        pieces.setdefault((f, 0, o // 65), []).append((o, line))
+    want = [(*k, v[0][0], "\n".join(line for _, line in v)) for k, v in pieces.items()]
+    want += [("some", 0, 0, 0, "before"), ("some", 1, 0, 10, lines[41][2] + "\nmore"), ("some", 1, 1, 75, "x"), ("some", 2, 0, 80, lines[44][2])]
+    assert got == sorted(want)
+    whole = parse_log_events(df, piece=66)
+    assert sorted(r.message for r in whole.collect()) == ["one\nmore\nx", "two"]
+    with pytest.raises(Exception, match="more than 65 bytes in some"):
+        parse_log_events(df, piece=65).collect()
