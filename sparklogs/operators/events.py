@@ -21,21 +21,22 @@ def running_count(df: DataFrame, flag: Column, keys: list[str], order: list[str]
     and the totals of earlier chunks are added, so that a key of any size is spread
     over tasks; one row a chunk is all that a key has in one place. `latest (name,
     value)`: also the largest value so far.
+
+    Rows and totals meet by a shuffle, which is the one that the counts need: rows
+    that a Python function makes of a few splits look small, and would be sent whole
+    to all tasks. Keys are one struct, in which nulls are equal.
     """
     value = F.lit(None).cast("long") if latest is None else latest[1]
-    df = df.withColumns({"_chunk": chunk, "_flag": F.coalesce(flag.cast("long"), F.lit(0)), "_value": value})
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    totals = df.groupBy(*keys, "_chunk").agg(F.sum("_flag").alias("_total"), F.max("_value").alias("_top"))
-    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumns({"_part": F.struct(*keys, chunk.alias("_chunk")), "_flag": F.coalesce(flag.cast("long"), F.lit(0)), "_value": value})
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    totals = df.groupBy("_part").agg(F.sum("_flag").alias("_total"), F.max("_value").alias("_top"))
+    earlier = Window.partitionBy(*[F.col(f"_part.`{k}`") for k in keys]).orderBy("_part._chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumns({"_before": F.coalesce(F.sum("_total").over(earlier), F.lit(0)), "_above": F.max("_top").over(earlier)}).drop("_total", "_top")
-    same = [df[k].eqNullSafe(totals[k]) for k in [*keys, "_chunk"]]
-    joined = df.join(totals, same)
-    for k in [*keys, "_chunk"]:
-        joined = joined.drop(totals[k])
+    joined = df.join(totals.hint("shuffle_hash"), "_part")
     found = {name: F.sum("_flag").over(inside) + F.col("_before")}
     if latest is not None:
         found[latest[0]] = F.greatest(F.max("_value").over(inside), F.col("_above"))
-    return joined.withColumns(found).drop("_chunk", "_flag", "_value", "_before", "_above")
+    return joined.withColumns(found).drop("_part", "_flag", "_value", "_before", "_above")
 
 
 def assemble_events(lines: DataFrame, file_key: list[str], order: str, is_start: Column, chunk: Column | None = None, line: str = "line", piece: int = PIECE) -> DataFrame:

@@ -17,8 +17,8 @@ from sparklogs.operators.events import parse_log_events
 from sparklogs.schemas import MANIFEST
 from sparklogs.shared import checkpoint, children, exists
 
-#: Bytes of a file that one task reads, and that it holds at a time.
-SPLIT_BYTES, BLOCK_BYTES = 128 << 20, 1 << 20
+#: Bytes of a split of a file, and of it that a task holds at a time.
+SPLIT_BYTES, BLOCK_BYTES = 16 << 20, 1 << 20
 
 Order = str | Callable[[Column], list[Column]]
 
@@ -66,6 +66,11 @@ def _open(path: str):
     return store.open_input_file(inside)
 
 
+def _dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """`rows` over all tasks. Their number is given, as small rows that stand for much work would be put together in one task otherwise."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, *keys)
+
+
 def _lines_of(file, start: int, stop: int, size: int, meter=None):
     """(offset, line) of the lines that begin in [start, stop) of a file of `size` bytes, \\n not included."""
     at = max(0, start - 1)
@@ -137,7 +142,7 @@ def read_ranges(files: DataFrame, meter=None) -> DataFrame:
 
         yield from _batches(rows(), ["path", "offset", "line"])
 
-    dealt = splits.select("path", "size", "from", "to").repartition("path", "from")
+    dealt = _dealt(splits.select("path", "size", "from", "to"), "path", "from")
     return dealt.mapInArrow(each, "path string, offset long, line binary").withColumn("line", F.col("line").cast("string"))
 
 
@@ -164,7 +169,7 @@ def first_lines(files: DataFrame, meter=None) -> DataFrame:
                         lines.append(line)
             yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(lines, pa.binary())], ["path", "first_line"])
 
-    dealt = files.where("size > 0").select("path", "size").repartition("path")
+    dealt = _dealt(files.where("size > 0").select("path", "size"), "path")
     return dealt.mapInArrow(each, "path string, first_line binary").withColumn("first_line", F.col("first_line").cast("string"))
 
 

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from sparklogs.operators.events import assemble_events, parse_log_events
 from sparklogs.sources import files
 from sparklogs.sources.files import TopicSpec, build_manifest, collect_topics, diff_manifest, discover_files, load_manifest, read_lines, save_manifest
 from sparklogs.streaming.jobs import run_collector
@@ -150,3 +151,22 @@ def test_several_topics_are_one_plan(spark, tmp_path):
     got = sorted((r.topic, r.file_ord, r.offset, r.message) for r in events.collect())
     assert got == [("a", 1, 0, "old 1"), ("a", 2, 0, "mid 2"), ("a", 3, 0, "new 3\nmore"), ("b", 1, 0, "hello"), ("c", 1, 0, "other"), ("twice", 1, 0, "hello")]
     assert now.count() == 6
+
+
+def test_events_of_files_take_many_tasks_and_no_line_is_sent_to_all(spark, tmp_path):
+    for k in range(6):
+        (tmp_path / f"app.log.{k}").write_text("".join(f"2024-01-0{k + 1} 06:30:00,000 INFO a.b: m{i}\n  at x\n" for i in range(50)))
+    paths = [str(tmp_path / f"app.log.{k}") for k in range(6)]
+    lines = read_lines(spark, paths)
+    assert lines.select(F.spark_partition_id()).distinct().count() > 1
+    assert files.first_lines(files._listed(spark, paths)).select(F.spark_partition_id()).distinct().count() > 1
+    events = parse_log_events(lines, F.lit("box"))
+    kept = events.toDF(*events.columns)
+    assert len(kept.collect()) == 300
+    assert "BroadcastExchange" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_numbers_of_null_keys_and_chunks(spark):
+    rows = spark.createDataFrame([(None, 0, "+"), (None, 1, "a"), (None, 70000, "+"), ("x", 0, "b"), ("x", 90000, "+")], "file string, offset long, line string")
+    got = assemble_events(rows, ["file"], "offset", F.col("line") == "+").select("file", "event", "offset", "text").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 1, 0, "+\na"), (None, 2, 70000, "+"), ("x", 0, 0, "b"), ("x", 1, 90000, "+")], key=str)
