@@ -170,3 +170,10 @@ def test_numbers_of_null_keys_and_chunks(spark):
     rows = spark.createDataFrame([(None, 0, "+"), (None, 1, "a"), (None, 70000, "+"), ("x", 0, "b"), ("x", 90000, "+")], "file string, offset long, line string")
     got = assemble_events(rows, ["file"], "offset", F.col("line") == "+").select("file", "event", "offset", "text").collect()
     assert sorted(map(tuple, got), key=str) == sorted([(None, 1, 0, "+\na"), (None, 2, 70000, "+"), ("x", 0, 0, "b"), ("x", 1, 90000, "+")], key=str)
+
+
+def test_no_regex_over_the_path_of_each_line(spark, tmp_path):
+    put(tmp_path, app__log="2024-01-01 06:30:00,000 INFO a.b: m\n")
+    events, _ = collect_topics(spark, {"t": TopicSpec(str(tmp_path), "^app[.]log")}, load_manifest(spark, str(tmp_path / "none")), "box")
+    assert events.count() == 1
+    assert "([^/]*)$" not in events._jdf.queryExecution().optimizedPlan().toString()
