@@ -282,10 +282,10 @@ def _published(spark: SparkSession, rows: DataFrame, order: list[str], topic: st
 
 @query(f"WITH {LOGS_SQL}, c AS (SELECT count(*) AS n FROM logs) SELECT i AS batch, least(4000, n - 4000 * i) AS messages, 4000 * i AS first FROM c, range(100000) r(i) WHERE 4000 * i < n")
 def stream_batches(spark, sf_dir):
-    """Batches of at most 4,000 messages each."""
+    """Batches of at most 4,000 messages each, many of them in a micro-batch."""
     folder = new_folder(spark, "batches")
-    stream = messages.read_messages(spark, _published(spark, logs(spark, sf_dir), ["seq"]), ["app"], f"{folder}/position", "earliest", 4_000)
-    keep = lambda df, n: df.select("offset", F.lit(n).cast("long").alias("batch")).write.mode("overwrite").parquet(f"{folder}/out/{n}")
+    stream = messages.read_messages(spark, _published(spark, logs(spark, sf_dir), ["seq"]), ["app"], f"{folder}/position", "earliest", 4_000, per_trigger=100)
+    keep = lambda df, n: df.select("offset", "batch").write.mode("overwrite").parquet(f"{folder}/out/{n}")
     _ended(stream.writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/state").start())
     return spark.read.parquet(f"{folder}/out/*").groupBy("batch").agg(F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first"))
 

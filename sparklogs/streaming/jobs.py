@@ -50,8 +50,9 @@ def stream_archive(stream: DataFrame, base: str, checkpoint: str, max_bytes: int
 
     def batch(df: DataFrame, number: int) -> None:
         numbered = df.withColumn("seq", F.col("offset") if "offset" in df.columns else F.monotonically_increasing_id())
-        stamped = numbered.withColumn("timestamp", F.get_json_object("value", "$.timestamp").try_cast("long"))
+        stamped = numbered.withColumn("timestamp", F.get_json_object("value", "$.timestamp").try_cast("long")).persist()  # it is gone over several times
         write_archive(stamped.where("timestamp IS NOT NULL"), base, max_bytes, batch=f"{name}.{number}")
+        stamped.unpersist()
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "5 seconds"})).start()
 

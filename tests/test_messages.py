@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparklogs.shared import children, put_new
-from sparklogs.sources.messages import publish, read_messages
+from sparklogs.sources.messages import _Reader, publish, read_messages
 
 
 def frame(spark, topic, numbers):
@@ -68,6 +68,35 @@ def test_a_start_before_any_batch_is_kept(spark, tmp_path):
     assert [o for _, o, _, _ in run(stream(), folder)] == [5, 6, 7]
 
 
+def test_many_batches_of_a_micro_batch(spark, tmp_path):
+    """Each keeps its bound and its number, also after a restart; a short one comes where the log ended."""
+    log, folder = str(tmp_path / "log"), str(tmp_path / "query")
+    publish(frame(spark, "a", range(25)), log, ["n"], per_file=4)
+    stream = lambda: read_messages(spark, log, ["a"], f"{folder}/position", "earliest", 4, per_trigger=5)
+
+    def batches():
+        keep = lambda df, n: df.withColumn("micro", F.lit(n)).write.mode("overwrite").parquet(f"{folder}/out/{n}")
+        query = stream().writeStream.foreachBatch(keep).option("checkpointLocation", f"{folder}/state").start()
+        query.processAllAvailable()
+        query.stop()
+        query.awaitTermination(60)
+        return sorted((r.offset, r.value, r.batch, r.micro) for r in spark.read.parquet(f"{folder}/out/*").collect())
+
+    got = batches()
+    assert got == [(i, f"m{i}", i // 4, i // 20) for i in range(25)]
+    publish(frame(spark, "a", range(25, 32)), log, ["n"])
+    assert batches() == got + [(i, f"m{i}", 7 + (i - 25) // 4, 2) for i in range(25, 32)]
+
+
+def test_a_task_reads_many_files(spark, tmp_path):
+    log = str(tmp_path / "log")
+    publish(frame(spark, "a", range(50)), log, ["n"], per_file=1)
+    reader = _Reader({"folder": log, "topics": '["a"]', "starting": "earliest", "per_batch": "100", "position": str(tmp_path / "p")})
+    parts = reader.partitions(reader.initialOffset(), reader.latestOffset())
+    assert len(parts) == 3
+    assert sorted(o for p in parts for b in reader.read(p) for o in b.column(1).to_pylist()) == list(range(50))
+
+
 def test_wrong_settings(spark, tmp_path):
     for more in ({"starting": "yesterday"}, {"max_per_batch": 0}):
         with pytest.raises(ValueError):  # noqa: PT011
