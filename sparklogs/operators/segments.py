@@ -2,28 +2,44 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparklogs.functions.times import utc_day
-from sparklogs.shared import checkpoint
+from sparklogs.functions.times import DAY_MS
+from sparklogs.shared import checkpoint, steps
 
 MAX_BYTES = 60 * 1024 * 1024
-#: Time of messages that one task merges with files.
+#: Time of messages that one task merges with files, at least.
 CHUNK_MS = 60_000
 #: Steps of the order, and bytes, that one task runs over.
 CHUNK_ROWS, CHUNK_BYTES = 1 << 16, 1 << 24
 
 
-def assign_existing_segment(messages: DataFrame, index: DataFrame, per_topic: bool = True) -> DataFrame:
+def _day(at: Column) -> Column:
+    return F.floor(at / DAY_MS)
+
+
+def chunk_ms(busiest: int) -> int:
+    """Length of the chunks of a day, where the busiest day of a topic has so many messages: spread evenly, a quarter of CHUNK_ROWS a chunk."""
+    return max(CHUNK_MS, DAY_MS // max(1, math.ceil(4 * busiest / CHUNK_ROWS)))
+
+
+def assign_existing_segment(messages: DataFrame, index: DataFrame, per_topic: bool = True, width_ms: int | None = None) -> DataFrame:
     """`messages` with `start_ts` of the file with the greatest start <= timestamp of the same UTC day (and topic), null if none.
 
     A floor join: files and messages are merged in time order inside chunks of a day,
     and a chunk starts with the last file of earlier ones, so that a day of any size
-    is spread over tasks. Null times find nothing.
+    is spread over tasks. `width_ms` is the length of a chunk, for which `chunk_ms` takes
+    the messages of the busiest day; without it chunks are short. Null times find nothing.
     """
+    width = width_ms or CHUNK_MS
     keys = ["_topic", "_day", "_chunk"] if per_topic else ["_day", "_chunk"]
-    place = lambda topic, at: {"_topic": F.coalesce(topic, F.lit("\0")), "_day": F.coalesce(utc_day(at), F.lit("")), "_chunk": F.coalesce(F.floor(at / CHUNK_MS), F.lit(0)), "_at": at}
+    place = lambda topic, at: {"_topic": F.coalesce(topic, F.lit("\0")), "_day": F.coalesce(_day(at), F.lit(0)), "_chunk": F.coalesce(F.floor(at / width), F.lit(0)), "_at": at}
     left = messages.withColumns({**place(F.col("topic"), F.col("timestamp")), "_start": F.lit(None).cast("long"), "_file": F.lit(0)})
     files = index.select(*[c.alias(n) for n, c in place(F.col("topic"), F.col("start_ts")).items()], F.col("start_ts").alias("_start"), F.lit(1).alias("_file"))
     both = left.unionByName(files, allowMissingColumns=True)
@@ -62,7 +78,7 @@ def _by_arrival(seq: str = "seq") -> Column:
     return F.floor(F.col(seq) / CHUNK_ROWS)
 
 
-def _next_rolls(peaks: DataFrame, late: DataFrame, max_bytes: int) -> DataFrame:
+def _next_rolls(peaks: DataFrame, late: DataFrame, max_bytes: int, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """`peaks` with `next`: the peak that would roll a file started at each.
 
     `peaks (keys, seq, ts, before, below)`: messages newer than all before them; `before`
@@ -71,56 +87,122 @@ def _next_rolls(peaks: DataFrame, late: DataFrame, max_bytes: int) -> DataFrame:
     before(q) - below(r) + missing(r, q) bytes, where `missing` counts `late (keys, seq,
     size, level)` messages that are below r and come after q. It starts as what comes
     after r, which gives a q that is never too far on, and falls from round to round
-    until nothing changes.
+    until nothing changes. Only peaks for which it fell look for their q again. What a
+    peak knows goes along through the running sums, so that no round joins peaks.
     """
-    keys = [*_DAY, "seq"]
-    found = peaks.withColumns({"missing": F.col("below") - F.col("before"), "next": F.lit(None).cast("long")})
-    spots = peaks.select(*_DAY, F.col("before").alias("value"), F.lit(1).alias("peak"), F.lit(None).cast("long").alias("seq"), F.col("seq").alias("spot"))
+    known = [*_DAY, "seq", "ts", "before", "below"]
+    found = peaks.withColumns({"missing": F.col("below") - F.col("before"), "next": F.lit(None).cast("long"), "ask": F.lit(True)})
+    spots = peaks.select(*_DAY, F.col("before").alias("value"), F.lit(1).alias("peak"), F.col("seq").alias("spot"))
     some = not late.isEmpty()
     while True:
-        asked = found.select(*_DAY, (F.col("below") + max_bytes - F.col("missing")).alias("value"), F.lit(0).alias("peak"), "seq", F.lit(None).cast("long").alias("spot"))
+        asked = found.where("ask").select(*known, "missing", F.col("next").alias("was"), (F.col("below") + max_bytes - F.col("missing")).alias("value"), F.lit(0).alias("peak"))
         chunk = F.floor(F.col("value") / CHUNK_BYTES)
-        met = _running(spots.union(asked), _DAY, chunk, [F.desc("value"), F.asc("peak")], {"next": ("min", F.col("spot"))}, falling=True)
-        was = found.withColumnRenamed("next", "was").drop("missing")
-        now = checkpoint(was.join(met.where("peak = 0").select(*keys, "next"), keys))
-        if not some or now.where("NOT next <=> was").isEmpty():
-            return now.drop("was")
+        met = _running(asked.unionByName(spots, allowMissingColumns=True), _DAY, chunk, [F.desc("value"), F.asc("peak")], {"next": ("min", F.col("spot"))}, falling=True)
+        met = kept(met.where("peak = 0").select(*known, "missing", "was", "next"))
+        now = found.where("NOT ask").select(*known, "missing", "next").union(met.select(*known, "missing", "next"))
+        if not some or met.where("NOT next <=> was").isEmpty():
+            return now.drop("missing")
         # the last r whose q had come when a late message came
         rolls = now.where("next IS NOT NULL").select(*_DAY, F.col("next").alias("at"), F.lit(0).alias("kind"), F.col("seq").alias("r"), F.lit(0).cast("long").alias("size"), F.lit(0).cast("long").alias("level"))
         comes = late.select(*_DAY, F.col("seq").alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("r"), "size", "level")
         last = _running(rolls.union(comes), _DAY, _by_arrival("at"), [F.asc("at"), F.asc("kind")], {"last": ("max", F.col("r"))}, inclusive=True)
-        last = last.where("kind = 1 AND last > level")
+        last = kept(last.where("kind = 1 AND last > level").select(*_DAY, "level", "last", "size"))
         # it is missing from all peaks after its level up to that one
-        steps = last.select(*_DAY, F.explode(F.array(F.struct(F.col("level").alias("seq"), F.col("size").alias("more")), F.struct(F.col("last").alias("seq"), (-F.col("size")).alias("more")))).alias("s")).select(*_DAY, "s.seq", F.lit(1).alias("step"), "s.more")
-        axis = now.select(*_DAY, "seq", F.lit(0).alias("step"), F.lit(0).cast("long").alias("more")).union(steps)
-        missing = _running(axis, _DAY, _by_arrival(), [F.asc("seq"), F.asc("step")], {"missing": ("sum", F.col("more"))})
-        found = checkpoint(now.drop("was").join(missing.where("step = 0").select(*keys, "missing"), keys))
+        falls = last.select(*_DAY, F.explode(F.array(F.struct(F.col("level").alias("seq"), F.col("size").alias("more")), F.struct(F.col("last").alias("seq"), (-F.col("size")).alias("more")))).alias("s")).select(*_DAY, "s.seq", F.lit(1).alias("step"), "s.more")
+        axis = now.withColumnRenamed("missing", "held").withColumns({"step": F.lit(0), "more": F.lit(0).cast("long")})
+        missing = _running(axis.unionByName(falls, allowMissingColumns=True), _DAY, _by_arrival(), [F.asc("seq"), F.asc("step")], {"missing": ("sum", F.col("more"))})
+        found = kept(missing.where("step = 0").select(*known, "missing", "next", (F.col("missing") != F.col("held")).alias("ask")))
+
 
+def _links(block: pa.Table) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """The place in its block that each peak points to (its own where that is outside), the pointers (-2: none), and the block in that order."""
+    block = block.sort_by("seq")
+    seq, to = block["seq"].to_numpy(), block["next"].fill_null(-2).to_numpy()
+    inside = (to >= 0) & (to <= seq[-1])
+    return np.where(inside, np.searchsorted(seq, to), np.arange(len(seq))), to, block
 
-def _roll_starts(seen: DataFrame, max_bytes: int) -> DataFrame:
+
+def _exits(block: pa.Table) -> pa.Table:
+    """The first pointer of each peak that leads out of its block, where there is one."""
+    place, to, block = _links(block)
+    while not np.array_equal(further := place[place], place):
+        place = further
+    out = block.select([*_DAY, "seq"]).append_column("next", pa.array(to[place], pa.int64()))
+    return out.filter(pa.array(to[place] >= 0))
+
+
+def _walked(block: pa.Table) -> pa.Table:
+    """The peaks that are reached in a block from the one where it is entered."""
+    place, _, block = _links(block)
+    at, reached = int(np.argmax(block["entered"].to_numpy())), []
+    while not reached or at != reached[-1]:
+        reached.append(at)
+        at = int(place[at])
+    return block.select([*_DAY, "seq", "ts"]).take(pa.array(reached))
+
+
+def _roll_starts(seen: DataFrame, max_bytes: int, width_ms: int, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(keys, start): times of the messages that open a file because of size.
 
     `seen (keys, seq, ts, size, before, top)` of the newest day of a topic as long as it
     is that, with the bytes and the newest time of what came before; a file that is
-    there already is a row before all others. Only a message newer than all before
-    it, a peak, can roll, whatever the sizes are. Each peak points to the next one at
-    which a file started there would roll; from the first one on pointers are
-    followed by doubling.
+    there already is a row before all others, and others are numbered without gaps.
+    Only a message newer than all before it, a peak, can roll, whatever the sizes
+    are. Each peak points to the next one at which a file started there would roll.
+    Blocks of CHUNK_ROWS messages tell where pointers lead out of them, those peaks
+    where a block can be entered are followed from block to block by doubling, and a
+    block that is entered is walked from there.
     """
     peak = F.coalesce(F.col("ts") > F.col("top"), F.lit(True))
     seen = seen.select(*_DAY, "seq", "ts", "size", "before", peak.alias("peak"), (~peak & (F.col("ts") < F.col("top"))).alias("late"))
     by_time = {"below": ("sum", F.col("size")), "level": ("max", F.when(F.col("peak"), F.col("seq")))}
-    placed = checkpoint(_running(seen, _DAY, F.floor(F.col("ts") / CHUNK_MS), [F.asc("ts"), F.asc("seq")], by_time))
+    placed = kept(_running(seen, _DAY, F.floor(F.col("ts") / width_ms), [F.asc("ts"), F.asc("seq")], by_time).where("peak OR late"))
     peaks = placed.where("peak").select(*_DAY, "seq", "ts", "before", "below")
     late = placed.where("late").select(*_DAY, "seq", "size", F.coalesce("level", F.lit(-2)).alias("level"))
-    found = _next_rolls(peaks, late, max_bytes)
-    jumps = found.where("next IS NOT NULL").select(*_DAY, "seq", "next")
-    marked = found.groupBy(*_DAY).agg(F.min("seq").alias("seq"))
+    found = _next_rolls(peaks, late, max_bytes, kept).select(*_DAY, "seq", "ts", "next", _by_arrival().alias("_block"))
+    place = ["_topic string", "_day long", "seq long"]
+    exits = kept(found.groupBy(*_DAY, "_block").applyInArrow(_exits, ", ".join([*place, "next long"])))
+    marked = kept(found.groupBy(*_DAY).agg(F.min("seq").alias("seq")))
+    entries = marked.union(exits.select(*_DAY, "next")).distinct()
+    jumps = kept(exits.join(entries, [*_DAY, "seq"], "left_semi"))
     while not jumps.isEmpty():
-        marked = checkpoint(marked.union(marked.join(jumps, [*_DAY, "seq"]).select(*_DAY, "next")))
+        marked = kept(marked.union(marked.join(jumps, [*_DAY, "seq"]).select(*_DAY, "next")))
         onward = jumps.select(*_DAY, F.col("seq").alias("next"), F.col("next").alias("then"))
-        jumps = checkpoint(jumps.join(onward, [*_DAY, "next"]).select(*_DAY, "seq", F.col("then").alias("next")))
-    return found.join(marked, [*_DAY, "seq"], "left_semi").where("seq >= 0").select(*_DAY, F.col("ts").alias("start"))
+        jumps = kept(jumps.join(onward, [*_DAY, "next"]).select(*_DAY, "seq", F.col("then").alias("next")))
+    entered = marked.select(*_DAY, _by_arrival().alias("_block"), F.col("seq").alias("_entry"))
+    walk = found.join(entered, [*_DAY, "_block"]).withColumn("entered", (F.col("seq") == F.col("_entry")).cast("int"))
+    starts = walk.groupBy(*_DAY, "_block").applyInArrow(_walked, ", ".join([*place, "ts long"]))
+    return starts.where("seq >= 0").select(*_DAY, F.col("ts").alias("start"))
+
+
+def _starts(sized: DataFrame, index: DataFrame | None, topic: Column, max_bytes: int, kept: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, int]:
+    """(topic, start_ts) of all files, those of `index` and new ones, for `sized (keys, seq, ts, size)`; and a length of chunks of a day."""
+    none = sized.limit(0).select("_topic", "_day", F.col("ts").alias("start"), "size", F.col("ts").alias("recent"))
+    files = none
+    if index is not None:
+        recent = F.greatest(F.coalesce("recent_ts", "start_ts"), "start_ts")
+        files = kept(index.select(topic.alias("_topic"), _day(F.col("start_ts")).alias("_day"), F.col("start_ts").alias("start"), "size", recent.alias("recent")))
+    there = files.groupBy(*_DAY).agg(F.min("start").alias("low"), F.max_by(F.struct("start", "size", "recent"), "start").alias("file"))
+    days = sized.groupBy(*_DAY).agg(F.min("seq").alias("first"), F.sum("size").alias("bytes"), F.count("seq").alias("n")).join(there, _DAY, "full")
+    first = F.when(F.col("file").isNotNull(), F.lit(-1)).otherwise(F.col("first"))
+    later = Window.partitionBy("_topic").orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    days = kept(days.withColumn("stop", F.coalesce(F.min(first).over(later), F.lit((1 << 63) - 1))))
+
+    width = chunk_ms(days.agg(F.max("n")).first()[0] or 0)  # one number
+    rows = sized.select(*_DAY, "seq", "ts", "size", F.col("ts").alias("high"))
+    newest = there.select(*_DAY, F.lit(-1).cast("long").alias("seq"), F.col("file.start").alias("ts"), "file.size", F.col("file.recent").alias("high"))
+    runs = {"before": ("sum", F.col("size")), "top": ("max", F.col("high")), "least": ("min", F.col("ts")), "rank": ("sum", (F.col("seq") >= 0).cast("long"))}
+    seen = _running(rows.union(newest) if index is not None else rows, _DAY, _by_arrival(), [F.asc("seq")], runs)
+    large = (F.coalesce("bytes", F.lit(0)) + F.coalesce("file.size", F.lit(0)) > max_bytes) & (F.col("stop") >= 0)
+    seen = kept(seen.join(days.select(*_DAY, "low", "stop", large.alias("large")), _DAY))
+    lows = (F.col("seq") >= 0) & F.coalesce(F.col("ts") < F.least("least", "low"), F.lit(True))
+    starts = seen.where(lows).select(*_DAY, F.col("ts").alias("start"))
+    rolling = seen.where("large AND seq < stop").select(*_DAY, F.when(F.col("seq") >= 0, F.col("rank")).otherwise(-1).alias("seq"), "ts", "size", "before", "top")
+    if not rolling.isEmpty():
+        starts = starts.union(_roll_starts(rolling, max_bytes, width, kept))
+    starts = starts.union(files.select(*_DAY, "start")).distinct()
+    known = checkpoint(starts.select(F.nullif("_topic", F.lit("\0")).alias("topic"), F.col("start").alias("start_ts")))
+    return known, width
 
 
 def assign_segments(messages: DataFrame, max_bytes: int = MAX_BYTES, index: DataFrame | None = None, order: str = "seq", per_topic: bool = True) -> DataFrame:
@@ -139,37 +221,14 @@ def assign_segments(messages: DataFrame, max_bytes: int = MAX_BYTES, index: Data
     first message or file of a later day, which is known beforehand. Then every message
     finds its start by a floor join, as no start lies between a message's time and
     its own file's start unless it was there when the message came. No step has a
-    topic's day in one task, and none runs Python.
+    topic's day in one task. Steps lie in a folder below the shared one, which goes at the end.
     """
     topic = F.coalesce("topic", F.lit("\0")) if per_topic else F.lit("")
     timed = messages.where("timestamp IS NOT NULL")
-    sized = timed.select(topic.alias("_topic"), utc_day(F.col("timestamp")).alias("_day"), F.col(order).cast("long").alias("seq"), F.col("timestamp").alias("ts"), F.coalesce(F.octet_length("value"), F.lit(0)).cast("long").alias("size"))
-    sized = checkpoint(sized)
-    none = sized.limit(0).select("_topic", "_day", F.col("ts").alias("start"), "size", F.col("ts").alias("recent"))
-    files = none
-    if index is not None:
-        recent = F.greatest(F.coalesce("recent_ts", "start_ts"), "start_ts")
-        files = checkpoint(index.select(topic.alias("_topic"), utc_day(F.col("start_ts")).alias("_day"), F.col("start_ts").alias("start"), "size", recent.alias("recent")))
-    there = files.groupBy(*_DAY).agg(F.min("start").alias("low"), F.max_by(F.struct("start", "size", "recent"), "start").alias("file"))
-    days = sized.groupBy(*_DAY).agg(F.min("seq").alias("first"), F.sum("size").alias("bytes")).join(there, _DAY, "full")
-    first = F.when(F.col("file").isNotNull(), F.lit(-1)).otherwise(F.col("first"))
-    later = Window.partitionBy("_topic").orderBy(F.desc("_day")).rowsBetween(Window.unboundedPreceding, -1)
-    days = checkpoint(days.withColumn("stop", F.coalesce(F.min(first).over(later), F.lit((1 << 63) - 1))))
-
-    rows = sized.select(*_DAY, "seq", "ts", "size", F.col("ts").alias("high"))
-    newest = there.select(*_DAY, F.lit(-1).cast("long").alias("seq"), F.col("file.start").alias("ts"), "file.size", F.col("file.recent").alias("high"))
-    runs = {"before": ("sum", F.col("size")), "top": ("max", F.col("high")), "least": ("min", F.col("ts"))}
-    seen = _running(rows.union(newest) if index is not None else rows, _DAY, _by_arrival(), [F.asc("seq")], runs)
-    large = (F.coalesce("bytes", F.lit(0)) + F.coalesce("file.size", F.lit(0)) > max_bytes) & (F.col("stop") >= 0)
-    seen = checkpoint(seen.join(days.select(*_DAY, "low", "stop", large.alias("large")), _DAY))
-    lows = (F.col("seq") >= 0) & F.coalesce(F.col("ts") < F.least("least", "low"), F.lit(True))
-    starts = seen.where(lows).select(*_DAY, F.col("ts").alias("start"))
-    rolling = seen.where("large AND seq < stop").drop("low", "stop", "large", "least")
-    if not rolling.isEmpty():
-        starts = starts.union(_roll_starts(rolling, max_bytes))
-    starts = starts.union(files.select(*_DAY, "start")).distinct()
-    known = checkpoint(starts.select(F.nullif("_topic", F.lit("\0")).alias("topic"), F.col("start").alias("start_ts")))
-    return assign_existing_segment(timed, known, per_topic).withColumnRenamed("start_ts", "segment_ts")
+    sized = timed.select(topic.alias("_topic"), _day(F.col("timestamp")).alias("_day"), F.col(order).cast("long").alias("seq"), F.col("timestamp").alias("ts"), F.coalesce(F.octet_length("value"), F.lit(0)).cast("long").alias("size"))
+    with steps(messages.sparkSession) as kept:
+        known, width = _starts(kept(sized), index, topic, max_bytes, kept)
+    return assign_existing_segment(timed, known, per_topic, width).withColumnRenamed("start_ts", "segment_ts")
 
 
 def segment_sizes(assigned: DataFrame) -> DataFrame:

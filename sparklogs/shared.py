@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +38,25 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def steps(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A function that writes a DataFrame once, in columns below the shared folder, and gives what reads it; all of it goes with the block.
+
+    For tables that are read several times, each time a few columns of them.
+    """
+    folder = new_folder(spark, "steps")
+
+    def kept(df: DataFrame) -> DataFrame:
+        path = f"{folder}/{uuid.uuid4()}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield kept
+    finally:
+        remove(spark, folder)
+
+
 def hadoop(spark: SparkSession, path: str):
     """(file system, path) of Hadoop for a path in any store that Spark reads."""
     there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

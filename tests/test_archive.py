@@ -67,6 +67,24 @@ def test_segments_of_odd_messages(spark):
     assert assign_segments(frame(spark, []), 15).collect() == []
 
 
+def test_a_day_of_more_files_takes_no_more_jobs(spark):
+    """Pointers are followed inside blocks, not by a pair of jobs for each doubling."""
+    took = []
+    for files in (3, 200):
+        rows = [(i, "a", i * 1000, "x" * 10) for i in range(files * 3)]
+        spark.sparkContext.setJobGroup(group := f"{files} files", group)
+        got = assign_segments(frame(spark, rows).repartition(2), 25)
+        took.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)))
+        spark.sparkContext.setJobGroup("", "")
+        assert {r.seq: r.segment_ts for r in got.collect()} == model(rows, 25)
+    assert took[1] <= took[0] + 3
+
+
+def test_chunks_of_a_sparse_day_are_long():
+    assert segments.chunk_ms(0) == segments.chunk_ms(9_000) == DAY
+    assert segments.chunk_ms(1 << 20) == DAY // 64 and segments.chunk_ms(1 << 40) == segments.CHUNK_MS
+
+
 def test_existing_segments(spark):
     files = spark.createDataFrame([(s, t, None, None, 0, s) for s, t in ((10, "a"), (20, "a"), (15, "b"))], INDEX)
     rows = [(1, "a", 9, ""), (2, "a", 10, ""), (3, "a", 25, ""), (4, "a", DAY + 1, ""), (5, "b", 14, ""), (6, "a", None, "")]
