@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -57,10 +59,17 @@ def steps(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
         remove(spark, folder)
 
 
+@lru_cache(maxsize=1)
+def _hadoop(context: SparkContext):
+    """Hadoop's class of paths and the session's settings. Each part of the class's name is a call to the JVM, so it is found once."""
+    return context._jvm.org.apache.hadoop.fs.Path, context._jsc.hadoopConfiguration()
+
+
 def hadoop(spark: SparkSession, path: str):
     """(file system, path) of Hadoop for a path in any store that Spark reads."""
-    there = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
+    make, settings = _hadoop(spark.sparkContext)
+    there = make(path)
+    return there.getFileSystem(settings), there
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -77,7 +86,7 @@ def children(spark: SparkSession, path: str) -> list[str]:
 def move(spark: SparkSession, source: str, goal: str) -> None:
     """Renames a file, which moves no data. If the goal is there already, the source goes; a rename that fails is an error and loses nothing."""
     store, there = hadoop(spark, source)
-    to = hadoop(spark, goal)[1]
+    to = _hadoop(spark.sparkContext)[0](goal)
     if store.exists(to):
         store.delete(there, False)
         return

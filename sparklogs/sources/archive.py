@@ -18,6 +18,8 @@ from sparklogs.sources.files import _decoded
 
 #: Versions of the index before the last one that stay, and files that are renamed at a time.
 KEPT_VERSIONS, MOVES = 3, 16
+#: Tasks a core that write segments: their number counts, of which Spark knows nothing when it puts small tasks together.
+WRITERS = 4
 #: A segment is a folder with the name of the file it stands for; Spark's writers add files to it.
 _FILE = "(.*/\\d{4}-\\d{2}-\\d{2}/\\d{8}T\\d{6}\\.\\d{3}Z\\.[^/]*)/([^/]+)$"
 
@@ -65,12 +67,16 @@ def load_index(spark: SparkSession, base: str, without: str | None = None) -> Da
     return None
 
 
+def _is_last(spark: SparkSession, base: str, batch: str) -> bool:
+    """Whether the last version of the index is the one that `batch` left."""
+    done = _versions(spark, base)
+    return bool(done) and json.loads(get_text(spark, f"{base}/_index/done/{done[0]}"))["batch"] == batch
+
+
 def _keep_index(placed: DataFrame, index: DataFrame, base: str, batch: str) -> None:
-    """The next version of the index: `index` and what `placed (topic, segment_ts, path, timestamp, value)` adds. A batch that is in the last version stays as it is."""
+    """The next version of the index: `index` and what `placed (topic, segment_ts, path, timestamp, value)` adds."""
     spark = placed.sparkSession
     done = _versions(spark, base)
-    if done and json.loads(get_text(spark, f"{base}/_index/done/{done[0]}"))["batch"] == batch:
-        return
     added = placed.groupBy("path").agg(F.first("segment_ts").alias("start_ts"), F.first("topic").alias("topic"), F.sum(F.coalesce(F.octet_length("value"), F.lit(0)) + 1).alias("size"), F.max("timestamp").alias("recent_ts"))
     both = index.select(F.substring_index("path", "/", -2).alias("path"), "start_ts", "topic", "size", "recent_ts").unionByName(added)
     now = both.groupBy("path").agg(F.first("start_ts").alias("start_ts"), F.first("topic").alias("topic"), F.sum("size").alias("size"), F.max("recent_ts").alias("recent_ts"))
@@ -90,7 +96,8 @@ def write_archive(messages: DataFrame, base: str, max_bytes: int = MAX_BYTES, or
     Rows of a segment are dealt to one task and sorted by arrival, so that each
     write adds one file to a segment. `batch` names the write: the same messages
     written again under one name, whole or after a part of the files has been
-    moved, leave the archive as one write does. What is there is known from the
+    moved, leave the archive as one write does; a batch in the last version of the index
+    has all its files, and no file is written for it again. What is there is known from the
     index that each write leaves (see `load_index`); an archive without one is
     listed once. One writer at a time.
     """
@@ -100,9 +107,11 @@ def write_archive(messages: DataFrame, base: str, max_bytes: int = MAX_BYTES, or
     index = checkpoint(scan_archive(spark, base, batch)) if index is None else index
     found = assign_segments(messages, max_bytes, index, order, per_topic)
     placed = checkpoint(found.withColumn("path", archive_path(F.col("topic"), F.col("segment_ts"))))
+    if _is_last(spark, base, batch):
+        return placed
     day, name = F.substring_index("path", "/", 1), F.substring_index("path", "/", -1)
     out = placed.select(day.alias("day"), name.alias("segment"), F.col(order).alias("_order"), "value")
-    out = out.repartition("day", "segment").sortWithinPartitions("day", "segment", "_order")
+    out = out.repartition(WRITERS * spark.sparkContext.defaultParallelism, "day", "segment").sortWithinPartitions("day", "segment", "_order")
     staging = f"{base}/_staging-{batch}"
     out.drop("_order").write.mode("overwrite").partitionBy("day", "segment").text(staging)
     _move(spark, staging, base, batch)

@@ -173,6 +173,19 @@ def test_a_batch_that_runs_again_leaves_what_one_run_leaves(spark, tmp_path, mon
         assert r.recent_ts == (newest[r.topic, r.start_ts] if last else None)
 
 
+def test_a_finished_batch_writes_no_files_again(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "a")
+    rows = frame(spark, [(i, "gate", i * 1000, f'{{"timestamp":{i * 1000},"message":"m{i}"}}') for i in range(8)])
+    first = write_archive(rows, base, 40, batch="0").orderBy("seq").collect()
+    before = sorted(map(tuple, scan_archive(spark, base).collect()))
+    with monkeypatch.context() as patch:
+        patch.setattr(archive, "_move", None)
+        assert write_archive(rows, base, 40, batch="0").orderBy("seq").collect() == first
+    assert sorted(map(tuple, scan_archive(spark, base).collect())) == before and len(before) > 2
+    write_archive(frame(spark, [(8, "gate", 8000, '{"timestamp":8000,"message":"m8"}')]), base, 40, batch="1")
+    assert sorted(r.message for r in read_archive(spark, base, 0, 9_000).collect()) == [f"m{i}" for i in range(9)]
+
+
 def test_a_replay_with_other_partitions_leaves_one_copy(spark, tmp_path):
     """Messages keep the order of their offsets, so that they go where they went before."""
     rows = [(i, f'{{"timestamp":{(i * 7919) % 50 + 20 * i},"message":"{i}"}}') for i in range(60)]
